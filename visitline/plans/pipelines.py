@@ -41,33 +41,93 @@ def repair_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ages_ops.subjects_with_age(repair_obs(spark, sf_dir), ages(spark, sf_dir))
 
 
-def repair_stages(stacked: DataFrame) -> dict[str, DataFrame]:
-    """C8-C14 on a stacked table, keyed by operator name (nothing runs yet)."""
-    out: dict[str, DataFrame] = {}
-    out["one_date_per_form_visit"] = repair.one_date_per_form_visit(stacked)
-    out["forms_per_date"] = repair.forms_per_date(out["one_date_per_form_visit"])
-    out["inconsistent_visits"] = repair.inconsistent_visits(out["forms_per_date"])
-    out["visit_corrections"] = repair.visit_corrections(out["inconsistent_visits"])
-    out["apply_corrections"] = repair.apply_corrections(out["forms_per_date"], out["visit_corrections"])
-    out["drop_collided_forms"] = repair.drop_collided_forms(out["apply_corrections"])
-    out["snap_to_median"] = repair.snap_to_median(out["drop_collided_forms"])
-    return out
+REPAIR_ORDER = (
+    "one_date_per_form_visit",
+    "forms_per_date",
+    "inconsistent_visits",
+    "visit_corrections",
+    "apply_corrections",
+    "drop_collided_forms",
+    "snap_to_median",
+)
+
+# Stages read by more than one later stage. Cutting lineage there keeps each
+# consumer's plan a scan of the checkpoint instead of another copy of the chain.
+REPAIR_CUTS = ("forms_per_date", "drop_collided_forms")
+
+
+def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
+    """Run C8 ... ``upto`` on a stacked table.
+
+    With ``cut``, stages in ``REPAIR_CUTS`` that feed later stages are
+    checkpointed (an eager job each) before they are read again.
+    """
+    last = REPAIR_ORDER.index(upto)
+
+    def done(name: str, df: DataFrame) -> DataFrame:
+        later = REPAIR_ORDER.index(name) < last
+        return cut_lineage(df) if (cut and later and name in REPAIR_CUTS) else df
+
+    c8 = repair.one_date_per_form_visit(stacked)
+    if last == 0:
+        return c8
+    c9 = done("forms_per_date", repair.forms_per_date(c8))
+    stages = {"forms_per_date": c9}
+    if last >= 2:
+        stages["inconsistent_visits"] = repair.inconsistent_visits(c9)
+    if last >= 3:
+        stages["visit_corrections"] = repair.visit_corrections(stages["inconsistent_visits"])
+    if last >= 4:
+        stages["apply_corrections"] = repair.apply_corrections(c9, stages["visit_corrections"])
+    if last >= 5:
+        stages["drop_collided_forms"] = done(
+            "drop_collided_forms", repair.drop_collided_forms(stages["apply_corrections"])
+        )
+    if last >= 6:
+        stages["snap_to_median"] = repair.snap_to_median(stages["drop_collided_forms"])
+    return stages[upto]
 
 
 def repaired_visits(spark: SparkSession, sf_dir: str, cut: bool = True) -> DataFrame:
     """The repaired visit table (C14 output); checkpointed when ``cut``."""
-    visits = repair_stages(repair_input(spark, sf_dir))["snap_to_median"]
+    visits = repair_stage(repair_input(spark, sf_dir), "snap_to_median", cut)
     return cut_lineage(visits) if cut else visits
 
 
-def conflict_stages(visits: DataFrame, subject_ages: DataFrame) -> dict[str, DataFrame]:
-    """C15-C21 on the repaired visit table, keyed by operator name (nothing runs yet)."""
-    out: dict[str, DataFrame] = {}
-    out["conflict_rows"] = conflicts.conflict_rows(visits)
-    out["conflict_summary"] = conflicts.conflict_summary(out["conflict_rows"])
-    out["conflict_shared_forms"] = conflicts.conflict_shared_forms(out["conflict_summary"])
-    out["resolve_conflicts"] = conflicts.resolve_conflicts(out["conflict_summary"])
-    out["clean_visits"] = conflicts.clean_visits(visits, out["conflict_summary"], out["resolve_conflicts"])
-    out["visit_counts"] = conflicts.visit_counts(out["clean_visits"])
-    out["visit_dates_with_age"] = conflicts.visit_dates_with_age(out["clean_visits"], subject_ages)
-    return out
+CONFLICT_ORDER = (
+    "conflict_rows",
+    "conflict_summary",
+    "conflict_shared_forms",
+    "resolve_conflicts",
+    "clean_visits",
+    "visit_counts",
+    "visit_dates_with_age",
+)
+
+
+def conflict_stage(visits: DataFrame, subject_ages: DataFrame, upto: str, cut: bool = True) -> DataFrame:
+    """Run C16 ... ``upto`` (C15-C21) on the repaired visit table.
+
+    The conflict summary feeds shared forms, resolution and the clean table;
+    with ``cut`` it is checkpointed when a later stage reads it.
+    """
+    if upto == "conflict_rows":
+        return conflicts.conflict_rows(visits)
+    summary = conflicts.conflict_summary(conflicts.conflict_rows(visits))
+    if upto == "conflict_summary":
+        return summary
+    if cut:
+        summary = cut_lineage(summary)
+    if upto == "conflict_shared_forms":
+        return conflicts.conflict_shared_forms(summary)
+    resolved = conflicts.resolve_conflicts(summary)
+    if upto == "resolve_conflicts":
+        return resolved
+    clean = conflicts.clean_visits(visits, summary, resolved)
+    if upto == "clean_visits":
+        return clean
+    if upto == "visit_counts":
+        return conflicts.visit_counts(clean)
+    if upto == "visit_dates_with_age":
+        return conflicts.visit_dates_with_age(clean, subject_ages)
+    raise ValueError(f"unknown stage {upto!r}; expected one of {CONFLICT_ORDER}")

@@ -8,6 +8,7 @@ build a local session with ``local_session``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
@@ -59,10 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and restart its plan there.
+    """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
-    Used where a long chain of shuffles feeds several consumers: a lost
-    executor then recomputes from the checkpoint, not from the raw forms.
+    Used where a chain of shuffles feeds several consumers: each consumer's
+    plan starts at a file scan (with column pruning and real size statistics
+    for AQE), and a lost executor recomputes from these files, not from the
+    raw forms. Unlike an eager RDD ``checkpoint()``, which runs its input
+    once to count and again to save, the table is computed once. The files
+    stay with the job's checkpoint folder, which the caller cleans up.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/visitline-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
