@@ -1,0 +1,190 @@
+"""Golden cases G1-G15 (FIXTURES.md section 3): one per rule that differs from plain SQL."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from conftest import D, D_DAY, day
+from pyspark.sql import functions as F
+
+from visitline.operators import ages, conflicts, flags, repair
+from visitline.plans import pipelines
+
+
+def repair_to(obs, upto):
+    return pipelines.repair_stage(obs, upto, cut=False)
+
+
+def moved(df):
+    return {(r.crf, r.avisitn, r.avisitn_original) for r in df.collect()}
+
+
+# --- C14 median snap -------------------------------------------------------
+
+
+def test_g1_even_count_snaps_to_half_way(obs_of):
+    out = repair_to(obs_of([(1, "a", day(0)), (1, "b", day(10))]), "snap_to_median").collect()
+    assert {r.adt_day for r in out} == {D_DAY + 5.0}
+    assert {r.adt for r in out} == {day(5)}
+    assert {r.n_crf_date for r in out} == {2}
+    assert {r.diff for r in out} == {0}
+
+
+def test_g2_boundary_31_snaps_32_does_not(obs_of):
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(31)), (2, "a", day(0)), (2, "b", day(32))])
+    out = repair_to(obs, "snap_to_median").collect()
+    v1 = [r for r in out if r.avisitn == 1]
+    v2 = sorted((r for r in out if r.avisitn == 2), key=lambda r: r.crf)
+    assert {r.adt_day for r in v1} == {D_DAY + 15.5}
+    assert {r.adt for r in v1} == {day(15)}  # a half day shows as its whole day
+    assert [r.adt for r in v2] == [day(0), day(32)]
+    assert {r.diff for r in v2} == {32}
+    assert {r.n_crf_date for r in v2} == {1}
+
+
+def test_g3_one_missing_date_poisons_the_visit(obs_of):
+    out = repair_to(obs_of([(1, "a", day(0)), (1, "b", None)]), "snap_to_median").collect()
+    assert [r.adt_day for r in out] == [None, None]
+    assert [r.diff for r in out] == [None, None]
+    assert {r.n_crf_date for r in out} == {2}
+
+
+# --- C10-C13 visit-number repair ------------------------------------------
+
+
+def test_g4_minority_form_moves_to_majority_visit(obs_of):
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(0)), (1, "c", day(0)), (2, "x", day(0))])
+    out = repair_to(obs, "apply_corrections")
+    assert ("x", 1.0, 2.0) in moved(out)
+    assert {r.crf for r in out.collect() if r.avisitn_original is not None} == {"x"}
+
+
+def test_g5_equal_counts_swap(obs_of):
+    out = repair_to(obs_of([(1, "a", day(0)), (2, "x", day(0))]), "apply_corrections")
+    assert moved(out) == {("a", 2.0, 1.0), ("x", 1.0, 2.0)}
+
+
+def test_g6_collided_form_loses_every_copy(obs_of):
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(0)), (1, "x", day(0)), (2, "x", day(0))])
+    out = repair_to(obs, "drop_collided_forms").collect()
+    assert sorted((r.avisitn, r.crf) for r in out) == [(1.0, "a"), (1.0, "b")]
+
+
+def test_g7_only_the_smallest_minority_moves(obs_of):
+    rows = [(1, f, day(0)) for f in "abcef"] + [(2, f, day(0)) for f in "ghi"] + [(3, f, day(0)) for f in "jk"]
+    out = repair_to(obs_of(rows), "apply_corrections").collect()
+    got = {r.crf: r.avisitn for r in out}
+    assert got["j"] == got["k"] == 1.0
+    assert got["g"] == got["h"] == got["i"] == 2.0
+
+
+def test_g8_earliest_date_per_form_visit(obs_of):
+    out = repair.one_date_per_form_visit(obs_of([(1, "a", day(3)), (1, "a", day(0)), (1, "a", None)])).collect()
+    assert [(r.crf, r.adt) for r in out] == [("a", day(0))]
+
+
+# --- C22-C25 flags ----------------------------------------------------------
+
+
+def test_g9_form_summary_flags_and_n_text(obs_of):
+    obs = obs_of([(1, f, day(0)) for f in "cab"] + [(1, "e", day(5))])
+    summary = sorted((r.adt, r.n, r.crf) for r in flags.form_summary(obs).collect())
+    assert summary == [(day(0), 3, "a, b, c"), (day(5), 1, "e")]
+    fl = flags.multi_date_visits(obs).collect()
+    assert {r.diff for r in fl} == {5} and {r.flagged for r in fl} == {True}
+    assert {r.n for r in flags.visit_dates_flagged(obs).collect()} == {"3, 1"}
+
+
+def test_g10_equal_counts_give_one_n_entry(obs_of):
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(5))])
+    assert {r.n for r in flags.visit_dates_flagged(obs).collect()} == {"1"}
+
+
+def test_g11_right_closed_bins(obs_of):
+    # Two-date visits with spans 31, 32, missing (one date unknown) and 3001.
+    rows = []
+    for v, second in enumerate((day(31), day(32), None, day(3001)), start=1):
+        rows += [(v, "a", day(0)), (v, "b", second)]
+    obs = obs_of(rows)
+    hist = {r.six_months: r.n for r in flags.span_histogram(obs).collect()}
+    assert hist == {"(0,31]": 1, "(31,90]": 1, None: 1, "(3e+03,1e+18]": 1}
+    short = {r.six_months: r.n for r in flags.span_histogram(obs, flags.SPAN_BREAKS_SHORT).collect()}
+    assert short == {"(0,31]": 1, "(31,90]": 1, None: 2}
+
+
+def test_g11_zero_span_is_the_missing_bin(spark):
+    from visitline.functions import cut_right
+
+    df = spark.createDataFrame([(0,), (31,), (32,), (3001,)], "diff long")
+    got = {r.diff: r.b for r in df.select("diff", cut_right("diff", flags.SPAN_BREAKS).alias("b")).collect()}
+    assert got == {0: None, 31: "(0,31]", 32: "(31,90]", 3001: "(3e+03,1e+18]"}
+
+
+def test_g13_labels_sharing_a_number_fan_out(obs_of):
+    obs = obs_of(
+        [
+            ("U1", -1, "a", day(0)),
+            ("U1", -1, "a", day(10)),
+            ("U2", -1, "b", day(0)),
+            ("U2", -1, "b", day(20)),
+        ]
+    )
+    out = flags.visit_dates_flagged(obs).collect()
+    assert len(out) == 8
+    assert sorted(r.diff for r in out) == [10] * 4 + [20] * 4
+
+
+# --- C6 ages -----------------------------------------------------------------
+
+
+def test_g12_age_cascade(spark):
+    reg = spark.createDataFrame(
+        [("S", 1, None, 40.0), ("S", 2, None, None), ("S", 3, None, None), ("S", 4, 1.0, None)],
+        "study string, sjid bigint, start_age double, registration_age double",
+    )
+    dem = spark.createDataFrame(
+        [(1, 35.0, "4/9/2020"), (2, 35.0, "4/9/2020"), (3, None, "4/9/2020"), (4, 30.0, "1/1/2020")],
+        "sjid bigint, ageatregistration double, dm_date string",
+    )
+    got = {r.sjid: (r.start_age, r.dm_age_used) for r in ages.baseline_age(reg, dem).collect()}
+    assert got == {1: (40.0, None), 2: (35.0, dt.date(2020, 4, 9))}
+
+
+# --- C16-C20 conflicts ------------------------------------------------------
+
+
+def c14_stage(spark, rows):
+    """Rows ``(avisitn, crf, day offset)`` already at the C16 stage."""
+    data = [("S", 1, float(v), c, float(D_DAY + k)) for v, c, k in rows]
+    return spark.createDataFrame(data, "study string, sjid bigint, avisitn double, crf string, adt_day double")
+
+
+def test_g14_resolution_is_per_conflict_type(spark):
+    rows = [(1, f, 0) for f in "abcef"] + [(2, f, 0) for f in "ghi"] + [(2, f, 60) for f in "jk"]
+    visits = c14_stage(spark, rows)
+    summary = conflicts.conflict_summary(conflicts.conflict_rows(visits))
+    resolved = conflicts.resolve_conflicts(summary)
+    clean = conflicts.clean_visits(visits, summary, resolved).collect()
+    kept = sorted({(r.avisitn, r.adt) for r in clean})
+    assert kept == [(1.0, D), (2.0, D)]
+    assert {r.crf for r in clean} == {None}
+
+
+def test_g15_shared_forms(spark):
+    visits = c14_stage(spark, [(1, "a", 0), (1, "b", 0), (1, "b", 60), (1, "e", 60)])
+    summary = conflicts.conflict_summary(conflicts.conflict_rows(visits))
+    out = conflicts.conflict_shared_forms(summary).collect()
+    assert sorted(r.distinct_crfs for r in out) == ["a, b", "b, e"]
+    assert {(r.shared_crfs, r.n_shared_crfs, r.group_key) for r in out} == {("b", 1, "1")}
+
+
+def test_half_day_shares_the_conflict_key_of_its_whole_day(spark):
+    visits = spark.createDataFrame(
+        [("S", 1, 1.0, "a", D_DAY + 0.5), ("S", 1, 2.0, "b", float(D_DAY))],
+        "study string, sjid bigint, avisitn double, crf string, adt_day double",
+    )
+    # Distinct dates, so no same-date conflict is found ...
+    assert conflicts.conflict_rows(visits).count() == 0
+    # ... but both print as the same day.
+    keyed = visits.withColumn("conflict_type", F.lit(conflicts.SAME_DATE)).select(conflicts.conflict_key().alias("k"))
+    assert {r.k for r in keyed.collect()} == {"2020-01-01"}

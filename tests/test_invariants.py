@@ -1,0 +1,69 @@
+"""Invariants of the pipelines on the smallest driver table set, and determinism."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from visitline.operators import flags
+from visitline.plans import pipelines
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    stacked = pipelines.repair_input(spark, SF_SMALL)
+    return {name: pipelines.repair_stage(stacked, name) for name in ("one_date_per_form_visit", "drop_collided_forms", "snap_to_median")}
+
+
+def dupes(df, keys):
+    return df.groupBy(*keys).count().where("count > 1").count()
+
+
+def test_c8_unique_per_form_visit(stages):
+    assert dupes(stages["one_date_per_form_visit"], ["study", "sjid", "avisitn", "crf"]) == 0
+
+
+def test_c13_unique_per_visit_date_form(stages):
+    assert dupes(stages["drop_collided_forms"], ["study", "sjid", "avisitn", "adt", "crf"]) == 0
+
+
+def test_c14_spans_are_missing_zero_or_beyond_the_snap(stages):
+    bad = stages["snap_to_median"].where(F.col("diff").isNotNull() & (F.col("diff") != 0) & (F.col("diff") <= 31))
+    assert bad.count() == 0
+
+
+def test_c14_keeps_every_row(stages):
+    assert stages["snap_to_median"].count() == stages["drop_collided_forms"].count()
+
+
+def test_c20_holds_only_entries_of_the_repaired_table(spark):
+    visits = pipelines.repaired_visits(spark, SF_SMALL)
+    clean = pipelines.conflict_stage(visits, pipelines.ages(spark, SF_SMALL), "clean_visits")
+    keys = ["study", "sjid", "avisitn", "adt_day"]
+    extra = clean.select(*keys).join(visits.select(*keys), [clean[k].eqNullSafe(visits[k]) for k in keys], "left_anti")
+    assert extra.count() == 0
+
+
+def test_c22_n_equals_number_of_names(spark):
+    summary = flags.form_summary(pipelines.flag_obs(spark, SF_SMALL))
+    assert summary.where(F.size(F.split("crf", ", ")) != F.col("n")).count() == 0
+
+
+def test_c24_histogram_counts_every_flagged_visit(spark):
+    obs = pipelines.flag_obs(spark, SF_SMALL)
+    total = flags.span_histogram(obs).agg(F.sum("n")).first()[0]
+    visits = flags.multi_date_visits(obs).select("study", "sjid", "avisit", "avisitn").distinct().count()
+    assert total == visits
+
+
+def test_results_do_not_depend_on_input_order(spark):
+    obs = pipelines.flag_obs(spark, SF_SMALL)
+    shuffled = obs.repartition(7, F.rand(seed=3))
+    a = sorted((tuple(r) for r in flags.visit_dates_flagged(obs).collect()), key=repr)
+    b = sorted((tuple(r) for r in flags.visit_dates_flagged(shuffled).collect()), key=repr)
+    assert a == b
+    with_mode = pipelines.flag_obs(spark, SF_SMALL, ("hpf",))
+    m1 = sorted(map(tuple, flags.visit_mode_summary(with_mode).collect()), key=repr)
+    m2 = sorted(map(tuple, flags.visit_mode_summary(with_mode.repartition(5, F.rand(seed=9))).collect()), key=repr)
+    assert m1 == m2
