@@ -67,3 +67,20 @@ def test_results_do_not_depend_on_input_order(spark):
     m1 = sorted(map(tuple, flags.visit_mode_summary(with_mode).collect()), key=repr)
     m2 = sorted(map(tuple, flags.visit_mode_summary(with_mode.repartition(5, F.rand(seed=9))).collect()), key=repr)
     assert m1 == m2
+
+
+def test_visit_numbers_match_row_number_on_a_hot_customer(spark):
+    import datetime as dt
+
+    from pyspark.sql import Window
+
+    from visitline.sources.fixtures import visit_numbers
+
+    base = dt.datetime(2020, 1, 1)
+    rows = [(k, 1, base + dt.timedelta(days=k % 9, hours=k % 3), "1-URGENT") for k in range(400)]
+    rows += [(1000 + k, 2 + k % 5, base + dt.timedelta(days=k % 4), "5-LOW") for k in range(50)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    expected = {r.o_orderkey: r.vn for r in orders.select("o_orderkey", (F.row_number().over(w) - 1).alias("vn")).collect()}
+    got = {r.o_orderkey: r.vn for r in visit_numbers(orders).collect()}
+    assert got == expected

@@ -16,9 +16,11 @@ OBS_COLUMNS = ("study", "sjid", "avisit", "avisitn", "crf", "adt")
 AS_NEEDED = "PRN"
 
 
-def visit_number(col: str = "avisitn") -> F.Column:
-    """Visit number as DOUBLE; a text source with an empty value gives NULL."""
-    return F.expr(f"try_cast(nullif(trim(cast({col} as string)), '') as double)")
+def visit_number(df: DataFrame, col: str = "avisitn") -> F.Column:
+    """Visit number as DOUBLE; in a text source an empty value gives NULL."""
+    if dict(df.dtypes)[col] == "string":
+        return F.expr(f"try_cast(nullif(trim({col}), '') as double)")
+    return F.col(col).cast("double")
 
 
 def stack_forms(
@@ -42,7 +44,7 @@ def stack_forms(
     df = forms.where(in_scope("crf", exclude))
     if drop_as_needed:
         df = df.where(F.col("avisit") != F.lit(AS_NEEDED))
-    df = df.withColumn("avisitn", visit_number("avisitn"))
+    df = df.withColumn("avisitn", visit_number(df))
     if require_visit_number:
         df = df.where(F.col("avisitn").isNotNull())
     df = df.withColumn("crf", relabel("crf", relabels))

@@ -17,6 +17,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs an extra shuffle above it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -34,19 +34,33 @@ def _study_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def visit_numbers(orders: DataFrame) -> DataFrame:
+    """``vn``: 0-based position of each order among its customer's, by date then key.
+
+    Same result as ``row_number() over (partition by o_custkey order by
+    o_orderdate, o_orderkey) - 1``, without one task per customer: orders
+    before the day come from per-day counts (at most one row per calendar day
+    and customer), and the rank inside the day is a window over one
+    customer's orders of one day. A customer holding a large share of all
+    orders is thus split by day instead of being sorted in a single task.
+    """
+    day = F.col("o_orderdate").cast("date")
+    per_day = orders.groupBy("o_custkey", day.alias("od")).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("o_custkey").orderBy("od").rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select("o_custkey", "od", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    in_day = Window.partitionBy("o_custkey", "od").orderBy("o_orderdate", "o_orderkey")
+    ranked = orders.withColumn("od", day).withColumn("__r", F.row_number().over(in_day))
+    return ranked.join(per_day, ["o_custkey", "od"]).withColumn(
+        "vn", (F.col("__before") + F.col("__r") - 1).cast("int")
+    ).drop("__before", "__r")
+
+
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: subject, study, visit label/number, order date."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
-    by_customer = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    v = orders.select(
-        "o_orderkey",
-        "o_custkey",
-        F.col("o_orderdate").cast("date").alias("od"),
-        "o_orderpriority",
-        (F.row_number().over(by_customer) - 1).alias("vn"),
-    )
+    v = visit_numbers(orders)
     unscheduled = (F.col("o_orderkey") % 11) == 0
     avisit = (
         F.when((F.col("o_orderpriority") == "5-LOW") & ((F.col("vn") % 3) == 2), F.lit("PRN"))
