@@ -107,7 +107,9 @@ def test_dedupe_form_rows_keeps_earliest(spark):
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("S", 1, 2.0)], "study string, sjid long, avisitn double")
-    sinks.write_normalised(df, str(tmp_path), "form")
+    assert sinks.write_normalised(df, str(tmp_path), "form") == "form"
+    assert sinks.write_normalised(df.toDF("STUDY", "SJID", "AVISITN"), str(tmp_path), "_9hpt") == "nhpt"
+    assert spark.read.parquet(str(tmp_path / "nhpt.parquet")).columns == ["study", "sjid", "avisitn"]
     assert spark.read.parquet(str(tmp_path / "form.parquet")).count() == 1
     text = spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "form.txt"))
     assert text.columns == ["study", "sjid", "avisitn"]

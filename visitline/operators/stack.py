@@ -47,7 +47,7 @@ def stack_forms(
     df = df.withColumn("avisitn", visit_number(df))
     if require_visit_number:
         df = df.where(F.col("avisitn").isNotNull())
-    df = df.withColumn("crf", relabel("crf", relabels))
+    df = df.withColumn("crf", relabel("crf", relabels)).withColumn("adt", F.col("adt").cast("date"))
     if study is not None:
         df = df.withColumn("study", F.lit(study))
     return df.select(*OBS_COLUMNS, *extra)

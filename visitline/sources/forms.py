@@ -109,7 +109,17 @@ def load_forms(
     return df.withColumn("crf", name).where(in_scope("crf", exclude, skip_codes))
 
 
-def union_forms(forms: Mapping[str, DataFrame]) -> DataFrame:
-    """Append separately loaded forms by column name, tagging each with its name."""
-    tagged = [normalise_columns(df).withColumn("crf", F.lit(name)) for name, df in forms.items()]
+def union_forms(forms: Mapping[str, DataFrame], required: Sequence[str] = ("sjid", "avisit")) -> DataFrame:
+    """Append separately loaded forms by column name, tagging each with its name.
+
+    Forms without the ``required`` columns have no visit scheme and are
+    skipped (a schema check, no data is read). Missing columns are NULL.
+    """
+    tagged = []
+    for name, df in forms.items():
+        df = normalise_columns(df)
+        if all(c in df.columns for c in required):
+            tagged.append(df.withColumn("crf", F.lit(name)))
+    if not tagged:
+        raise ValueError(f"no form has the columns {list(required)}")
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

@@ -10,8 +10,26 @@ partitioned table.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from visitline.sources.forms import FORM_RELABEL, normalise_columns
+
+
+def arranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Ascending sort on ``order`` with missing values last (R's ``arrange``)."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order])
+
+
+def report(df: DataFrame, order: Sequence[str], n: int = 1050) -> DataFrame:
+    """The first ``n`` rows in ``order``: the printed review list of the scripts.
+
+    A top-n: Spark keeps ``n`` rows per task and merges them, never sorting
+    the whole table.
+    """
+    return arranged(df, order).limit(n)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -23,10 +41,26 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("sep", "\t").option("header", "true").csv(path)
 
 
-def write_normalised(df: DataFrame, base: str, name: str) -> None:
-    """Both copies of one normalised form: ``{base}/{name}.parquet`` and ``.txt``."""
-    write_parquet(df, f"{base}/{name}.parquet")
-    write_text(df, f"{base}/{name}.txt")
+def stored_form_name(name: str) -> str:
+    """File name a form is stored under.
+
+    Spark's file sources treat names starting with ``_`` or ``.`` as hidden
+    and never read them, so such forms are stored under their study name
+    (``_9hpt`` becomes ``nhpt``, as the study scripts call it).
+    """
+    stored = FORM_RELABEL.get(name, name)
+    if stored.startswith(("_", ".")):
+        raise ValueError(f"form name {name!r} would be hidden from Spark; add it to FORM_RELABEL")
+    return stored
+
+
+def write_normalised(df: DataFrame, base: str, name: str) -> str:
+    """Both copies of one normalised form (lower-case columns): ``{base}/{name}.parquet`` and ``.txt``."""
+    stored = stored_form_name(name)
+    df = normalise_columns(df)
+    write_parquet(df, f"{base}/{stored}.parquet")
+    write_text(df, f"{base}/{stored}.txt")
+    return stored
 
 
 def write_dated(
@@ -34,14 +68,19 @@ def write_dated(
     base: str,
     run_date: _dt.date | None = None,
     partition_by: tuple[str, ...] = (),
+    order: Sequence[str] = (),
 ) -> str:
     """Write a result table under ``{base}/run_date=YYYY-MM-DD``; returns the path.
 
     ``partition_by`` (for example ``("study",)``) lays the table out by study so
-    readers of one study prune the rest.
+    readers of one study prune the rest. ``order`` sorts rows inside each
+    output file (missing last), which keeps file statistics tight for readers
+    without a global sort.
     """
     day = (run_date or _dt.date.today()).isoformat()
     path = f"{base}/run_date={day}"
+    if order:
+        df = df.sortWithinPartitions(*[F.asc_nulls_last(c) for c in order])
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
