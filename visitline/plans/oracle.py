@@ -179,7 +179,9 @@ def _with(*blocks: str, body: str) -> str:
     return "with" + ",".join(blocks) + "\n" + body
 
 
-def queries() -> dict[str, str]:
+def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
+    """Oracle SQL per query key; ``obs`` / ``subj`` may name other source CTEs (tests)."""
+    OBS, SUBJ = obs, subj  # noqa: N806
     flag = lambda body: _with(OBS, FLAG, body=body)
     rep = lambda body: _with(OBS, SUBJ, AGES, REPAIR, body=body)
     hist = """

@@ -60,7 +60,9 @@ def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
     """Run C8 ... ``upto`` on a stacked table.
 
     With ``cut``, stages in ``REPAIR_CUTS`` that feed later stages are
-    checkpointed (an eager job each) before they are read again.
+    written to the checkpoint folder (an eager job each) before they are read
+    again. Without cuts every aggregate-and-join step copies the plan above
+    it, so the plan doubles per step: use ``cut=False`` only for short chains.
     """
     last = REPAIR_ORDER.index(upto)
 
