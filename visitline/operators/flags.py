@@ -36,9 +36,12 @@ SPAN_BREAKS_SHORT = (0, 31, 90, 180, 3000)
 UNSCHEDULED = -1.0
 
 
-def _form_summary(obs: DataFrame) -> DataFrame:
+def date_summary(obs: DataFrame) -> DataFrame:
     """Per visit-date: rows, forms as text (sorted, repeats kept), smallest form name.
 
+    The input of every flag operator; pass it to them as ``summary`` when it
+    is computed (or stored) once for several of them.
+
     Rows are first counted per form, so a date with many rows of one form
     shuffles one row for it.
     """
@@ -54,7 +57,7 @@ def _form_summary(obs: DataFrame) -> DataFrame:
 
 def form_summary(obs: DataFrame) -> DataFrame:
     """``n`` rows and the comma list of forms per subject, visit and date."""
-    return _form_summary(obs).drop("first_crf")
+    return date_summary(obs).drop("first_crf")
 
 
 def _multi_date_visit_spans(summary: DataFrame) -> DataFrame:
@@ -68,34 +71,38 @@ def _multi_date_visit_spans(summary: DataFrame) -> DataFrame:
     )
 
 
-def _flags(obs: DataFrame) -> DataFrame:
-    summary = _form_summary(obs)
+def _flags(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    summary = date_summary(obs) if summary is None else summary
     spans = _multi_date_visit_spans(summary)
     return join_on_keys(summary, spans, LABELLED_VISIT, ("avisit", "avisitn")).withColumn(
         "flagged", F.lit(True)
     )
 
 
-def multi_date_visits(obs: DataFrame) -> DataFrame:
+def multi_date_visits(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """The flag table: every date of a visit that has several, with span and forms."""
-    return _flags(obs).select(*VISIT_DATE, "diff", "flagged", "n", "crf")
+    return _flags(obs, summary).select(*VISIT_DATE, "diff", "flagged", "n", "crf")
 
 
-def span_histogram(obs: DataFrame, breaks: Sequence[float] = SPAN_BREAKS) -> DataFrame:
+def span_histogram(
+    obs: DataFrame, breaks: Sequence[float] = SPAN_BREAKS, summary: DataFrame | None = None
+) -> DataFrame:
     """Flagged visits counted by span bin ``(lo, hi]``; spans outside all bins count as NULL."""
-    spans = _multi_date_visit_spans(_form_summary(obs))
+    spans = _multi_date_visit_spans(date_summary(obs) if summary is None else summary)
     return spans.groupBy(
         cut_rank("diff", breaks).alias("bin"), cut_right("diff", breaks).alias("six_months")
     ).agg(n_rows().alias("n"))
 
 
-def visit_dates_flagged(obs: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def visit_dates_flagged(
+    obs: DataFrame, extra: Sequence[str] = (), summary: DataFrame | None = None
+) -> DataFrame:
     """Every row with its visit's flags: ``n`` (distinct date counts as text), ``diff``, ``flagged``.
 
     Flags are made per labelled visit but attached by visit number, so labels
     sharing a number share (and multiply) their flags.
     """
-    flags = _flags(obs)
+    flags = _flags(obs, summary)
     first_seen = flags.groupBy("study", "sjid", "avisitn", "diff", "n").agg(
         F.min(F.struct("first_crf", *nulls_last_key("adt"))).alias("__seen")
     )

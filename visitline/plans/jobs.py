@@ -82,13 +82,18 @@ def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) ->
 
 
 def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
-    """Flag outputs of one study: flags, histogram, flagged visit table, residual check, visit modes."""
+    """Flag outputs of one study: flags, histogram, flagged visit table, residual check, visit modes.
+
+    The stacked table and the per-date summary are each read by several
+    outputs, so both are written to the checkpoint folder once.
+    """
     extra = tuple(c for c in ("hpf", "fpf") if c in forms.columns)
-    obs = stack_study(forms, study, extra)
-    visit_dates = flags.visit_dates_flagged(obs, extra)
+    obs = cut_lineage(stack_study(forms, study, extra))
+    summary = cut_lineage(flags.date_summary(obs))
+    visit_dates = flags.visit_dates_flagged(obs, extra, summary)
     out = {
-        "flags": flags.multi_date_visits(obs),
-        "histogram": flags.span_histogram(obs, study.breaks),
+        "flags": flags.multi_date_visits(obs, summary),
+        "histogram": flags.span_histogram(obs, study.breaks, summary),
         "visit_dates": visit_dates,
         "residual": flags.residual_multi_date(visit_dates.drop(*extra)),
     }

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from visitline.operators import ages as ages_ops
-from visitline.operators import conflicts, repair
+from visitline.operators import conflicts, flags, repair
 from visitline.operators.stack import stack_forms
 from visitline.session import cut_lineage
 from visitline.sources import fixtures
@@ -36,6 +36,49 @@ def repair_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack_forms(fixtures.obs(spark, sf_dir), drop_as_needed=True)
 
 
+FLAG_ORDER = (
+    "form_summary",
+    "multi_date_visits",
+    "span_histogram",
+    "visit_dates_flagged",
+    "residual_multi_date",
+)
+
+
+def flag_stage(
+    obs: DataFrame,
+    upto: str,
+    cut: bool = True,
+    breaks: tuple[float, ...] = flags.SPAN_BREAKS,
+    extra: tuple[str, ...] = (),
+) -> DataFrame:
+    """Run the flag operators up to ``upto`` on a stacked table.
+
+    With ``cut``, tables read more than once are written to the checkpoint
+    folder first: the per-date summary (read by the spans and by the flag
+    join), the stacked table when the flagged table needs it again, and the
+    flagged table before the residual check reads it twice. Without the cut
+    Spark would not share the work: the optimizer adds different inferred
+    filters to the two reads, so their exchanges are not reused.
+    """
+    if upto == "form_summary":
+        return flags.form_summary(obs)
+    if upto == "span_histogram":  # reads the summary once: nothing to cut
+        return flags.span_histogram(obs, breaks)
+    keep = (lambda df: cut_lineage(df)) if cut else (lambda df: df)
+    if upto in ("visit_dates_flagged", "residual_multi_date"):
+        obs = keep(obs)
+    summary = keep(flags.date_summary(obs))
+    if upto == "multi_date_visits":
+        return flags.multi_date_visits(obs, summary)
+    flagged = flags.visit_dates_flagged(obs, extra, summary)
+    if upto == "visit_dates_flagged":
+        return flagged
+    if upto == "residual_multi_date":
+        return flags.residual_multi_date(keep(flagged))
+    raise ValueError(f"unknown stage {upto!r}; expected one of {FLAG_ORDER}")
+
+
 def repair_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repair input: stacked forms of subjects with a baseline age."""
     return ages_ops.subjects_with_age(repair_obs(spark, sf_dir), ages(spark, sf_dir))
@@ -53,7 +96,7 @@ REPAIR_ORDER = (
 
 # Stages read by more than one later stage. Cutting lineage there keeps each
 # consumer's plan a scan of the checkpoint instead of another copy of the chain.
-REPAIR_CUTS = ("forms_per_date", "drop_collided_forms")
+REPAIR_CUTS = ("one_date_per_form_visit", "forms_per_date", "inconsistent_visits", "drop_collided_forms")
 
 
 def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
@@ -73,10 +116,11 @@ def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
     c8 = repair.one_date_per_form_visit(stacked)
     if last == 0:
         return c8
+    c8 = done("one_date_per_form_visit", c8)
     c9 = done("forms_per_date", repair.forms_per_date(c8))
     stages = {"forms_per_date": c9}
     if last >= 2:
-        stages["inconsistent_visits"] = repair.inconsistent_visits(c9)
+        stages["inconsistent_visits"] = done("inconsistent_visits", repair.inconsistent_visits(c9))
     if last >= 3:
         stages["visit_corrections"] = repair.visit_corrections(stages["inconsistent_visits"])
     if last >= 4:
