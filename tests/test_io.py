@@ -149,3 +149,13 @@ def test_stream_forms(spark, tmp_path):
     )
     q.awaitTermination(120)
     assert [(r.crf, r.sjid, r.avisitn) for r in seen] == [("sara", 1, 1.0)]
+
+
+def test_load_form_by_name(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"SJID": [1], "AVISIT": ["V1"], "AVISITN": [1.0], "ADT": [day(0)]}), str(tmp_path / "fars.parquet"))
+    df = forms.load_form(spark, str(tmp_path), "fars")
+    assert df.columns == ["sjid", "avisit", "avisitn", "adt", "crf"]
+    assert [r.crf for r in df.collect()] == ["fars"]

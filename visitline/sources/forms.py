@@ -84,6 +84,19 @@ def list_form_files(
     )
 
 
+def load_form(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    fmt: str = "parquet",
+    suffix: str = ".parquet",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One form of a study folder by name, with lower-case columns and its ``crf``."""
+    reader = spark.read.format(fmt).options(**(options or {}))
+    return normalise_columns(reader.load(f"{folder.rstrip('/')}/{name}{suffix}")).withColumn("crf", F.lit(name))
+
+
 def load_forms(
     spark: SparkSession,
     folder: str,
