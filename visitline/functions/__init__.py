@@ -4,7 +4,6 @@ from visitline.functions.semantics import (
     cut_rank,
     cut_right,
     day_number,
-    day_span,
     day_to_date,
     first_by,
     join_on_keys,
@@ -17,14 +16,12 @@ from visitline.functions.semantics import (
     r_cut_labels,
     r_number_text,
     r_text_na,
-    with_group_stats,
 )
 
 __all__ = [
     "cut_rank",
     "cut_right",
     "day_number",
-    "day_span",
     "day_to_date",
     "first_by",
     "join_on_keys",
@@ -37,5 +34,4 @@ __all__ = [
     "r_cut_labels",
     "r_number_text",
     "r_text_na",
-    "with_group_stats",
 ]

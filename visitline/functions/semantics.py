@@ -84,24 +84,6 @@ def join_on_keys(
     return joined.drop(*[_RIGHT + k for k in keys])
 
 
-def with_group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggs: Mapping[str, Column],
-    nullable: Iterable[str] = (),
-    having: Column | None = None,
-) -> DataFrame:
-    """Attach per-group aggregates to every row (a window without one big task).
-
-    ``having`` filters groups before the join, so the join also drops rows of
-    groups that fail it (an inner join).
-    """
-    stats = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    if having is not None:
-        stats = stats.where(having)
-    return join_on_keys(df, stats, keys, nullable, "inner")
-
-
 def keep_group_extreme(
     df: DataFrame,
     keys: Sequence[str],
@@ -189,11 +171,6 @@ def day_to_date(col: str | Column) -> Column:
     return F.date_from_unix_date(F.floor(c).cast("int"))
 
 
-def day_span(lo: Column, hi: Column) -> Column:
-    """``as.numeric(max(adt) - min(adt))`` in whole days as BIGINT."""
-    return (hi - lo).cast("bigint")
-
-
 def joined_list(entries: Column, value: str, sep: str = ", ") -> Column:
     """Text of the ``value`` field of ``entries`` (array of structs), in struct order.
 
