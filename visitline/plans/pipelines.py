@@ -57,9 +57,9 @@ def flag_stage(
     With ``cut``, tables read more than once are written to the checkpoint
     folder first: the per-date summary (read by the spans and by the flag
     join), the stacked table when the flagged table needs it again, and the
-    flagged table before the residual check reads it twice. Without the cut
-    Spark would not share the work: the optimizer adds different inferred
-    filters to the two reads, so their exchanges are not reused.
+    flagged table before the residual check reads it twice. Without the cuts
+    the two reads were planned and run separately (exchange reuse did not
+    apply in the measured plans).
     """
     if upto == "form_summary":
         return flags.form_summary(obs)
