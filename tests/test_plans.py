@@ -80,3 +80,11 @@ def test_skewed_subject_is_aggregated_map_side(spark, obs_of):
     plan = physical(v14)
     assert "HashAggregate" in plan or "ObjectHashAggregate" in plan
     assert v14.count() == len(rows) + 1
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from visitline.session import scale_conf
+
+    assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"

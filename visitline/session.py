@@ -22,8 +22,33 @@ PLAN_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for k, v in PLAN_CONF.items():
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``input_bytes`` (compressed Parquet).
+
+    The first shuffle gets one partition per ``target_partition_bytes`` of
+    input (at least 200, at most 100,000); AQE then coalesces partitions that
+    the projections and partial aggregates made small, towards 128 MB each.
+    Scans split files at 256 MB. At 100 TB that is 100,000 initial shuffle
+    partitions and about 400,000 scan tasks.
+    """
+    partitions = max(200, min(100_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply ``PLAN_CONF`` and, when the input size is known, ``scale_conf``."""
+    conf = dict(PLAN_CONF)
+    if input_bytes is not None:
+        conf.update(scale_conf(input_bytes))
+    for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
 
