@@ -7,7 +7,7 @@ half-day date stays distinct from its whole day, as in the study scripts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitline.functions import (
@@ -71,7 +71,7 @@ def conflict_summary(rows: DataFrame) -> DataFrame:
     ).withColumn("adt", day_to_date("adt_day"))
 
 
-def conflict_key() -> F.Column:
+def conflict_key() -> Column:
     """The value a conflict is about, as text: the date, or the visit number.
 
     A half-day date prints as its whole day, so it shares a key with it.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitline.functions import first_by, nulls_last_key
@@ -16,7 +16,7 @@ OBS_COLUMNS = ("study", "sjid", "avisit", "avisitn", "crf", "adt")
 AS_NEEDED = "PRN"
 
 
-def visit_number(df: DataFrame, col: str = "avisitn") -> F.Column:
+def visit_number(df: DataFrame, col: str = "avisitn") -> Column:
     """Visit number as DOUBLE; in a text source an empty value gives NULL."""
     if dict(df.dtypes)[col] == "string":
         return F.expr(f"try_cast(nullif(trim({col}), '') as double)")
