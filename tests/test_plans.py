@@ -90,3 +90,24 @@ def test_scale_conf_sizes_partitions_from_input():
     assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_inconsistent_visits_exchange_count(spark, obs_of):
+    """Static plan of C10 on a stored table: one exchange for the per-visit summary, one per join side."""
+    import re
+
+    from visitline.session import cut_lineage
+
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(0)), (2, "c", day(0)), (2, "a", day(9))])
+    stored = cut_lineage(repair.forms_per_date(repair.one_date_per_form_visit(obs)))
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(repair.inconsistent_visits(stored))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = len(re.findall(r"Exchange hashpartitioning", plan))
+    assert exchanges <= 3, plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
