@@ -188,3 +188,31 @@ def test_half_day_shares_the_conflict_key_of_its_whole_day(spark):
     # ... but both print as the same day.
     keyed = visits.withColumn("conflict_type", F.lit(conflicts.SAME_DATE)).select(conflicts.conflict_key().alias("k"))
     assert {r.k for r in keyed.collect()} == {"2020-01-01"}
+
+
+# --- keys without study (Q14, Q18) -------------------------------------------
+
+
+def test_q18_correction_keys_ignore_study(spark, obs_of):
+    """Per (subject, date) the largest target visit wins across studies sharing a subject id."""
+    a = obs_of([(1, "a", day(0)), (1, "b", day(0)), (2, "x", day(0))], study="A")
+    b = obs_of([(5, "p", day(0)), (5, "q", day(0)), (5, "r", day(0)), (6, "y", day(0))], study="B")
+    out = repair_to(a.unionByName(b), "apply_corrections").collect()
+    got = {(r.study, r.crf): r.avisitn for r in out}
+    assert got[("B", "y")] == 5.0  # moves to the 3-form visit
+    assert got[("A", "x")] == 2.0  # stays: study B's 3-form visit outranks A's 2-form visit that day
+
+
+def test_q14_shared_forms_group_ignores_study(spark):
+    rows = [("A", 1.0, "a", 0), ("A", 1.0, "b", 0), ("A", 1.0, "b", 60), ("B", 1.0, "c", 0), ("B", 1.0, "c", 70), ("B", 1.0, "e", 70)]
+    visits = spark.createDataFrame(
+        [(s, 1, v, c, float(D_DAY + k)) for s, v, c, k in rows],
+        "study string, sjid bigint, avisitn double, crf string, adt_day double",
+    )
+    summary = conflicts.conflict_summary(conflicts.conflict_rows(visits))
+    shared = conflicts.conflict_shared_forms(summary).collect()
+    # One conflict of four entries across both studies: nothing is common to all.
+    assert len(shared) == 4 and {(r.shared_crfs, r.n_shared_crfs) for r in shared} == {("", 0)}
+    # Resolution keeps the study in its key: one winner per study.
+    resolved = conflicts.resolve_conflicts(summary).collect()
+    assert sorted((r.study, r.adt_day - D_DAY, r.n_crf) for r in resolved) == [("A", 0.0, 2), ("B", 70.0, 2)]
