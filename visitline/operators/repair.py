@@ -16,6 +16,7 @@ from visitline.functions import (
     day_to_date,
     join_on_keys,
     keep_group_extreme,
+    n_distinct_na,
     n_rows,
     poisoned,
 )
@@ -143,6 +144,11 @@ def drop_collided_forms(visits: DataFrame) -> DataFrame:
     )
 
 
+def distinct_dates(visits: DataFrame) -> DataFrame:
+    """Number of distinct dates in the table, a missing date counting as one."""
+    return visits.agg(n_distinct_na("adt").alias("n_dates"))
+
+
 def snap_to_median(visits: DataFrame, snap_days: int = SNAP_DAYS) -> DataFrame:
     """Dates of one visit at most ``snap_days`` apart become their median (C14).
 

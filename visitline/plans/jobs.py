@@ -111,7 +111,7 @@ def repair_study(forms: DataFrame, registration: DataFrame, demographics: DataFr
     stage = lambda name: pipelines.conflict_stage(visits, subject_ages, name)
     return {
         "ages": subject_ages,
-        "conflicts": sinks.report(stage("conflict_shared_forms"), ("sjid", "conflict_type", "group_key")),
+        "conflicts": stage("conflict_review"),
         "clean_visits": stage("clean_visits"),
         "counts": stage("visit_counts"),
         "visit_dates": stage("visit_dates_with_age"),

@@ -243,6 +243,7 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
         "visit_corrections": rep("select * from c11"),
         "apply_corrections": rep("select * from c12"),
         "drop_collided_forms": rep("select * from c13"),
+        "distinct_dates": rep("select count(*) as n_dates from (select distinct adt from c13)"),
         "snap_to_median": rep("select * from c14"),
         # conflicts
         "conflict_rows": rep("""
@@ -260,6 +261,19 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
                                            lambda a, b: list_intersect(a, b))) as shared
               from c17k window g as (partition by sjid, conflict_type, group_key))
             where n_entries > 1"""),
+        "conflict_review": rep("""
+            select * from (
+              select study, sjid, avisitn, adt_day, adt, conflict_type, n_crf,
+                     array_to_string(distinct_crfs, ', ') as distinct_crfs, group_key,
+                     array_to_string(shared, ', ') as shared_crfs, cast(len(shared) as bigint) as n_shared_crfs
+              from (
+                select *, count(*) over g as n_entries,
+                       list_sort(list_reduce(list(distinct_crfs) over g,
+                                             lambda a, b: list_intersect(a, b))) as shared
+                from c17k window g as (partition by sjid, conflict_type, group_key))
+              where n_entries > 1)
+            order by study, sjid, avisitn nulls last, adt_day nulls last, conflict_type
+            limit 1050"""),
         "resolve_conflicts": rep("select * from c19"),
         "clean_visits": rep("""
             select *, cast(date '1970-01-01' + cast(floor(adt_day) as integer) as date) as adt from c20"""),

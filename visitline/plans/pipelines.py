@@ -144,6 +144,7 @@ CONFLICT_ORDER = (
     "conflict_rows",
     "conflict_summary",
     "conflict_shared_forms",
+    "conflict_review",
     "resolve_conflicts",
     "clean_visits",
     "visit_counts",
@@ -166,6 +167,8 @@ def conflict_stage(visits: DataFrame, subject_ages: DataFrame, upto: str, cut: b
         summary = cut_lineage(summary)
     if upto == "conflict_shared_forms":
         return conflicts.conflict_shared_forms(summary)
+    if upto == "conflict_review":
+        return conflicts.conflict_review(conflicts.conflict_shared_forms(summary))
     resolved = conflicts.resolve_conflicts(summary)
     if upto == "resolve_conflicts":
         return resolved

@@ -18,20 +18,6 @@ from pyspark.sql import functions as F
 from visitline.sources.forms import FORM_RELABEL, normalise_columns
 
 
-def arranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Ascending sort on ``order`` with missing values last (R's ``arrange``)."""
-    return df.orderBy(*[F.asc_nulls_last(c) for c in order])
-
-
-def report(df: DataFrame, order: Sequence[str], n: int = 1050) -> DataFrame:
-    """The first ``n`` rows in ``order``: the printed review list of the scripts.
-
-    A top-n: Spark keeps ``n`` rows per task and merges them, never sorting
-    the whole table.
-    """
-    return arranged(df, order).limit(n)
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
