@@ -12,6 +12,7 @@ from visitline.functions.semantics import (
     n_distinct_na,
     n_rows,
     nulls_last_key,
+    own_shuffle,
     poisoned,
     r_cut_labels,
     r_number_text,
@@ -30,6 +31,7 @@ __all__ = [
     "n_distinct_na",
     "n_rows",
     "nulls_last_key",
+    "own_shuffle",
     "poisoned",
     "r_cut_labels",
     "r_number_text",

@@ -84,6 +84,19 @@ def join_on_keys(
     return joined.drop(*[_RIGHT + k for k in keys])
 
 
+def own_shuffle(small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give the small side of a join its own shuffle on the join ``keys``.
+
+    A per-subject table built by an aggregate (or a join) on the same keys is
+    already partitioned by them, so Spark joins it to the rows without
+    shuffling it. AQE then cannot split a skewed partition of the rows: its
+    skew handling needs a shuffle on both sides. Shuffling the small side
+    (one row per key) restores that, and a hot subject's rows are split over
+    several tasks.
+    """
+    return small.repartition(*keys)
+
+
 def keep_group_extreme(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,6 +10,7 @@ from visitline.functions import (
     first_by,
     join_on_keys,
     nulls_last_key,
+    own_shuffle,
     poisoned,
 )
 
@@ -58,7 +59,7 @@ def with_age_at_visit(obs: DataFrame, ages: DataFrame) -> DataFrame:
     # the observation rows cross one join only.
     first = obs.groupBy(*SUBJECT).agg(poisoned(F.min(day_number("adt")), "adt").alias("__first"))
     bl = ages.select(*SUBJECT, F.col("start_age").alias("age_bl")).where(F.col("age_bl").isNotNull())
-    per_subject = join_on_keys(first, bl, SUBJECT)
+    per_subject = own_shuffle(join_on_keys(first, bl, SUBJECT), SUBJECT)
     rows = join_on_keys(obs, per_subject, SUBJECT)
     time = (day_number("adt") - F.col("__first")) / F.lit(DAYS_PER_YEAR)
     return rows.withColumn("time", time).withColumn("age", F.col("age_bl") + F.col("time")).drop("__first")
@@ -66,4 +67,4 @@ def with_age_at_visit(obs: DataFrame, ages: DataFrame) -> DataFrame:
 
 def subjects_with_age(obs: DataFrame, ages: DataFrame) -> DataFrame:
     """Rows of subjects that have a baseline age (the filter part of C7)."""
-    return join_on_keys(obs, ages.select(*SUBJECT), SUBJECT, how="left_semi")
+    return join_on_keys(obs, own_shuffle(ages.select(*SUBJECT), SUBJECT), SUBJECT, how="left_semi")

@@ -17,6 +17,7 @@ from visitline.functions import (
     n_distinct_na,
     n_rows,
     nulls_last_key,
+    own_shuffle,
     poisoned,
     r_number_text,
 )
@@ -167,7 +168,7 @@ def visit_dates_with_age(clean: DataFrame, ages: DataFrame) -> DataFrame:
     visits = clean.select("study", "sjid", "adt_day", "avisitn").distinct()
     first = visits.groupBy(*SUBJECT).agg(poisoned(F.min("adt_day"), "adt_day").alias("__first"))
     bl = ages.select(*SUBJECT, F.col("start_age").alias("age_bl"))
-    per_subject = join_on_keys(first, bl, SUBJECT, how="left")
+    per_subject = own_shuffle(join_on_keys(first, bl, SUBJECT, how="left"), SUBJECT)
     rows = join_on_keys(visits, per_subject, SUBJECT)
     time = (F.col("adt_day") - F.col("__first")) / F.lit(DAYS_PER_YEAR)
     return rows.select(
