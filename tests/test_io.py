@@ -159,3 +159,12 @@ def test_load_form_by_name(spark, tmp_path):
     df = forms.load_form(spark, str(tmp_path), "fars")
     assert df.columns == ["sjid", "avisit", "avisitn", "adt", "crf"]
     assert [r.crf for r in df.collect()] == ["fars"]
+
+
+def test_text_sources_parse_visit_numbers_and_dates(spark):
+    forms = spark.createDataFrame(
+        [("S", 1, "V1", " 1 ", "2020-01-05", "a"), ("S", 1, "V2", "", "2020-02-01", "a"), ("S", 1, "V3", "3", "n/a", "a")],
+        "study string, sjid long, avisit string, avisitn string, adt string, crf string",
+    )
+    out = sorted(map(tuple, stack.stack_forms(forms, require_visit_number=True).collect()), key=repr)
+    assert out == [("S", 1, "V1", 1.0, "a", day(4)), ("S", 1, "V3", 3.0, "a", None)]

@@ -23,6 +23,13 @@ def visit_number(df: DataFrame, col: str = "avisitn") -> Column:
     return F.col(col).cast("double")
 
 
+def visit_date(df: DataFrame, col: str = "adt") -> Column:
+    """Assessment date as DATE; in a text source an unreadable value gives NULL."""
+    if dict(df.dtypes)[col] == "string":
+        return F.try_to_date(F.col(col))
+    return F.col(col).cast("date")
+
+
 def stack_forms(
     forms: DataFrame,
     study: str | None = None,
@@ -47,7 +54,7 @@ def stack_forms(
     df = df.withColumn("avisitn", visit_number(df))
     if require_visit_number:
         df = df.where(F.col("avisitn").isNotNull())
-    df = df.withColumn("crf", relabel("crf", relabels)).withColumn("adt", F.col("adt").cast("date"))
+    df = df.withColumn("crf", relabel("crf", relabels)).withColumn("adt", visit_date(df))
     if study is not None:
         df = df.withColumn("study", F.lit(study))
     return df.select(*OBS_COLUMNS, *extra)
