@@ -25,14 +25,16 @@ OBS_COLS = "study string, sjid bigint, avisit string, avisitn double, crf string
 SUBJ_COLS = "study string, sjid bigint, start_age double, registration_age double, ageatregistration double, dm_date string"
 
 
-def random_tables(seed: int):
+def random_tables(seed: int, hot: bool = False):
+    """Six subjects; with ``hot`` subject 1 holds most rows (many visits, dates and forms)."""
     rnd = random.Random(seed)
     base = dt.date(2020, 1, 1)
     obs, subj = [], []
     for sjid in range(1, 7):
         study = "A" if sjid % 2 else "B"
         subj.append((study, sjid, None if sjid == 3 else 30.0 + sjid, None, 40.0 if sjid != 5 else None, f"{sjid}/2/2020"))
-        for _ in range(rnd.randint(8, 30)):
+        n_rows = rnd.randint(150, 200) if (hot and sjid == 1) else rnd.randint(8, 30)
+        for _ in range(n_rows):
             v = rnd.choice([-1, 0, 1, 1, 2, 2, 3])
             label = rnd.choice(["U1", "U2"]) if v == -1 else ("PRN" if rnd.random() < 0.1 else f"Visit {v}")
             day = None if rnd.random() < 0.06 else base + dt.timedelta(days=max(v, 0) * 50 + rnd.choice([0, 0, 0, 1, 2, 5, 20, 40, 90]))
@@ -81,9 +83,9 @@ def spark_query(name, obs, subj):
     return op(fobs)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_tables_match_oracle(spark, seed):
-    obs_rows, subj_rows = random_tables(seed)
+@pytest.mark.parametrize("seed,hot", [(1, False), (2, False), (3, True)])
+def test_random_tables_match_oracle(spark, seed, hot):
+    obs_rows, subj_rows = random_tables(seed, hot)
     obs = spark.createDataFrame(obs_rows, OBS_COLS)
     subj = spark.createDataFrame(subj_rows, SUBJ_COLS)
     con = duckdb.connect()
