@@ -1,4 +1,5 @@
-"""Run registered queries in Spark and their oracle SQL in DuckDB; compare results.
+"""Run registered queries in Spark and their oracle SQL in DuckDB; compare results
+(row count, column names and types, order-insensitive values).
 
 Usage: python tests/oracle_check.py [sf_dir] [query ...]
 """
@@ -50,6 +51,24 @@ def norm(v):
     return (4, str(v))
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_diff(sdf, rel) -> dict:
+    """Columns whose Spark and DuckDB types differ (after mapping Spark names)."""
+    s = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def canon(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
@@ -65,7 +84,8 @@ def compare(spark, name, fn, sql, sf_dir, con):
     d_rows = rel.fetchall()
     t2 = time.time()
     s_cols = sdf.columns
-    ok_cols = sorted(s_cols) == sorted(d_cols)
+    types = type_diff(sdf, rel)
+    ok_cols = sorted(s_cols) == sorted(d_cols) and not types
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and canon(s_cols, s_rows) == canon(d_cols, d_rows)
     status = "OK " if (ok_cols and ok_n and ok_v) else "BAD"
@@ -73,7 +93,7 @@ def compare(spark, name, fn, sql, sf_dir, con):
           f"cols={'ok' if ok_cols else 'DIFF'} values={'ok' if ok_v else 'DIFF'} "
           f"spark={t1 - t0:5.1f}s duck={t2 - t1:4.1f}s", flush=True)
     if not ok_cols:
-        print("   spark:", sorted(s_cols), "\n   duck: ", sorted(d_cols))
+        print("   spark:", sorted(s_cols), "\n   duck: ", sorted(d_cols), "\n   types:", types)
     elif not ok_v:
         a, b = canon(s_cols, s_rows), canon(d_cols, d_rows)
         sa, sb = set(a), set(b)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF_SMALL
-from oracle_check import canon, duck
+from oracle_check import canon, duck, type_diff
 
 import __spark_entry__ as E
 
@@ -44,4 +44,5 @@ def test_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    assert type_diff(sdf, rel) == {}
     assert canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == canon(rel.columns, rel.fetchall())
