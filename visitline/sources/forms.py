@@ -70,7 +70,9 @@ def list_form_files(
     """Catalogue of a folder: ``crf, path`` for every in-scope file ending in ``suffix``.
 
     ``binaryFile`` lists files in parallel and never reads their content here,
-    because only ``path`` is selected.
+    because only ``path`` is selected. Like every Spark file source it skips
+    names starting with ``_`` or ``.``; ``sinks.write_normalised`` stores
+    such forms under their study name.
     """
     files = (
         spark.read.format("binaryFile")
