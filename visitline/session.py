@@ -72,13 +72,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder (``spark.checkpoint.dir``).
 
     Only a local session without one gets a fresh temporary folder; a
-    cluster session must name a shared folder.
+    cluster session must name a shared folder. On a Spark Connect client,
+    which has no SparkContext, the configured folder is used as it is.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder to cut lineage") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder to cut lineage on a cluster")
