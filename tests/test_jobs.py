@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import day
 
+from pyspark.sql import functions as F
+
 from visitline.plans import jobs
 from visitline.sources.studies import STUDIES
 
@@ -53,3 +55,12 @@ def test_repair_job_writes_visit_dates_with_age(spark, tmp_path):
 def test_study_settings_are_complete():
     assert set(STUDIES) == {"CRCSCA", "EFACTS", "FACHILD", "FACOMS", "UNIFAI"}
     assert STUDIES["FACHILD"].breaks[-1] == 3000
+
+
+def test_distinct_key_study_keeps_base_rows(spark):
+    forms = spark.createDataFrame(
+        [(1, "V1", 1.0, day(0), "mfar")] * 2 + [(1, "V1", 1.0, day(0), "ataxia")] * 3,
+        "sjid long, avisit string, avisitn double, adt date, crf string",
+    ).withColumn("study", F.lit("x"))
+    out = jobs.stack_study(forms, STUDIES["UNIFAI"]).collect()
+    assert sorted(r.crf for r in out) == ["ataxia", "fars", "fars"]

@@ -13,6 +13,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitline.operators import ages as ages_ops
 from visitline.operators import flags
@@ -68,9 +69,11 @@ def load_study_forms(
 
 def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) -> DataFrame:
     relabels = dict(FORM_RELABEL)
-    if study.base_form and study.base_label:
-        relabels[study.base_form] = study.base_label
-    return stack_forms(
+    base = study.base_form
+    if base and study.base_label:
+        relabels[base] = study.base_label
+        base = study.base_label
+    obs = stack_forms(
         forms,
         study=study.name,
         exclude=study.exclude,
@@ -79,6 +82,12 @@ def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) ->
         relabels=relabels,
         extra=extra,
     )
+    if not study.distinct_keys:
+        return obs
+    # One pass: base-form rows carry a row id and stay; other rows collapse to distinct keys.
+    row_id = F.when(F.col("crf") == F.lit(base), F.monotonically_increasing_id())
+    keys = [*obs.columns, "__row"]
+    return dedupe_form_keys(obs.withColumn("__row", row_id), keys).drop("__row")
 
 
 def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:

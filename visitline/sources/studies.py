@@ -22,6 +22,8 @@ class Study:
     require_visit_number: bool = True
     breaks: tuple[float, ...] = SPAN_BREAKS
     base_label: str | None = None
+    # Forms other than the base are reduced to distinct visit-key rows before stacking.
+    distinct_keys: bool = False
 
 
 # Forms without a visit scheme, per study (case-sensitive names).
@@ -46,5 +48,5 @@ STUDIES = {
     "EFACTS": Study("EFACTS", ".csv", "sara", EFACTS_EXCLUDE),
     "FACHILD": Study("FACHILD", ".sas7bdat", "faneuro", FACHILD_EXCLUDE, breaks=SPAN_BREAKS_SHORT),
     "FACOMS": Study("FACOMS", ".sas7bdat", "faneuro", FACOMS_EXCLUDE),
-    "UNIFAI": Study("UNIFAI", ".csv", "mfar", (), base_label="fars"),
+    "UNIFAI": Study("UNIFAI", ".csv", "mfar", (), base_label="fars", distinct_keys=True),
 }
