@@ -7,7 +7,8 @@
 3. Nodes that share two bands or more with a bucket's smallest node are grouped. A group's texts are
    compared in pairs of blocks, each in its own task, by their full n-gram sets: only counts and the
    spanning links leave the task, never the group's pairs.
-4. Candidate pairs left between groups are compared one by one on their full sets.
+4. A node that shares a band with a node of another group is compared with that group: with each member if
+   they are few, else as a guest of the group's blocks.
 5. Links are joined to classes (connected components).
 
 Steps 3 and 4 together compare every pair of nodes that shares a band; the grouping only decides where.
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from visitline.llm.common import components, only, stored
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
-BLOCK = 512
+BLOCK = 256
+#: Candidates of groups up to this size are compared pair by pair, those of larger groups in blocks.
+FEW = 16
 SEED = 23
 _WORD = re.compile(r"[^\W_]+")
 _CACHE = 500_000
@@ -227,34 +230,58 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = components(strong.select(F.col("center").alias("a"), F.col("node").alias("b")))
     groups = groups.select("node", F.col("component").alias("grp"))
     placed = stored(members.join(groups, "node", "left").select("key", "node", F.coalesce("grp", "node").alias("grp")))
-    # Pairs of a bucket across groups: the nodes outside the bucket's largest group meet all others.
-    main = placed.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.max_by("grp", F.struct("n", "grp")).alias("main"), F.count(F.lit(1)).alias("groups")
+    roster = stored(placed.select("node", "grp").distinct().join(nodes.drop("first_doc"), "node"))
+    sizes = stored(
+        roster.groupBy("grp").agg(
+            F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high"), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks")
+        )
+    )
+    # Candidates across groups: in a bucket of several groups, a node meets every group larger than its own (ties: by id)
+    # as a whole. A pair of nodes is met once, and a large group is one row, not one for each member.
+    several = placed.groupBy("key").agg(F.min("grp").alias("one"), F.max("grp").alias("two")).where("one < two").select("key")
+    mixed = placed.join(several, "key")
+    hosts = mixed.select("key", "grp").distinct().join(sizes, "grp").select("key", F.col("grp").alias("host"), F.col("n").alias("n_host"), "low", "high")
+    own = mixed.join(roster.select("node", "copies", "size"), "node").join(sizes.select("grp", "n"), "grp")
+    cross = own.join(hosts, "key").where(
+        (F.struct("n_host", "host") > F.struct("n", "grp"))
+        # Sets whose sizes differ by more than the threshold allows can't be similar.
+        & (F.col("size") >= THRESHOLD * F.col("low") - 1e-9)
+        & (F.col("high") >= THRESHOLD * F.col("size") - 1e-9)
+    )
+    cross = stored(cross.select("node", "copies", "size", "host", "n_host").distinct())
+    pairs = cross.where(F.col("n_host") <= FEW).join(
+        roster.select(F.col("grp").alias("host"), F.col("node").alias("b"), F.col("copies").alias("copies_b"), F.col("size").alias("size_b")), "host"
     )
-    mixed = placed.join(main.where("groups > 1").drop("groups"), "key")
-    minor = mixed.where("grp <> main").select("key", F.col("node").alias("x"), F.col("grp").alias("gx"))
-    cross = minor.join(mixed.select("key", F.col("node").alias("y"), F.col("grp").alias("gy")), "key").where("gx <> gy")
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    info = nodes.select("node", "copies", "size")
-    for end in ("a", "b"):
-        cross = cross.join(info.select(F.col("node").alias(end), F.col("copies").alias(f"copies_{end}"), F.col("size").alias(f"size_{end}")), end)
-    # Sets whose sizes differ by more than the threshold allows can't be similar.
-    cross = cross.where(F.least("size_a", "size_b") >= THRESHOLD * F.greatest("size_a", "size_b") - 1e-9)
-    cross = stored(cross.select("a", "b", "copies_a", "copies_b"))
+    pairs = pairs.where(F.least("size", "size_b") >= THRESHOLD * F.greatest("size", "size_b") - 1e-9)
+    pairs = stored(pairs.select(F.col("node").alias("a"), "b", F.col("copies").alias("copies_a"), "copies_b"))
+    guests = cross.where(F.col("n_host") > FEW).select("node", F.col("host").alias("grp"))
+    guest_sizes = guests.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("guest_blocks"))
     # One text for each node that is compared.
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
-    needed = groups.select("node").union(cross.select("a")).union(cross.select("b")).distinct()
+    grouped = roster.join(sizes.where("n > 1"), "grp").select("node", "grp", "blocks")
+    needed = grouped.select("node").union(guests.select("node")).union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = needed.join(nodes, "node").select("node", "copies", F.col("first_doc").alias("doc_id"))
     texts = stored(docs.join(wanted, "doc_id").select("node", "copies", "text"))
-    # Within groups: blocks of at most about BLOCK nodes, compared two by two.
-    blocks = texts.join(groups, "node").join(sizes, "grp").withColumn("own", F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks")))
-    blocks = blocks.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    blocks = blocks.select(
-        "node", "copies", "text", "grp", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-        F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1).alias("side"),
+    # Groups in blocks of about BLOCK nodes, each compared with each, and with each block of guests.
+    block = F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks"))
+    to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    members_in = (
+        grouped.join(guest_sizes, "grp", "left")
+        .withColumn("own", block)
+        .withColumn("with", F.explode(to(F.col("blocks") + F.coalesce("guest_blocks", F.lit(0)))))
+        .select(
+            "node", "grp", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
+            F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1).alias("side"),
+        )
     )
-    within = stored(blocks.groupBy("grp", "i", "j").applyInPandas(_compare_blocks, "node long, links long, root long"))
-    pair_texts = cross.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
+    guests_in = (
+        guests.join(sizes, "grp")
+        .join(guest_sizes, "grp")
+        .withColumn("j", F.col("blocks") + F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("guest_blocks")))
+        .select("node", "grp", F.explode(to(F.col("blocks"))).alias("i"), "j", F.lit(1).alias("side"))
+    )
+    units = members_in.unionByName(guests_in).join(texts, "node")
+    within = stored(units.groupBy("grp", "i", "j").applyInPandas(_compare_blocks, "node long, links long, root long"))
+    pair_texts = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
     across = stored(pair_texts.mapInPandas(_compare_pairs, "a long, b long, copies_a long, copies_b long").distinct())
