@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from visitline.llm.common import only
 
 #: Texts that the network is trained on, at most about, and windows of each.
-SAMPLE, PER_TEXT = 4_000, 4
-WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 12, 8
+SAMPLE, PER_TEXT = 8_000, 4
+WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 EPOCHS, BATCH, RATE, SEED = 6, 64, 0.01, 11
-#: Pipeline: a document stays if a language is found with at least this score.
-KEEP = 0.5
+#: Pipeline: a document stays if a language is found with at least this score (near-even probabilities are rejected).
+KEEP = 0.3
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
