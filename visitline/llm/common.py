@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitline.session import checkpoint_dir, cut_lineage
 
-__all__ = ["stored", "shared_path", "table", "only", "global_rank", "components", "is_empty"]
+__all__ = ["stored", "shared_path", "table", "only", "as_rows", "global_rank", "components", "is_empty"]
 
 #: Written to the session's shared checkpoint folder and read again.
 stored = cut_lineage
@@ -31,6 +31,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def as_rows(df: DataFrame) -> DataFrame:
+    """``df`` as one struct column ``row``, so that helper columns can't clash with its own; ``select("row.*")`` undoes it."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

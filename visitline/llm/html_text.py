@@ -3,7 +3,7 @@
 Markup is stripped to lines: block elements and ``<br>`` end a line, everything else
 runs on. A line inside a boilerplate element (menus, page headers, footers, sidebars,
 notices, adverts, forms, reader comments, scripts, styles) has no weight; link texts
-have none either, and on a page with an article element, nor have lines outside it.
+outside an article element have none either, nor, on a page with one, has any line outside it.
 The weights of each window of ``WINDOW`` lines are summed. A surge point is where the
 sum rises above ``SURGE`` (above 0 inside an article element), a dive point where it
 falls to 0 again. The lines with weight between surge and dive are kept, as are lines of
@@ -95,7 +95,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         piece = page[at : m.start() if m else len(page)]
         if piece:
             text.append(piece)
-            if not links:
+            if not links or articles:
                 plain += len(piece.strip())
         if m is None:
             break
@@ -152,9 +152,11 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         if sums[i] <= surge:
             i += 1
             continue
-        start = i  # surge; back to where the text before it begins
+        start = i  # surge
         while start > 0 and weights[start - 1] > 0:
             start -= 1
+        while not weights[start]:  # the window looks ahead: the text itself begins with its first weight
+            start += 1
         while i < n and sums[i] > 0:
             i += 1
         kept += [t for t, w, bad in rows[start:i] if not bad]  # dive

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitline.llm.common import components, only, stored
+from visitline.llm.common import as_rows, components, only, stored
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 BLOCK = 256
@@ -304,11 +304,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its columns: the one with the class's id; of repeated rows of that id, one."""
+    """One document of each class, with its columns: that of the class's id (of its repeated rows, one); rows without an id stay."""
     classes = near_classes(docs)
-    repeated = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min("class_id").alias("_class"))
-    first = repeated.where(F.col("doc_id") == F.col("_class")).select(F.col("doc_id").alias("_id"), "_n")
-    kept = docs.join(stored(first), docs["doc_id"].eqNullSafe(F.col("_id")))
-    once = kept.where("_n = 1").select(*[docs[c] for c in docs.columns])
-    several = kept.where("_n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several).unionByName(docs.where(docs["doc_id"].isNull()))
+    first = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id"))
+    first = stored(first.where(F.col("doc_id") == F.col("class_id")).select("doc_id", "n"))
+    rows = as_rows(docs)
+    kept = rows.join(first, rows["row.doc_id"] == first["doc_id"])
+    once = kept.where("n = 1").select("row.*")
+    several = kept.where("n > 1").withColumn("text", F.col("row.text")).dropDuplicates(["doc_id", "text"]).select("row.*")
+    return once.unionByName(several).unionByName(rows.where("row.doc_id is null").select("row.*"))

@@ -24,7 +24,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitline.llm.common import only
+from visitline.llm.common import as_rows, only
 
 #: Texts that the network is trained on, at most about, and windows of each.
 SAMPLE, PER_TEXT = 8_000, 4
@@ -173,8 +173,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> bytes:
     return bytes(got[0]["model"]) if got else pickle.dumps({"langs": []})
 
 
-def with_language(docs: DataFrame, model: bytes) -> DataFrame:
-    """``docs`` (with ``text``) and ``_lid`` = struct(lang, score)."""
+def with_language(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
+    """``docs`` and ``lid`` = struct(lang, score) of every whole ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
 
     @F.pandas_udf("lang string, score double")
@@ -184,7 +184,7 @@ def with_language(docs: DataFrame, model: bytes) -> DataFrame:
             langs, scores = predict(net, list(texts))
             yield pd.DataFrame({"lang": langs, "score": scores})
 
-    return docs.withColumn("_lid", lid("text"))
+    return docs.withColumn("lid", lid(text))
 
 
 def predictions(docs: DataFrame) -> DataFrame:
@@ -192,11 +192,11 @@ def predictions(docs: DataFrame) -> DataFrame:
     docs = only(docs, "doc_id", "text", "lang")
     found = with_language(docs.select("doc_id", "text"), train(docs))
     return found.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lid.lang").alias("lang_pred"), F.col("_lid.score").alias("score")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("lid.lang").alias("lang_pred"), F.col("lid.score").alias("score")
     )
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised with a score of ``KEEP`` at least, with their columns."""
-    found = with_language(docs, train(docs))
-    return found.where((F.col("_lid.lang") != UND) & (F.col("_lid.score") >= KEEP)).select(*[docs[c] for c in docs.columns])
+    found = with_language(as_rows(docs), train(docs), "row.text")
+    return found.where((F.col("lid.lang") != UND) & (F.col("lid.score") >= KEEP)).select("row.*")

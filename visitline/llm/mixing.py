@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitline.llm.common import global_rank, stored
+from visitline.llm.common import as_rows, global_rank, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
@@ -111,35 +111,25 @@ def mix_plan(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) ->
     return sized, repetition_plan(sized, source_targets(sized, max_epochs))
 
 
-def with_copies(df: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """``df`` (doc_id, source, ...) with ``copies``, the number of times the mix takes each document."""
-    p = plan.select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut")
-    )
-    joined = df.join(p, df["source"].eqNullSafe(p["_source"]), "left")
-    copies = F.col("_whole") + (place(df["doc_id"], seed) < F.col("_cut")).cast("long")
-    return joined.withColumn("_copies", copies)
+def with_copies(df: DataFrame, plan: DataFrame, row: str = "", seed: int = SEED) -> DataFrame:
+    """``df`` with its source's plan and ``copies``, how often the mix takes the row. ``row``: prefix of its doc_id and source."""
+    p = plan.withColumnRenamed("source", "of_source")
+    joined = df.join(p, F.col(f"{row}source").eqNullSafe(F.col("of_source")), "left")
+    return joined.withColumn("copies", F.col("whole") + (place(F.col(f"{row}doc_id"), seed) < F.col("cut")).cast("long"))
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it, with the columns of ``docs``."""
     _, plan = mix_plan(docs, max_epochs, seed)
-    taken = with_copies(docs, plan, seed).where(F.col("_copies") > 0)
-    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return copies.select(*[docs[c] for c in docs.columns])
+    taken = with_copies(as_rows(docs), plan, "row.", seed).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """The registered result: one row per document with its size, its source's figures and the words taken."""
     sized, plan = mix_plan(docs)
-    return with_copies(sized, plan).select(
-        "doc_id",
-        "source",
-        "size",
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_copies") * F.col("size")).alias("taken"),
-    )
+    taken = with_copies(sized, plan).withColumn("taken", F.col("copies") * F.col("size"))
+    return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 MIX_SQL = r"""

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitline.llm.common import only, stored
+from visitline.llm.common import as_rows, only, stored
 
 #: Labelled rows that the machine is fitted on, at most about.
 SAMPLE = 12_000
@@ -173,8 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
     return bytes(got[0]["model"]) if got else pickle.dumps(fit([], np.zeros(0)))
 
 
-def with_scores(docs: DataFrame, model: bytes, name: str = "score") -> DataFrame:
-    """``docs`` (with ``text``) and the score of every whole text."""
+def with_scores(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
+    """``docs`` and the ``score`` of every whole ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_FEATURES
 
     @F.pandas_udf("double")
@@ -183,7 +183,7 @@ def with_scores(docs: DataFrame, model: bytes, name: str = "score") -> DataFrame
         for texts in batches:
             yield pd.Series([scorer(t) for t in texts], dtype="float64")
 
-    return docs.withColumn(name, score("text"))
+    return docs.withColumn("score", score(text))
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -197,5 +197,5 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
-    scored = with_scores(docs, train(docs, labels), "_score")
-    return scored.where(F.col("_score") < THRESHOLD).select(*[docs[c] for c in docs.columns])
+    scored = with_scores(as_rows(docs), train(docs, labels), "row.text")
+    return scored.where(F.col("score") < THRESHOLD).select("row.*")
