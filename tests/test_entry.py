@@ -16,7 +16,23 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._study_queries()) == set(E.oracle.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_works_without_the_training_data_folders(tmp_path):
+    """The rest of the library imports and lists its queries when the optional folders are gone."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "visitline", tmp_path / "visitline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; assert set(e.queries()) == set(e.oracle_sql()); print(len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0 and int(done.stdout) == 31, done.stderr
 
 
 @pytest.fixture(scope="module")

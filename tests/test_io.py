@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import day
 
+from pyspark.sql import functions as F
+
 from visitline.operators import stack
 from visitline.sources import forms, sinks
 from visitline.sources.studies import STUDIES
@@ -41,10 +44,12 @@ def test_normalise_lowercases_names(spark):
 
 def test_catalogue_of_a_folder(spark, tmp_path):
     folder = form_folder(spark, tmp_path)
-    # Forms are directories here; list their part files and name the form by directory.
-    listed = forms.list_form_files(spark, str(folder / "*"), ".parquet", exclude=STUDIES["EFACTS"].exclude)
-    names = {r.path.split("/")[-2].replace(".parquet", "") for r in listed.collect()}
-    assert names == {"sara", "SARA", "_9hpt", "adl_codes", "clat1"}  # part files are not excluded by name
+    # Forms are folders of part files here (Spark never lists names starting with "_").
+    listed = forms.list_form_files(spark, str(folder), ".parquet", exclude=STUDIES["EFACTS"].exclude, skip_codes=True).collect()
+    assert sorted((r.crf, r.path) for r in listed) == [(n, f"{folder}/{n}.parquet") for n in ("clat1", "sara")]
+    everything = forms.list_form_files(spark, str(folder), ".parquet").collect()
+    assert {r.crf for r in everything} == {"SARA", "adl_codes", "clat1", "sara"}
+    assert {r.crf for r in forms.load_forms(spark, str(folder), exclude=("SARA",)).select("crf").distinct().collect()} == {"adl_codes", "clat1", "sara"}
 
 
 def test_load_and_stack_forms(spark, tmp_path):
@@ -58,6 +63,7 @@ def test_load_and_stack_forms(spark, tmp_path):
         loaded.withColumn("study", loaded.sjid.cast("string")),
         study=efacts.name,
         exclude=efacts.exclude,
+        skip_codes=efacts.skip_codes,
         require_visit_number=efacts.require_visit_number,
     ).collect()
     got = sorted((r.crf, r.avisit, r.avisitn, r.study) for r in out)
@@ -80,7 +86,7 @@ def test_load_forms_single_scan(spark, tmp_path):
         ).write.parquet(str(tmp_path / "tmp" / name))
         part = next((tmp_path / "tmp" / name).glob("part-*.parquet"))
         part.rename(folder / f"{name}.parquet")
-    df = forms.load_forms(spark, str(folder))
+    df = forms.load_forms(spark, str(folder), skip_codes=True)
     assert {r.crf for r in df.collect()} == {"sara"}
     assert "avisitn" in df.columns
 
@@ -92,6 +98,9 @@ def test_pivot_and_key_guard(spark):
     )
     wide = stack.pivot_form(form, ["sjid", "avisit"], "acuity", "ou100_1", values=["100", "125"], drop=["od100_1"])
     assert sorted(map(tuple, wide.collect())) == [(1, "V1", 0.5, 0.7), (2, "V1", 0.4, None)]
+    twice = form.union(form.limit(1).withColumn("ou100_1", F.lit(0.9)))
+    with pytest.raises(Exception, match="several rows for one cell of sjid=1, avisit=V1"):
+        stack.pivot_form(twice, ["sjid", "avisit"], "acuity", "ou100_1", values=["100", "125"], drop=["od100_1"]).collect()
     assert stack.duplicate_key_rows(form, ["sjid", "avisit", "acuity"]).count() == 0
     assert stack.duplicate_key_rows(form, ["sjid", "avisit"]).count() == 1
 

@@ -40,9 +40,9 @@ def test_flag_job_writes_flags_and_visit_dates(spark, tmp_path):
 def test_repair_job_writes_visit_dates_with_age(spark, tmp_path):
     folder = tmp_path / "CRCSCA"
     folder.mkdir()
-    put(folder, "sara", SJID=[1, 1, 1], AVISIT=["BL", "V1", "PRN"], AVISITN=[0.0, 1.0, 2.0], ADT=[day(0), day(100), day(150)])
+    put(folder, "sara", SJID=[1, 1, 1], AVISIT=["BL", "V1", "PRN"], AVISITN=[0.0, 1.0, 2.0], ADT=[day(0), day(100), day(150)], SCORE=[5.0, 6.0, 7.0])
     # The "_9hpt" form is stored as "nhpt" (Spark never reads files named "_...").
-    put(folder, "nhpt", SJID=[1, 1], AVISIT=["BL", "V1"], AVISITN=[0.0, 1.0], ADT=[day(4), day(100)])
+    put(folder, "nhpt", SJID=[1, 1], AVISIT=["BL", "V1"], AVISITN=[0.0, 1.0], ADT=[day(4), day(100)], TIME=[9.0, 8.0])
     put(folder, "registration", SJID=[1], AVISIT=["BL"], AVISITN=[0.0], ADT=[day(0)])  # excluded form
     reg = spark.createDataFrame([("CRCSCA", 1, 30.0, None)], "study string, sjid long, start_age double, registration_age double")
     dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
@@ -55,6 +55,56 @@ def test_repair_job_writes_visit_dates_with_age(spark, tmp_path):
 def test_study_settings_are_complete():
     assert set(STUDIES) == {"CRCSCA", "EFACTS", "FACHILD", "FACOMS", "UNIFAI"}
     assert STUDIES["FACHILD"].breaks[-1] == 3000
+    assert {"TimeZone", "AE", "MH", "SCO"} <= set(STUDIES["UNIFAI"].exclude)
+    assert {n for n, s in STUDIES.items() if s.skip_codes} == {"EFACTS", "UNIFAI"}
+    assert {n for n, s in STUDIES.items() if s.relabels} == {"CRCSCA", "FACHILD", "FACOMS"}
+    assert all(s.exclude for s in STUDIES.values())
+
+
+def test_base_form_is_loaded_by_name_and_unfiltered(spark, tmp_path):
+    """UNIFAI: the base file is excluded as a form but loaded as base, keeps rows without a visit number and is relabelled."""
+    folder = tmp_path / "UNIFAI"
+    folder.mkdir()
+    put(folder, "mfar", SJID=[1, 1], AVISIT=["V1", "Unscheduled"], AVISITN=["1", ""], ADT=[day(0), day(5)], SCORE=[1.0, 2.0])
+    put(folder, "ataxia", SJID=[1, 1], AVISIT=["V1", "V2"], AVISITN=[1.0, None], ADT=[day(0), day(9)], SCORE=["a", "b"])  # unlike types
+    for name in ("AE", "MH", "SCO", "TimeZone", "ataxia_codes"):
+        put(folder, name, SJID=[1], AVISIT=["V1"], AVISITN=["1"], ADT=[day(90)])
+    study = STUDIES["UNIFAI"]
+    rows = jobs.stack_study(jobs.load_study_forms(spark, str(folder), study, suffix=".parquet"), study).collect()
+    assert sorted((r.crf, r.avisit) for r in rows) == [("ataxia", "V1"), ("fars", "Unscheduled"), ("fars", "V1")]
+
+
+def test_normalised_folder_feeds_the_jobs(spark, tmp_path):
+    """A study folder is normalised, and the flag and repair jobs read what was written (folders of part files)."""
+    raw, clean = tmp_path / "raw", tmp_path / "clean"
+    raw.mkdir()
+    put(raw, "sara", SJID=[1, 1, 1], AVISIT=["BL", "V1", "V2"], AVISITN=[0.0, 1.0, 2.0], ADT=[day(0), day(100), day(130)], X=["p", "q", "q"])
+    put(raw, "nhpt", SJID=[1, 1], AVISIT=["BL", "V1"], AVISITN=[0.0, 1.0], ADT=[day(4), day(100)], X=["r", "s"])
+    assert jobs.normalise_study(spark, str(raw), str(clean), ".parquet") == ["nhpt", "sara"]
+    study = STUDIES["CRCSCA"]
+    loaded = jobs.load_study_forms(spark, str(clean), study)
+    # The second "q" row of sara repeats the first one's content: the earliest date stays.
+    assert sorted((r.crf, r.avisit) for r in loaded.collect()) == [("nhpt", "BL"), ("nhpt", "V1"), ("sara", "BL"), ("sara", "V1")]
+    flags = jobs.run_flag_study(spark, str(clean), "CRCSCA", str(tmp_path / "out"), dt.date(2026, 1, 2))
+    assert spark.read.parquet(flags["flags"]).count() == 2
+    reg = spark.createDataFrame([("CRCSCA", 1, 30.0, None)], "study string, sjid long, start_age double, registration_age double")
+    dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
+    out = jobs.run_repair_study(spark, str(clean), "CRCSCA", reg, dem, str(tmp_path / "out2"), dt.date(2026, 1, 2))
+    assert {k: spark.read.parquet(p).count() for k, p in out.items()} == {"visit_dates": 2, "conflicts": 0, "counts": 1}
+
+
+def test_known_age_wins_a_tie(spark):
+    from visitline.operators.ages import baseline_age
+
+    reg = spark.createDataFrame([("S", 1, None, 30.0), ("S", 1, 28.0, None)], "study string, sjid long, start_age double, registration_age double")
+    dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
+    assert [r.start_age for r in baseline_age(reg, dem).collect()] == [28.0]
+
+
+def test_partition_sizing_has_no_upper_cap():
+    from visitline.session import scale_conf
+
+    assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == str(100 * 2**40 // 2**28)
 
 
 def test_distinct_key_study_keeps_base_rows(spark):

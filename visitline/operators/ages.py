@@ -23,7 +23,7 @@ def baseline_age(registration: DataFrame, demographics: DataFrame) -> DataFrame:
 
     Registration rows get the subject's demographics (left join on ``sjid``);
     one row per subject is kept (earliest demographics date, then age at
-    registration, missing last). The age falls back from start age to
+    registration, start age and registration age, a missing one last each). The age falls back from start age to
     registration age to age at registration; when both of the first two are
     missing, the demographics date is kept as the date the age refers to.
     Subjects without an age, or with an age of 1 or less, are removed.
@@ -35,7 +35,7 @@ def baseline_age(registration: DataFrame, demographics: DataFrame) -> DataFrame:
     first = first_by(
         joined,
         SUBJECT,
-        nulls_last_key("dm_day", "ageatregistration"),
+        nulls_last_key("dm_day", "ageatregistration", "start_age", "registration_age"),
         ["start_age", "registration_age", "ageatregistration", "dm_date"],
     )
     first_two = F.coalesce("start_age", "registration_age")

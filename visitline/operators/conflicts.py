@@ -121,16 +121,11 @@ def conflict_shared_forms(summary: DataFrame) -> DataFrame:
 
 
 REVIEW_ORDER = ("study", "sjid", "avisitn", "adt_day", "conflict_type")
-REVIEW_ROWS = 1050
 
 
-def conflict_review(shared: DataFrame, n: int = REVIEW_ROWS) -> DataFrame:
-    """The printed review list: shared-forms rows in entry order, at most ``n`` (K5, O3).
-
-    The order is unique per entry, so the cut is deterministic. Spark keeps
-    ``n`` rows per task and merges them (a top-n), without sorting the table.
-    """
-    return shared.orderBy(*[F.asc_nulls_last(c) for c in REVIEW_ORDER]).limit(n)
+def conflict_review(shared: DataFrame) -> DataFrame:
+    """The review list: every shared-forms row, in entry order (K5, O3)."""
+    return shared.orderBy(*[F.asc_nulls_last(c) for c in REVIEW_ORDER])
 
 
 def resolve_conflicts(summary: DataFrame) -> DataFrame:

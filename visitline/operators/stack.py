@@ -38,22 +38,26 @@ def stack_forms(
     require_visit_number: bool = False,
     relabels: Mapping[str, str] = FORM_RELABEL,
     extra: Sequence[str] = (),
+    base_form: str | None = None,
+    skip_codes: bool = False,
 ) -> DataFrame:
     """All forms of a study as one ``OBS`` table.
 
     ``forms`` holds every form's rows with the form name in ``crf`` (see
     ``sources.forms.load_forms`` / ``union_forms``). Rules, as in the study
-    scripts: excluded forms and code lists are dropped; as-needed visits are
+    scripts: excluded forms and, where the study says so, code lists are dropped; as-needed visits are
     dropped (``avisit <> 'PRN'``, a missing label is dropped too) or rows
     without a visit number are dropped; form files are relabelled; ``study``
-    is set to a constant when given, even if the source has one.
+    is set to a constant when given, even if the source has one. The rows of
+    ``base_form`` are neither excluded nor dropped for a missing visit number.
     """
-    df = forms.where(in_scope("crf", exclude))
+    base = F.col("crf").eqNullSafe(F.lit(base_form)) if base_form else F.lit(False)
+    df = forms.where(in_scope("crf", exclude, skip_codes) | base)
     if drop_as_needed:
         df = df.where(F.col("avisit") != F.lit(AS_NEEDED))
     df = df.withColumn("avisitn", visit_number(df))
     if require_visit_number:
-        df = df.where(F.col("avisitn").isNotNull())
+        df = df.where(F.col("avisitn").isNotNull() | base)
     df = df.withColumn("crf", relabel("crf", relabels)).withColumn("adt", visit_date(df))
     if study is not None:
         df = df.withColumn("study", F.lit(study))
@@ -95,14 +99,20 @@ def pivot_form(
     value: str,
     values: Sequence[str] | None = None,
     drop: Sequence[str] = (),
+    smallest: bool = False,
 ) -> DataFrame:
     """Long to wide: one column per ``key`` value holding ``value``.
 
-    The R reshape fails on two rows with the same ids and key; here such rows
-    resolve to their smallest value (``duplicate_key_rows`` finds them).
-    ``values`` fixes the output columns; without it Spark finds them first.
+    Two rows with the same ids and key are an error that names the ids, as in the
+    R reshape (the rows are counted in the same aggregate); with ``smallest`` they
+    resolve to their smallest value. ``values`` fixes the output columns; without
+    it Spark finds them first.
     """
     df = form.drop(*drop)
     grouped = df.groupBy(*ids)
     pivoted = grouped.pivot(key, list(values)) if values is not None else grouped.pivot(key)
-    return pivoted.agg(F.min(value))
+    if smallest:
+        return pivoted.agg(F.min(value))
+    where = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.first(F.col(c).cast("string"))) for c in ids])
+    error = F.raise_error(F.concat(F.lit("several rows for one cell of "), where))
+    return pivoted.agg(F.when(F.count(F.lit(1)) > 1, error).otherwise(F.min(value)))

@@ -10,19 +10,27 @@ stacks them, runs the operators and writes dated tables.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitline.operators import ages as ages_ops
-from visitline.operators import flags
-from visitline.operators.stack import dedupe_form_keys, pivot_form, stack_forms
+from visitline.operators import conflicts, flags
+from visitline.operators.stack import (
+    AS_NEEDED,
+    dedupe_form_keys,
+    dedupe_form_rows,
+    pivot_form,
+    stack_forms,
+    visit_date,
+    visit_number,
+)
 from visitline.plans import pipelines
-from visitline.session import cut_lineage
+from visitline.session import configure, cut_lineage
 from visitline.sources import forms as form_io
 from visitline.sources import sinks
-from visitline.sources.forms import FORM_RELABEL
 from visitline.sources.studies import STUDIES, Study
 
 Prepare = Callable[[DataFrame], DataFrame]
@@ -46,29 +54,69 @@ FACOMS_PREPARE: dict[str, Prepare] = {
 PREPARE: dict[str, dict[str, Prepare]] = {"FACOMS": FACOMS_PREPARE}
 
 
+EXTRA = ("hpf", "fpf")
+
+
+def _visit_rows(form: DataFrame, name: str, study: Study) -> DataFrame | None:
+    """A form's rows as visit keys of fixed types (None if it has no visit scheme).
+
+    Projecting before the forms are appended keeps unlike columns of the same name apart.
+    """
+    if not {"sjid", "avisit"} <= set(form.columns):
+        return None
+    if study.dedupe_rows and name != study.base_form:
+        if study.drop_as_needed:
+            form = form.where(F.col("avisit") != F.lit(AS_NEEDED))
+        form = dedupe_form_rows(form)
+    typed = {
+        "study": F.lit(study.name),
+        "avisit": F.col("avisit").cast("string"),
+        "avisitn": visit_number(form) if "avisitn" in form.columns else F.lit(None).cast("double"),
+        "adt": visit_date(form) if "adt" in form.columns else F.lit(None).cast("date"),
+        "crf": F.lit(name),
+    }
+    extra = {c: F.col(c).cast("string") for c in EXTRA if c in form.columns}
+    return form.select("sjid", *[c.alias(k) for k, c in (typed | extra).items()])
+
+
 def load_study_forms(
     spark: SparkSession,
     folder: str,
     study: Study,
     fmt: str = "parquet",
-    suffix: str = ".parquet",
+    suffix: str | None = None,
     options: Mapping[str, str] | None = None,
     prepare: Mapping[str, Prepare] | None = None,
 ) -> DataFrame:
-    """Forms of a study folder, prepared and appended (one ``crf`` per form)."""
-    catalogue = form_io.list_form_files(spark, folder, suffix, exclude=study.exclude)
-    # The catalogue is one row per form file: small metadata, listed once.
-    paths = {r.crf: r.path for r in catalogue.collect()}
+    """Forms of a study folder, the base form first, each prepared and projected to its visit rows, then appended.
+
+    ``suffix`` is by default the study's. The base form is found by name, also
+    when its own file is excluded (in another letter case, if need be).
+    """
+    suffix = study.suffix if suffix is None else suffix
+    everything = form_io.list_form_files(spark, folder, suffix)
+    # One row per form: small metadata, listed once.
+    paths = {r.crf: r.path for r in everything.collect()}
+    wanted = {n: p for n, p in paths.items() if n not in study.exclude and not (study.skip_codes and "_codes" in n)}
+    base = study.base_form
+    if base and base not in wanted:
+        found = base if base in paths else next((n for n in sorted(paths) if n.lower() == base.lower()), None)
+        if found:
+            wanted[base] = paths[found]
     prepare = PREPARE.get(study.name, {}) if prepare is None else prepare
-    loaded = {}
-    for name, path in sorted(paths.items()):
-        df = form_io.normalise_columns(spark.read.format(fmt).options(**(options or {})).load(path))
-        loaded[name] = prepare[name](df) if name in prepare else df
-    return form_io.union_forms(loaded)
+    loaded = []
+    for name in sorted(wanted, key=lambda n: (n != base, n)):
+        df = form_io.normalise_columns(spark.read.format(fmt).options(**(options or {})).load(wanted[name]))
+        rows = _visit_rows(prepare[name](df) if name in prepare else df, name, study)
+        if rows is not None:
+            loaded.append(rows)
+    if not loaded:
+        raise ValueError(f"no form of {folder} has a visit scheme")
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
 
 
 def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) -> DataFrame:
-    relabels = dict(FORM_RELABEL)
+    relabels = dict(study.relabels)
     base = study.base_form
     if base and study.base_label:
         relabels[base] = study.base_label
@@ -81,13 +129,13 @@ def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) ->
         require_visit_number=study.require_visit_number,
         relabels=relabels,
         extra=extra,
+        base_form=study.base_form,
+        skip_codes=study.skip_codes,
     )
     if not study.distinct_keys:
         return obs
-    # One pass: base-form rows carry a row id and stay; other rows collapse to distinct keys.
-    row_id = F.when(F.col("crf") == F.lit(base), F.monotonically_increasing_id())
-    keys = [*obs.columns, "__row"]
-    return dedupe_form_keys(obs.withColumn("__row", row_id), keys).drop("__row")
+    is_base = F.col("crf") == F.lit(base)
+    return obs.where(is_base).unionByName(dedupe_form_keys(obs.where(~is_base), obs.columns))
 
 
 def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
@@ -114,16 +162,17 @@ def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
 def repair_study(forms: DataFrame, registration: DataFrame, demographics: DataFrame, study: Study) -> dict[str, DataFrame]:
     """Repair outputs of one study: conflicts for review, clean visits, counts, visit dates with age."""
     obs = stack_study(forms, study)
-    subject_ages = ages_ops.baseline_age(registration, demographics)
+    subject_ages = cut_lineage(ages_ops.baseline_age(registration, demographics))
     stacked = ages_ops.subjects_with_age(obs, subject_ages)
     visits = cut_lineage(pipelines.repair_stage(stacked, "snap_to_median"))
-    stage = lambda name: pipelines.conflict_stage(visits, subject_ages, name)
+    summary = cut_lineage(conflicts.conflict_summary(conflicts.conflict_rows(visits)))
+    clean = cut_lineage(conflicts.clean_visits(visits, summary, conflicts.resolve_conflicts(summary)))
     return {
         "ages": subject_ages,
-        "conflicts": stage("conflict_review"),
-        "clean_visits": stage("clean_visits"),
-        "counts": stage("visit_counts"),
-        "visit_dates": stage("visit_dates_with_age"),
+        "conflicts": conflicts.conflict_review(conflicts.conflict_shared_forms(summary)),
+        "clean_visits": clean,
+        "counts": conflicts.visit_counts(clean),
+        "visit_dates": conflicts.visit_dates_with_age(clean, subject_ages),
     }
 
 
@@ -137,6 +186,7 @@ def run_flag_study(
 ) -> dict[str, str]:
     """Flag job: write ``visit.flags.<study>`` and ``visit.dates.<study>``; returns their paths."""
     study = STUDIES[study_name]
+    configure(spark)
     out = flag_study(load_study_forms(spark, folder, study, **load_options), study)
     return {
         "flags": sinks.write_dated(out["flags"], f"{out_base}/visit.flags.{study.name}", run_date, order=("sjid", "avisitn")),
@@ -156,10 +206,20 @@ def run_repair_study(
     run_date: dt.date | None = None,
     **load_options,
 ) -> dict[str, str]:
-    """Repair job: write ``visit.dates.<study>`` (visit dates with age); returns its path."""
+    """Repair job: write visit dates with age, the conflicts for review and the counts; returns their paths."""
     study = STUDIES[study_name]
+    configure(spark)
     out = repair_study(load_study_forms(spark, folder, study, **load_options), registration, demographics, study)
-    path = sinks.write_dated(
-        out["visit_dates"], f"{out_base}/visit.dates.{study.name}", run_date, order=("sjid", "avisitn", "adt_day")
-    )
-    return {"visit_dates": path}
+    orders = {"visit_dates": ("sjid", "avisitn", "adt_day"), "conflicts": conflicts.REVIEW_ORDER, "counts": ()}
+    names = {"visit_dates": "visit.dates", "conflicts": "visit.conflicts", "counts": "visit.counts"}
+    return {k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items()}
+
+
+def normalise_study(spark: SparkSession, folder: str, out_folder: str, suffix: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> list[str]:
+    """Every form of a folder with lower-case columns, written as Parquet and text copies; returns the stored names."""
+    found = form_io.list_form_files(spark, folder, suffix).collect()  # one row per form
+    names = []
+    for r in sorted(found, key=lambda r: r.crf):
+        form = spark.read.format(fmt).options(**(options or {})).load(r.path)
+        names.append(sinks.write_normalised(form_io.normalise_columns(form), out_folder, r.crf))
+    return names

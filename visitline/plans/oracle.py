@@ -52,7 +52,8 @@ regdem as (
 first_reg as (
   select * from regdem
   qualify row_number() over (partition by study, sjid
-                             order by dm_day nulls last, ageatregistration nulls last) = 1),
+                             order by dm_day nulls last, ageatregistration nulls last,
+                                      start_age nulls last, registration_age nulls last) = 1),
 ages as (
   select study, sjid,
          coalesce(start_age, registration_age, ageatregistration) as start_age,
@@ -209,10 +210,10 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
         # forms and I/O
         "stack_forms": _with(OBS, body=f"""
             select study, sjid, avisit, avisitn, crf, adt from obs
-            where avisit <> 'PRN' and crf not in ({crcsca_exclude}) and crf not like '%\\_codes%' escape '\\'"""),
+            where avisit <> 'PRN' and crf not in ({crcsca_exclude})"""),
         "form_catalogue": _with(OBS, body=f"""
             select distinct crf from obs
-            where crf not in ({crcsca_exclude}) and crf not like '%\\_codes%' escape '\\'"""),
+            where crf not in ({crcsca_exclude})"""),
         "normalise_columns": "select * from lineitem",
         "dedupe_form_rows": _with(OBS, body="""
             select study, sjid, avisit, avisitn, crf, adt, hpf, qty, status from obs
@@ -272,8 +273,7 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
                                              lambda a, b: list_intersect(a, b))) as shared
                 from c17k window g as (partition by sjid, conflict_type, group_key))
               where n_entries > 1)
-            order by study, sjid, avisitn nulls last, adt_day nulls last, conflict_type
-            limit 1050"""),
+            order by study, sjid, avisitn nulls last, adt_day nulls last, conflict_type"""),
         "resolve_conflicts": rep("select * from c19"),
         "clean_visits": rep("""
             select *, cast(date '1970-01-01' + cast(floor(adt_day) as integer) as date) as adt from c20"""),

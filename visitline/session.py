@@ -7,6 +7,9 @@ build a local session with ``local_session``.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -29,12 +32,12 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict
     """Shuffle and scan sizing for an input of ``input_bytes`` (compressed Parquet).
 
     The first shuffle gets one partition per ``target_partition_bytes`` of
-    input (at least 200, at most 100,000); AQE then coalesces partitions that
+    input (at least 200); AQE then coalesces partitions that
     the projections and partial aggregates made small, towards 128 MB each.
-    Scans split files at 256 MB. At 100 TB that is 100,000 initial shuffle
-    partitions and about 400,000 scan tasks.
+    Scans split files at 256 MB. At 100 TB that is about
+    400,000 initial shuffle partitions and as many scan tasks.
     """
-    partitions = max(200, min(100_000, -(-input_bytes // target_partition_bytes)))
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
@@ -71,8 +74,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder (``spark.checkpoint.dir``).
 
-    Only a local session without one gets a fresh temporary folder; a
-    cluster session must name a shared folder. On a Spark Connect client,
+    Only a local session (one process) without one gets a fresh temporary
+    folder, removed when it ends; a cluster session must name a shared folder. On a Spark Connect client,
     which has no SparkContext, the configured folder is used as it is.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -86,9 +89,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder to cut lineage on a cluster")
         configured = tempfile.mkdtemp(prefix="visitline-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -1,15 +1,15 @@
 """Form catalogue, form loading and column normalisation.
 
-A study arrives as a folder with one file per form. The scripts list the
-folder, drop code lists and non-visit forms, load each remaining form, tag its
-rows with the form name and append them one by one. On Spark the folder is
-read once: the form name comes from ``_metadata.file_name`` and the catalogue
-rules become filters on that column, so one scan serves every form.
+A study arrives as a folder of forms. The scripts list the folder, drop code
+lists and non-visit forms, load each remaining form, tag its rows with the form
+name and append them one by one. Here a form is a file or a folder of part
+files: its name is the first path segment below the study folder.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +33,18 @@ def form_name(file_name: str | Column, suffix: str) -> Column:
     return F.regexp_replace(col, pattern, F.lit(""))
 
 
-def in_scope(form: str | Column, exclude: Iterable[str] = (), skip_codes: bool = True) -> Column:
+def form_of_path(path: str | Column, folder: str, suffix: str) -> Column:
+    """Form name from a file's path: the first segment below ``folder``, if it ends in ``suffix`` (else NULL).
+
+    A form may be one file or a folder of part files.
+    """
+    col = F.col(path) if isinstance(path, str) else path
+    below = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", folder).rstrip("/") + "/"
+    segment = F.split_part(F.substring_index(col, below, -1), F.lit("/"), F.lit(1))
+    return F.when(F.contains(col, F.lit(below)) & segment.endswith(suffix), form_name(segment, suffix))
+
+
+def in_scope(form: str | Column, exclude: Iterable[str] = (), skip_codes: bool = False) -> Column:
     """Catalogue rule: not excluded (case-sensitive), not a code list."""
     col = F.col(form) if isinstance(form, str) else form
     cond = ~col.isin(*list(exclude)) if exclude else F.lit(True)
@@ -54,7 +65,7 @@ def form_catalogue(
     forms: DataFrame,
     form_col: str = "crf",
     exclude: Sequence[str] = (),
-    skip_codes: bool = True,
+    skip_codes: bool = False,
 ) -> DataFrame:
     """Distinct form names in scope (one row per form)."""
     return forms.select(F.col(form_col).alias("crf")).distinct().where(in_scope("crf", exclude, skip_codes))
@@ -65,24 +76,19 @@ def list_form_files(
     folder: str,
     suffix: str,
     exclude: Sequence[str] = (),
-    skip_codes: bool = True,
+    skip_codes: bool = False,
 ) -> DataFrame:
     """Catalogue of a folder: ``crf, path`` for every in-scope file ending in ``suffix``.
 
-    ``binaryFile`` lists files in parallel and never reads their content here,
-    because only ``path`` is selected. Like every Spark file source it skips
-    names starting with ``_`` or ``.``; ``sinks.write_normalised`` stores
-    such forms under their study name.
+    A form is a file, or a folder of part files. ``binaryFile`` lists files in
+    parallel and never reads their content here, because only ``path`` is
+    selected. Like every Spark file source it skips names starting with ``_`` or
+    ``.``; ``sinks.write_normalised`` stores such forms under their study name.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(folder)
-        .select("path")
-    )
-    file_name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return files.select(form_name(file_name, suffix).alias("crf"), "path").where(
-        in_scope("crf", exclude, skip_codes)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    named = files.select(form_of_path("path", folder, suffix).alias("crf")).where("crf is not null").distinct()
+    return named.where(in_scope("crf", exclude, skip_codes)).withColumn(
+        "path", F.concat(F.lit(folder.rstrip("/") + "/"), F.col("crf"), F.lit(suffix))
     )
 
 
@@ -105,7 +111,7 @@ def load_forms(
     fmt: str = "parquet",
     suffix: str = ".parquet",
     exclude: Sequence[str] = (),
-    skip_codes: bool = True,
+    skip_codes: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """All forms of a folder in one scan, with a ``crf`` column and lower-case names.
@@ -114,14 +120,14 @@ def load_forms(
     NULL). The catalogue filter reads only the file-name metadata column, so
     it is evaluated per file, not per value.
     """
-    reader = spark.read.format(fmt).option("pathGlobFilter", f"*{suffix}")
+    reader = spark.read.format(fmt).option("pathGlobFilter", f"{{*{suffix},part-*}}").option("recursiveFileLookup", "true")
     if fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = normalise_columns(reader.load(folder))
-    name = form_name(F.col("_metadata.file_name"), suffix)
-    return df.withColumn("crf", name).where(in_scope("crf", exclude, skip_codes))
+    name = form_of_path(F.col("_metadata.file_path"), folder, suffix)
+    return df.withColumn("crf", name).where(F.col("crf").isNotNull() & in_scope("crf", exclude, skip_codes))
 
 
 def union_forms(forms: Mapping[str, DataFrame], required: Sequence[str] = ("sjid", "avisit")) -> DataFrame:

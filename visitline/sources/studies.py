@@ -7,9 +7,11 @@ visit are dropped, and the span bins of its histogram.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from visitline.operators.flags import SPAN_BREAKS, SPAN_BREAKS_SHORT
+from visitline.sources.forms import FORM_RELABEL
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,12 @@ class Study:
     base_label: str | None = None
     # Forms other than the base are reduced to distinct visit-key rows before stacking.
     distinct_keys: bool = False
+    # Code lists (``..._codes``) are skipped.
+    skip_codes: bool = False
+    # File name -> form name.
+    relabels: Mapping[str, str] = field(default_factory=dict)
+    # Rows of a form that are equal but for visit and date are reduced to the first.
+    dedupe_rows: bool = False
 
 
 # Forms without a visit scheme, per study (case-sensitive names).
@@ -43,10 +51,13 @@ FACOMS_EXCLUDE = (
     "pregoutc", "sig", "visstat", "mhcnsnsus",
 )
 
+UNIFAI_EXCLUDE = ("TimeZone", "AE", "MH", "SCO", "mfar")
+
+# ``suffix`` is what follows the form name in a study's file names; the binary formats of three studies are converted to Parquet.
 STUDIES = {
-    "CRCSCA": Study("CRCSCA", ".rds", None, CRCSCA_EXCLUDE, drop_as_needed=True, require_visit_number=False),
-    "EFACTS": Study("EFACTS", ".csv", "sara", EFACTS_EXCLUDE),
-    "FACHILD": Study("FACHILD", ".sas7bdat", "faneuro", FACHILD_EXCLUDE, breaks=SPAN_BREAKS_SHORT),
-    "FACOMS": Study("FACOMS", ".sas7bdat", "faneuro", FACOMS_EXCLUDE),
-    "UNIFAI": Study("UNIFAI", ".csv", "mfar", (), base_label="fars", distinct_keys=True),
+    "CRCSCA": Study("CRCSCA", ".parquet", None, CRCSCA_EXCLUDE, drop_as_needed=True, require_visit_number=False, relabels=FORM_RELABEL, dedupe_rows=True),
+    "EFACTS": Study("EFACTS", "_export8_20220706_temp.csv", "sara", EFACTS_EXCLUDE, skip_codes=True),
+    "FACHILD": Study("FACHILD", ".parquet", "faneuro", FACHILD_EXCLUDE, breaks=SPAN_BREAKS_SHORT, relabels=FORM_RELABEL),
+    "FACOMS": Study("FACOMS", ".parquet", "faneuro", FACOMS_EXCLUDE, relabels=FORM_RELABEL),
+    "UNIFAI": Study("UNIFAI", ".txt", "mfar", UNIFAI_EXCLUDE, base_label="fars", distinct_keys=True, skip_codes=True),
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from visitline.operators.stack import stack_forms
-from visitline.sources.forms import form_name, normalise_columns
+from visitline.sources.forms import form_of_path, normalise_columns
 
 
 def stream_forms(
@@ -29,8 +29,9 @@ def stream_forms(
     raw = (
         spark.readStream.format(fmt)
         .schema(schema)
-        .option("pathGlobFilter", f"*{suffix}")
+        .option("pathGlobFilter", f"{{*{suffix},part-*}}")
+        .option("recursiveFileLookup", "true")
         .load(folder)
     )
-    forms = normalise_columns(raw).withColumn("crf", form_name(F.col("_metadata.file_name"), suffix))
+    forms = normalise_columns(raw).withColumn("crf", form_of_path(F.col("_metadata.file_path"), folder, suffix))
     return stack_forms(forms, **stack_options)
