@@ -172,7 +172,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     chain = stored(reachable(candidates(spark, path)))
     records = chain.where(F.col("pos") == F.col("owner"))
     parted = records.where(~F.col("whole")).select("file", F.col("pos").alias("owner"), "head_size", F.col("content").alias("_content"))
-    parts = chain.select("file", "seq", "owner").join(parted, ["file", "owner"])
+    # Written first: Spark then knows its size, and while it is small no payload is shuffled to find the few pieces.
+    parts = stored(chain.select("file", "seq", "owner").join(parted, ["file", "owner"]))
     text = _pieces(spark, path).select("file", "seq", "value").join(parts, ["file", "seq"])
     text = text.groupBy("file", "owner", "head_size", "_content").agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("_parts"))
     joined = F.array_join(F.col("_parts")["value"], MAGIC).cast("binary")
