@@ -88,7 +88,7 @@ def test_scale_conf_sizes_partitions_from_input():
     from visitline.session import scale_conf
 
     assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "409600"
     assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
 
 
