@@ -66,7 +66,7 @@ def spark_query(name, obs, subj):
         subject_ages = ages_ops.baseline_age(
             subj.select("study", "sjid", "start_age", "registration_age"), subj.select("sjid", "ageatregistration", "dm_date")
         )
-        stacked = ages_ops.subjects_with_age(stack_forms(obs, drop_as_needed=True), subject_ages)
+        stacked = ages_ops.subjects_with_age(pipelines.stack_for_repair(obs), subject_ages)
         if name in pipelines.REPAIR_ORDER:
             return pipelines.repair_stage(stacked, name)
         visits = cut_lineage(pipelines.repair_stage(stacked, "snap_to_median"))

@@ -14,7 +14,6 @@ from visitline.functions import (
     day_to_date,
     first_by,
     join_on_keys,
-    n_distinct_na,
     n_rows,
     nulls_last_key,
     own_shuffle,
@@ -32,36 +31,82 @@ DAYS_PER_YEAR = 365.25
 
 
 def visit_counts(visits: DataFrame) -> DataFrame:
-    """Rows, subjects, visits, dates and form records (missing values count as values)."""
-    return visits.agg(
-        n_rows().alias("total_rows"),
-        F.count_distinct(F.struct("study", "sjid")).alias("unique_subjects"),
-        F.count_distinct(F.struct("study", "sjid", "avisitn")).alias("unique_visits"),
-        F.count_distinct(F.struct("study", "sjid", "adt_day")).alias("unique_dates"),
-        F.count_distinct(F.struct("study", "sjid", "avisitn", "adt_day", "crf")).alias(
-            "unique_crf_records"
-        ),
+    """Rows, subjects, visits, dates and form records (missing values count as values).
+
+    Nested aggregates over coarser keys: visit entries first (their forms are
+    bounded by the catalogue), then the visits and dates of each subject. Raw
+    rows are aggregated map-side and never copied per distinct count.
+    """
+    entries = visits.groupBy(*ENTRY).agg(
+        n_rows().alias("__rows"),
+        (F.size(F.collect_set("crf")) + F.max(F.col("crf").isNull().cast("int"))).alias("__records"),
+    )
+    # Each entry counts once for its visit and once for its date; rows and records go with the visit.
+    visit = F.struct(F.lit(True).alias("visit"), F.col("avisitn").alias("key"), "__rows", "__records")
+    none = F.lit(0)
+    date = F.struct(
+        F.lit(False).alias("visit"),
+        F.col("adt_day").alias("key"),
+        none.cast("bigint").alias("__rows"),
+        none.alias("__records"),
+    )
+    keys = entries.select(*SUBJECT, F.inline(F.array(visit, date))).groupBy(*SUBJECT, "visit", "key").agg(
+        F.sum("__rows").alias("__rows"), F.sum("__records").alias("__records")
+    )
+    subjects = keys.groupBy(*SUBJECT).agg(
+        F.sum("__rows").alias("__rows"),
+        F.sum("__records").alias("__records"),
+        F.count_if("visit").alias("__visits"),
+        F.count_if(~F.col("visit")).alias("__dates"),
+    )
+    total = {"__visits": "unique_visits", "__dates": "unique_dates", "__records": "unique_crf_records"}
+    return subjects.agg(
+        F.coalesce(F.sum("__rows"), none).cast("bigint").alias("total_rows"),
+        n_rows().alias("unique_subjects"),
+        *[F.coalesce(F.sum(c), none).cast("bigint").alias(name) for c, name in total.items()],
     )
 
 
-def _rows_of_groups_with(df: DataFrame, keys: tuple[str, ...], col: str, nullable: tuple[str, ...]) -> DataFrame:
-    """Rows of ``keys`` groups holding more than one distinct ``col`` (missing counts)."""
-    groups = df.groupBy(*keys).agg(n_distinct_na(col).alias("__k")).where(F.col("__k") > 1)
-    return join_on_keys(df, groups.drop("__k"), keys, nullable, how="left_semi")
+def visit_entries(visits: DataFrame) -> DataFrame:
+    """One row per subject, visit number and date with its distinct forms (at most the catalogue), sorted."""
+    return visits.groupBy(*ENTRY).agg(F.array_sort(F.collect_set("crf")).alias("distinct_crfs"))
 
 
-def conflict_rows(visits: DataFrame) -> DataFrame:
-    """Rows of a date claimed by several visit numbers, and of a visit with several dates.
+def _several_entries(entries: DataFrame, keys: tuple[str, ...], nullable: tuple[str, ...]) -> DataFrame:
+    """Entries of ``keys`` groups that hold more than one."""
+    groups = entries.groupBy(*keys).agg(n_rows().alias("__k")).where(F.col("__k") > 1)
+    return join_on_keys(entries, groups.drop("__k"), keys, nullable, how="left_semi")
+
+
+def conflict_entries(entries: DataFrame) -> DataFrame:
+    """Entries of a date claimed by several visit numbers, and of a visit with several dates.
 
-    A row can be in both, once per conflict type.
+    ``entries`` (``visit_entries``) hold each visit number and date of a subject
+    once, so a conflict is a group of more than one entry. An entry can be in
+    both types, once per type. It carries its form count and sorted form list.
     """
-    same_date = _rows_of_groups_with(visits, ("study", "sjid", "adt_day"), "avisitn", ("adt_day",))
-    same_visit = _rows_of_groups_with(visits, ("study", "sjid", "avisitn"), "adt_day", ("avisitn",))
-    cols = ("study", "sjid", "avisitn", "adt_day", "crf")
-    both = same_date.select(*cols, F.lit(SAME_DATE).alias("conflict_type")).unionByName(
-        same_visit.select(*cols, F.lit(SAME_VISIT).alias("conflict_type"))
+    same_date = _several_entries(entries, ("study", "sjid", "adt_day"), ("adt_day",))
+    same_visit = _several_entries(entries, ("study", "sjid", "avisitn"), ("avisitn",))
+    both = same_date.withColumn("conflict_type", F.lit(SAME_DATE)).unionByName(
+        same_visit.withColumn("conflict_type", F.lit(SAME_VISIT))
     )
-    return both.distinct().withColumn("adt", day_to_date("adt_day"))
+    return both.select(
+        *ENTRY,
+        "conflict_type",
+        F.size("distinct_crfs").cast("bigint").alias("n_crf"),
+        "distinct_crfs",
+        day_to_date("adt_day").alias("adt"),
+    )
+
+
+def conflict_rows(visits: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+    """Rows of a date claimed by several visit numbers, and of a visit with several dates.
+
+    A row can be in both, once per conflict type. Conflicts are found on visit
+    entries and spread over their forms at the end.
+    """
+    found = conflict_entries(visit_entries(visits) if entries is None else entries)
+    return found.select(*ENTRY, F.explode_outer("distinct_crfs").alias("crf"), "conflict_type", "adt")
 
 
 def conflict_summary(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitline.functions import (
@@ -37,27 +37,37 @@ UNSCHEDULED = -1.0
 
 
 def date_summary(obs: DataFrame) -> DataFrame:
-    """Per visit-date: rows, forms as text (sorted, repeats kept), smallest form name.
+    """Per visit-date: rows, its forms with their row counts (sorted), smallest form name.
 
-    The input of every flag operator; pass it to them as ``summary`` when it
-    is computed (or stored) once for several of them.
+    The input of the flag table; pass it to the operators as ``summary`` when
+    it is computed (or stored) once for several of them. Forms are (name,
+    count) pairs, at most the form catalogue, however many rows a date holds.
 
     Rows are first counted per form, so a date with many rows of one form
     shuffles one row for it.
     """
-    per_form = obs.groupBy(*VISIT_DATE, "crf").agg(n_rows().alias("__c"))
-    entries = F.array_sort(F.collect_list(F.struct("crf", "__c")))
-    repeated = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["crf"], e["__c"].cast("int"))))
+    per_form = obs.groupBy(*VISIT_DATE, "crf").agg(n_rows().alias("rows"))
     return per_form.groupBy(*VISIT_DATE).agg(
-        F.sum("__c").cast("bigint").alias("n"),
-        F.array_join(repeated, ", ").alias("crf"),
+        F.sum("rows").cast("bigint").alias("n"),
+        F.array_sort(F.collect_list(F.struct("crf", "rows"))).alias("forms"),
         F.min("crf").alias("first_crf"),
     )
 
 
+def date_counts(obs: DataFrame) -> DataFrame:
+    """Per visit-date: rows and smallest form name (what C24-C26 need of the summary)."""
+    return obs.groupBy(*VISIT_DATE).agg(n_rows().alias("n"), F.min("crf").alias("first_crf"))
+
+
+def forms_text() -> Column:
+    """The forms of a date as text, one name per row: the outputs' ``crf``, written by the last projection only."""
+    repeated = F.transform("forms", lambda e: F.array_repeat(e["crf"], e["rows"].cast("int")))
+    return F.array_join(F.flatten(repeated), ", ").alias("crf")
+
+
 def form_summary(obs: DataFrame) -> DataFrame:
     """``n`` rows and the comma list of forms per subject, visit and date."""
-    return date_summary(obs).drop("first_crf")
+    return date_summary(obs).select(*VISIT_DATE, "n", forms_text())
 
 
 def _multi_date_visit_spans(summary: DataFrame) -> DataFrame:
@@ -71,8 +81,7 @@ def _multi_date_visit_spans(summary: DataFrame) -> DataFrame:
     )
 
 
-def _flags(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    summary = date_summary(obs) if summary is None else summary
+def _flags(summary: DataFrame) -> DataFrame:
     spans = _multi_date_visit_spans(summary)
     return join_on_keys(summary, spans, LABELLED_VISIT, ("avisit", "avisitn")).withColumn(
         "flagged", F.lit(True)
@@ -81,19 +90,30 @@ def _flags(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
 
 def multi_date_visits(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """The flag table: every date of a visit that has several, with span and forms."""
-    return _flags(obs, summary).select(*VISIT_DATE, "diff", "flagged", "n", "crf")
+    flags = _flags(date_summary(obs) if summary is None else summary)
+    return flags.select(*VISIT_DATE, "diff", "flagged", "n", forms_text())
 
 
 def span_histogram(
     obs: DataFrame, breaks: Sequence[float] = SPAN_BREAKS, summary: DataFrame | None = None
 ) -> DataFrame:
     """Flagged visits counted by span bin ``(lo, hi]``; spans outside all bins count as NULL."""
-    spans = _multi_date_visit_spans(date_summary(obs) if summary is None else summary)
+    spans = _multi_date_visit_spans(date_counts(obs) if summary is None else summary)
     return spans.groupBy(
         cut_rank("diff", breaks).alias("bin"), cut_right("diff", breaks).alias("six_months")
     ).agg(n_rows().alias("n"))
 
 
+def _visit_flags(summary: DataFrame) -> DataFrame:
+    """Per visit number and span: the distinct row counts of its dates as text."""
+    first_seen = _flags(summary).groupBy("study", "sjid", "avisitn", "diff", "n").agg(
+        F.min(F.struct("first_crf", *nulls_last_key("adt"))).alias("__seen")
+    )
+    return first_seen.groupBy("study", "sjid", "avisitn", "diff").agg(
+        joined_list(F.collect_list(F.struct("__seen", F.col("n").cast("string").alias("v"))), "v").alias("n")
+    ).withColumn("flagged", F.lit(True))
+
+
 def visit_dates_flagged(
     obs: DataFrame, extra: Sequence[str] = (), summary: DataFrame | None = None
 ) -> DataFrame:
@@ -102,13 +122,7 @@ def visit_dates_flagged(
     Flags are made per labelled visit but attached by visit number, so labels
     sharing a number share (and multiply) their flags.
     """
-    flags = _flags(obs, summary)
-    first_seen = flags.groupBy("study", "sjid", "avisitn", "diff", "n").agg(
-        F.min(F.struct("first_crf", *nulls_last_key("adt"))).alias("__seen")
-    )
-    n_text = first_seen.groupBy("study", "sjid", "avisitn", "diff").agg(
-        joined_list(F.collect_list(F.struct("__seen", F.col("n").cast("string").alias("v"))), "v").alias("n")
-    ).withColumn("flagged", F.lit(True))
+    n_text = _visit_flags(date_counts(obs) if summary is None else summary)
     rows = obs.select(*VISIT_DATE, "crf", *extra)
     joined = join_on_keys(rows, n_text, ("study", "sjid", "avisitn"), ("avisitn",), how="left")
     return joined.select(*VISIT_DATE, "n", "diff", "crf", "flagged", *extra)
@@ -116,7 +130,22 @@ def visit_dates_flagged(
 
 def residual_multi_date(flagged: DataFrame) -> DataFrame:
     """Scheduled visits that still hold more than one distinct row without the form."""
-    rows = flagged.where(F.col("avisitn") != F.lit(UNSCHEDULED)).drop("crf").distinct()
+    return _several_rows(flagged.where(F.col("avisitn") != F.lit(UNSCHEDULED)).drop("crf").distinct())
+
+
+def residual_of_dates(summary: DataFrame) -> DataFrame:
+    """C26 from the per-date summary: the same rows as ``residual_multi_date`` of the flagged table.
+
+    The flagged table without the form is its visit-dates with their flags, so
+    the check needs one row per visit-date and never the rows themselves.
+    """
+    dates = summary.where(F.col("avisitn") != F.lit(UNSCHEDULED)).select(*VISIT_DATE)
+    flags = _visit_flags(summary)
+    rows = join_on_keys(dates, flags, ("study", "sjid", "avisitn"), how="left")
+    return _several_rows(rows.select(*VISIT_DATE, "n", "diff", "flagged"))
+
+
+def _several_rows(rows: DataFrame) -> DataFrame:
     keys = ("sjid", "avisit", "avisitn")
     many = rows.groupBy(*keys).agg(n_rows().alias("__k")).where(F.col("__k") > 1).drop("__k")
     return join_on_keys(rows, many, keys, ("avisit", "avisitn"), how="left_semi")

@@ -8,7 +8,7 @@ where a window would put the whole group into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitline.functions import (
@@ -38,19 +38,23 @@ def one_date_per_form_visit(obs: DataFrame) -> DataFrame:
     return obs.groupBy(*VISIT, "crf").agg(F.min("adt").alias("adt")).select(*VISIT, "adt", "crf")
 
 
-def _date_summary(visits: DataFrame) -> DataFrame:
-    """Per visit-date: distinct forms, and the smallest and largest form name."""
-    return visits.groupBy(*VISIT_DATE).agg(
-        F.count_distinct("crf").alias("n_crf_date"),
-        F.min("crf").alias("crf_lo"),
-        F.max("crf").alias("crf_hi"),
-    )
+def _n_forms(forms: Column) -> Column:
+    """Distinct form names in an array."""
+    return F.size(F.array_distinct(F.array_compact(forms))).cast("bigint")
 
 
 def forms_per_date(visits: DataFrame) -> DataFrame:
-    """Adds ``n_crf_date``: distinct forms with the same subject, visit and date."""
-    counts = _date_summary(visits).drop("crf_lo", "crf_hi")
-    return join_on_keys(visits, counts, VISIT_DATE, NULLABLE)
+    """Adds ``n_crf_date``: distinct forms with the same subject, visit and date.
+
+    Input is the C8 table: a form occurs once per visit, so the forms of one
+    visit-date (at most the catalogue) travel as one array, are counted and
+    spread out again. One shuffle, no join back.
+    """
+    entries = visits.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf")).alias("__forms"))
+    counted = entries.withColumn("n_crf_date", _n_forms(F.col("__forms")["crf"]))
+    return counted.select(*VISIT_DATE, "n_crf_date", F.explode("__forms").alias("__form")).select(
+        *VISIT_DATE, F.col("__form")["crf"].alias("crf"), "n_crf_date"
+    )
 
 
 def inconsistent_visits(visits: DataFrame) -> DataFrame:
@@ -162,11 +166,15 @@ def snap_to_median(visits: DataFrame, snap_days: int = SNAP_DAYS) -> DataFrame:
     per_visit = visits.groupBy(*VISIT).agg(
         poisoned(F.max(day) - F.min(day), "adt").alias("__span"),
         poisoned(F.median(day), "adt").alias("__median"),
-        F.count_distinct("crf").alias("__n_visit"),
+        _n_forms(F.collect_set("crf")).alias("__n_visit"),
+    )
+    # After C13 a form occurs once per visit-date, so its rows fit in one array per visit-date.
+    entries = visits.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf", "avisitn_original")).alias("__rows"))
+    entries = entries.withColumn("__n_date", _n_forms(F.col("__rows")["crf"]))
+    entries = join_on_keys(entries, per_visit, VISIT, ("avisitn",))
+    rows = entries.withColumn("__row", F.explode("__rows")).select(
+        *VISIT_DATE, "__row.*", "__n_date", "__span", "__median", "__n_visit"
     )
-    per_date = visits.groupBy(*VISIT_DATE).agg(F.count_distinct("crf").alias("__n_date"))
-    per_date = join_on_keys(per_date, per_visit, VISIT, ("avisitn",))
-    rows = join_on_keys(visits, per_date, VISIT_DATE, NULLABLE)
     span = F.col("__span")
     snapped, kept = span <= F.lit(snap_days), span > F.lit(snap_days)
     adt_day = F.when(snapped, F.col("__median")).when(kept, day)

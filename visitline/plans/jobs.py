@@ -152,7 +152,7 @@ def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
         "flags": flags.multi_date_visits(obs, summary),
         "histogram": flags.span_histogram(obs, study.breaks, summary),
         "visit_dates": visit_dates,
-        "residual": flags.residual_multi_date(visit_dates.drop(*extra)),
+        "residual": flags.residual_of_dates(summary),
     }
     if "hpf" in extra:
         out["visit_modes"] = flags.visit_mode_summary(obs)
@@ -165,7 +165,7 @@ def repair_study(forms: DataFrame, registration: DataFrame, demographics: DataFr
     subject_ages = cut_lineage(ages_ops.baseline_age(registration, demographics))
     stacked = ages_ops.subjects_with_age(obs, subject_ages)
     visits = cut_lineage(pipelines.repair_stage(stacked, "snap_to_median"))
-    summary = cut_lineage(conflicts.conflict_summary(conflicts.conflict_rows(visits)))
+    summary = cut_lineage(conflicts.conflict_entries(conflicts.visit_entries(visits)))
     clean = cut_lineage(conflicts.clean_visits(visits, summary, conflicts.resolve_conflicts(summary)))
     return {
         "ages": subject_ages,

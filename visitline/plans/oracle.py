@@ -96,7 +96,10 @@ vdf as (
 
 # Repair pipeline: as-needed visits dropped, subjects with an age only.
 REPAIR = """
-r0 as (select study, sjid, avisit, avisitn, crf, adt from obs where avisit <> 'PRN'),
+r0 as (
+  select study, sjid, avisit, avisitn, crf, adt from obs where avisit <> 'PRN'
+  qualify row_number() over (partition by study, sjid, crf, hpf, qty, status
+                             order by adt nulls last, avisitn nulls last, avisit nulls last) = 1),
 r1 as (select * from r0 where exists (select 1 from ages a where a.study = r0.study and a.sjid = r0.sjid)),
 c8 as (select study, sjid, avisitn, min(adt) as adt, crf from r1 group by study, sjid, avisitn, crf),
 c9 as (select *, count(distinct crf) over (partition by study, sjid, avisitn, adt) as n_crf_date from c8),

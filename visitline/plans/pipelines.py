@@ -14,12 +14,14 @@ forms, resolution -> clean visits -> counts, visit dates with age.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitline.operators import ages as ages_ops
 from visitline.operators import conflicts, flags, repair
-from visitline.operators.stack import stack_forms
+from visitline.operators.stack import AS_NEEDED, dedupe_form_rows, stack_forms
 from visitline.session import cut_lineage
 from visitline.sources import fixtures
+from visitline.sources.studies import STUDIES
 
 
 def flag_obs(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -31,9 +33,14 @@ def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ages_ops.baseline_age(fixtures.registration(spark, sf_dir), fixtures.demographics(spark, sf_dir))
 
 
+def stack_for_repair(forms: DataFrame) -> DataFrame:
+    """Stacked forms for the repair pipeline: as-needed visits dropped, then repeated content (C3) per form."""
+    forms = forms.where(F.col("avisit") != F.lit(AS_NEEDED))
+    return stack_forms(dedupe_form_rows(forms), exclude=STUDIES["CRCSCA"].exclude, drop_as_needed=True)
+
+
 def repair_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stacked forms for the repair pipeline: as-needed visits dropped."""
-    return stack_forms(fixtures.obs(spark, sf_dir), drop_as_needed=True)
+    return stack_for_repair(fixtures.raw_forms(spark, sf_dir))
 
 
 FLAG_ORDER = (
@@ -56,26 +63,23 @@ def flag_stage(
 
     With ``cut``, tables read more than once are written to the checkpoint
     folder first: the per-date summary (read by the spans and by the flag
-    join), the stacked table when the flagged table needs it again, and the
-    flagged table before the residual check reads it twice. Without the cuts
-    the two reads were planned and run separately (exchange reuse did not
-    apply in the measured plans).
+    join) and the stacked table when the flagged table needs it again. Without
+    the cuts the two reads were planned and run separately (exchange reuse did
+    not apply in the measured plans). Where the form names are not needed the
+    stored summary holds counts only.
     """
     if upto == "form_summary":
         return flags.form_summary(obs)
     if upto == "span_histogram":  # reads the summary once: nothing to cut
         return flags.span_histogram(obs, breaks)
     keep = (lambda df: cut_lineage(df)) if cut else (lambda df: df)
-    if upto in ("visit_dates_flagged", "residual_multi_date"):
-        obs = keep(obs)
-    summary = keep(flags.date_summary(obs))
     if upto == "multi_date_visits":
-        return flags.multi_date_visits(obs, summary)
-    flagged = flags.visit_dates_flagged(obs, extra, summary)
+        return flags.multi_date_visits(obs, keep(flags.date_summary(obs)))
     if upto == "visit_dates_flagged":
-        return flagged
+        obs = keep(obs)
+        return flags.visit_dates_flagged(obs, extra, keep(flags.date_counts(obs)))
     if upto == "residual_multi_date":
-        return flags.residual_multi_date(keep(flagged))
+        return flags.residual_of_dates(keep(flags.date_counts(obs)))
     raise ValueError(f"unknown stage {upto!r}; expected one of {FLAG_ORDER}")
 
 
@@ -160,7 +164,7 @@ def conflict_stage(visits: DataFrame, subject_ages: DataFrame, upto: str, cut: b
     """
     if upto == "conflict_rows":
         return conflicts.conflict_rows(visits)
-    summary = conflicts.conflict_summary(conflicts.conflict_rows(visits))
+    summary = conflicts.conflict_entries(conflicts.visit_entries(visits))
     if upto == "conflict_summary":
         return summary
     if cut:
