@@ -64,10 +64,8 @@ def _visit_rows(form: DataFrame, name: str, study: Study) -> DataFrame | None:
     """
     if not {"sjid", "avisit"} <= set(form.columns):
         return None
-    if study.dedupe_rows and name != study.base_form:
-        if study.drop_as_needed:
-            form = form.where(F.col("avisit") != F.lit(AS_NEEDED))
-        form = dedupe_form_rows(form)
+    if name != study.base_form:
+        form = drop_repeats(form, study)
     typed = {
         "study": F.lit(study.name),
         "avisit": F.col("avisit").cast("string"),
@@ -115,6 +113,15 @@ def load_study_forms(
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
 
 
+def drop_repeats(forms: DataFrame, study: Study) -> DataFrame:
+    """Repeated content (C3) of all forms but the base, after the as-needed visits, where the study asks for it."""
+    if not study.dedupe_rows:
+        return forms
+    if study.drop_as_needed:
+        forms = forms.where(F.col("avisit") != F.lit(AS_NEEDED))
+    return dedupe_form_rows(forms)
+
+
 def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) -> DataFrame:
     relabels = dict(study.relabels)
     base = study.base_form

@@ -8,6 +8,17 @@ driver's pre-registered views of the parquet tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from visitline.sources.studies import (
+    CRCSCA_EXCLUDE,
+    EFACTS_EXCLUDE,
+    FACHILD_EXCLUDE,
+    FACOMS_EXCLUDE,
+    FIXTURE_FORMS,
+    UNIFAI_EXCLUDE,
+)
+
 OBS = """
 v as (
   select o_orderkey, o_custkey, cast(o_orderdate as date) as od, o_orderpriority,
@@ -179,6 +190,37 @@ c20 as (
       and s.adt_day is not distinct from u.adt_day and s.avisitn is not distinct from u.avisitn))"""
 
 
+def study_stack(study: str, base: str | None, base_out: str | None, excluded: Sequence[str]) -> str:
+    """A study's stacked rows, from the rules of the study rather than its settings."""
+    names = " ".join(f"when '{k}' then '{v}'" for k, v in FIXTURE_FORMS[study].items())
+    out = ", ".join(f"'{x}'" for x in excluded)
+    keep = f"crf not in ({out})"
+    if study in ("EFACTS", "UNIFAI"):
+        keep += " and not contains(crf, '_codes')"
+    if study == "CRCSCA":
+        keep += " and avisit <> 'PRN'"
+    else:
+        keep += " and avisitn is not null"
+    if base:
+        keep = f"crf = '{base}' or ({keep})"
+    rename = "case crf when '_9hpt' then 'nhpt' else crf end" if study in ("CRCSCA", "FACHILD", "FACOMS") else "crf"
+    if base_out:
+        rename = f"case crf when '{base}' then '{base_out}' else {rename} end"
+    first = """ qualify row_number() over (partition by study, sjid, crf, hpf, qty, status
+                order by adt nulls last, avisitn nulls last, avisit nulls last) = 1"""
+    rows = f"""
+      named as (
+        select study, sjid, avisit, case when qty % 7 <> 0 then avisitn end as avisitn,
+               case crf {names} else crf end as crf, adt, hpf, qty, status from obs),
+      kept as (select * from named {"where avisit <> 'PRN'" + first if study == "CRCSCA" else ""}),
+      stacked as (select '{study}' as study, sjid, avisit, avisitn, {rename} as crf, adt from kept where {keep})"""
+    body = "select * from stacked"
+    if study == "UNIFAI":
+        body = f"""select * from stacked where crf = '{base_out}'
+                   union all (select distinct * from stacked where crf <> '{base_out}')"""
+    return _with(OBS, rows, body=body)
+
+
 def _with(*blocks: str, body: str) -> str:
     return "with" + ",".join(blocks) + "\n" + body
 
@@ -200,13 +242,7 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
         names = " ".join(f"when {i} then '{lab}'" for i, lab in enumerate(labels, start=1))
         return flag(hist.format(labels=names, bins=bins))
 
-    crcsca_exclude = (
-        "'age_at_onset', 'conclusionofstudyparticipation', 'dsn_names7301', 'registration', "
-        "'general_physical_exam', 'covid_19_visit_impact_form', 'deathrecord', 'eligibility', "
-        "'genetic_results', 'physician_global_impression', 'patient_global_impression', "
-        "'concomitant_meds', 'demographics', 'demographics_supplement', 'medical_history', "
-        "'neurological_exam', 'change_of_status'"
-    )
+    crcsca_exclude = ", ".join(f"'{name}'" for name in CRCSCA_EXCLUDE)
     pivot_cols = ", ".join(f"min(case when crf = 'crf{i}' then adt end) as crf{i}" for i in range(1, 8))
 
     return {
@@ -214,6 +250,11 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
         "stack_forms": _with(OBS, body=f"""
             select study, sjid, avisit, avisitn, crf, adt from obs
             where avisit <> 'PRN' and crf not in ({crcsca_exclude})"""),
+        "stack_forms_crcsca": study_stack("CRCSCA", None, None, CRCSCA_EXCLUDE),
+        "stack_forms_efacts": study_stack("EFACTS", "sara", None, EFACTS_EXCLUDE),
+        "stack_forms_fachild": study_stack("FACHILD", "faneuro", None, FACHILD_EXCLUDE),
+        "stack_forms_facoms": study_stack("FACOMS", "faneuro", None, FACOMS_EXCLUDE),
+        "stack_forms_unifai": study_stack("UNIFAI", "mfar", "fars", UNIFAI_EXCLUDE),
         "form_catalogue": _with(OBS, body=f"""
             select distinct crf from obs
             where crf not in ({crcsca_exclude})"""),

@@ -100,7 +100,7 @@ REPAIR_ORDER = (
 
 # Stages read by more than one later stage. Cutting lineage there keeps each
 # consumer's plan a scan of the checkpoint instead of another copy of the chain.
-REPAIR_CUTS = ("one_date_per_form_visit", "forms_per_date", "inconsistent_visits", "drop_collided_forms")
+REPAIR_CUTS = ("forms_per_date", "inconsistent_visits", "drop_collided_forms")
 
 
 def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
@@ -120,7 +120,6 @@ def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
     c8 = repair.one_date_per_form_visit(stacked)
     if last == 0:
         return c8
-    c8 = done("one_date_per_form_visit", c8)
     c9 = done("forms_per_date", repair.forms_per_date(c8))
     stages = {"forms_per_date": c9}
     if last >= 2:

@@ -97,6 +97,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path under the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/visitline-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
@@ -108,6 +113,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     stay with the job's checkpoint folder, which the caller cleans up.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/visitline-{uuid.uuid4().hex}"
+    path = scratch_folder(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

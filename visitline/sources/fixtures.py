@@ -15,6 +15,8 @@ customer, study lookup) happens on the orders table, and the largest table
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -116,6 +118,21 @@ def raw_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def study_forms(spark: SparkSession, sf_dir: str, names: Mapping[str, str]) -> DataFrame:
+    """``raw_forms`` under a study's form names, with rows that lack a visit number.
+
+    ``names`` maps ``crf1`` ... ``crf7`` to the study's names; a form's visit
+    number is missing where its quantity divides by 7.
+    """
+    forms = raw_forms(spark, sf_dir)
+    renamed = F.col("crf")
+    for fixture_name, name in names.items():
+        renamed = F.when(F.col("crf") == fixture_name, F.lit(name)).otherwise(renamed)
+    return forms.withColumn("crf", renamed).withColumn(
+        "avisitn", F.when(F.col("qty") % 7 != 0, F.col("avisitn"))
+    )
+
+
 def subj(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``study, sjid, start_age, registration_age, ageatregistration, dm_date``."""
     key = F.col("c_custkey")

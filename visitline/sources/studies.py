@@ -53,6 +53,15 @@ FACOMS_EXCLUDE = (
 
 UNIFAI_EXCLUDE = ("TimeZone", "AE", "MH", "SCO", "mfar")
 
+# Fixture names of forms per study: the base, a relabelled form, a code list and an excluded form among them.
+FIXTURE_FORMS = {
+    "CRCSCA": {"crf2": "_9hpt", "crf3": "visit_codes", "crf4": "demographics"},
+    "EFACTS": {"crf1": "sara", "crf2": "_9hpt", "crf3": "visit_codes", "crf4": "SARA"},
+    "FACHILD": {"crf1": "faneuro", "crf2": "_9hpt", "crf3": "visit_codes", "crf4": "conmed"},
+    "FACOMS": {"crf1": "faneuro", "crf2": "_9hpt", "crf3": "visit_codes", "crf4": "screen"},
+    "UNIFAI": {"crf1": "mfar", "crf2": "_9hpt", "crf3": "visit_codes", "crf4": "AE"},
+}
+
 # ``suffix`` is what follows the form name in a study's file names; the binary formats of three studies are converted to Parquet.
 STUDIES = {
     "CRCSCA": Study("CRCSCA", ".parquet", None, CRCSCA_EXCLUDE, drop_as_needed=True, require_visit_number=False, relabels=FORM_RELABEL, dedupe_rows=True),
