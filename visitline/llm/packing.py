@@ -16,13 +16,16 @@ null doc_id is packed like any other; an empty table gives an empty result; othe
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +34,13 @@ from visitline.llm.common import only, stored
 CAPACITY, END_ID = 4096, 1
 GROUP, ROUNDS = 16_384, 3
 TOKENIZER = "word_bpe_49k.json"
-_CACHE = 500_000
+#: Words that a worker keeps (about 200 bytes each).
+_CACHE = 1_000_000
 
 #: Texts of these characters alone are split into words here, with the tokenizer's own rule; others go to it whole.
-_PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ž]*")
-# Fixed value: the tokenizer file's splitting pattern (it lower-cases first, so both cases here).
-_SPLIT = regex.compile(r"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ž]*")
+# Fixed value: the tokenizer file's splitting pattern, for lower-cased texts of those characters.
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ž]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ž0-9²³¹¼-¾]+")
 _SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 
@@ -46,42 +50,65 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Words(dict):
+    """Ids of a word, as unsigned 32-bit bytes, found at its first lookup."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= _CACHE:
+            self.clear()
+        ids = self[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return ids
+
+
 class Encoder:
-    """``tokenizers`` ids of whole texts; the ids of a word are looked up once per task."""
+    """``tokenizers`` ids of whole texts; the ids of a word are looked up once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.words = _Words(self.tokenizer)
 
-    def __call__(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """Ids as unsigned 32-bit bytes."""
         if not _PLAIN.fullmatch(text) or any(s in text for s in _SPECIAL):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        known = self.known
-        for word in _SPLIT.findall(text):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= _CACHE:
-                    known.clear()
-                ids = known[word] = self.tokenizer.encode(word, add_special_tokens=False).ids
-            out += ids
-        return out
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower())))
+
+    def __call__(self, text: str) -> list[int]:
+        return list(memoryview(self.encode(text)).cast("I"))
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: Spark reuses workers, so later tasks find the words of earlier ones.
+
+    Functions come to a worker by value with globals of their own, so it is kept as a module of the process.
+    """
+    name = f"visitline_encoder:{path}"
+    if name not in sys.modules:
+        holder = ModuleType(name)
+        holder.encoder = Encoder(path)
+        sys.modules[name] = holder
+    return sys.modules[name].encoder
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """``(uid, doc_id, piece, start, length, ids_crc32)``, written once. ``tokenizer``: path of the file (default: that of the installed package)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(tokenizer or tokenizer_path())
+        encode = worker_encoder(tokenizer or tokenizer_path()).encode
+        end, width = array("I", [END_ID]).tobytes(), 4 * capacity
         for b in batches:
             rows = []
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                ids = np.array([*encode(text or ""), END_ID], "<u4")
-                for piece, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
-                    rows.append((doc_id, piece, at, len(part), zlib.crc32(part.tobytes())))
+                ids = encode(text or "") + end
+                for piece, at in enumerate(range(0, len(ids), width)):
+                    part = ids[at : at + width]
+                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             got = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield got.astype({"doc_id": "Int64"})
 
