@@ -178,11 +178,6 @@ def _dealt(rows: DataFrame, n: int, seed: int) -> DataFrame:
     return rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)).alias("grp"))
 
 
-def _gap(groups: DataFrame) -> int:
-    """Sequences above the certified bounds of all groups."""
-    return groups.agg(F.coalesce(F.sum(F.col("bins") - F.col("bound")), F.lit(0))).first()[0]
-
-
 def pack(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``(uid, sequence_id, offset)`` of every piece ``(uid, length)``."""
     n = pieces.count()
