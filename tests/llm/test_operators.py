@@ -120,6 +120,15 @@ def test_join_equals_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_classes(rows)
 
 
+def test_join_links_rows_without_an_id(spark, docs_of):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "other"])
+    far = [f"v{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (9, near), (None, " ".join(far)), (None, " ".join(far)), (None, " ".join([*far[:-1], "other"]))]
+    got = sorted(map(tuple, jaccard.near_classes(docs_of(rows)).collect()), key=str)
+    assert got == sorted([(None, 9, 1), (9, 9, 1), (None, None, 2), (None, None, 2), (None, None, 2)], key=str)
+
+
 def test_bands_meet_the_target_recall():
     bands, rows = jaccard.bands_for()
     assert 1 - (1 - jaccard.THRESHOLD**rows) ** bands >= jaccard.RECALL

@@ -19,8 +19,8 @@ other documents at similarity 0.8 or more).
 
 Edge cases: a null text, or one without a word, has no n-gram: it is its own class, without links. Words
 are lower-case runs of letters and digits. Repeated rows are copies of each other; rows with equal doc_id and
-different texts get the links of their own text; a null doc_id is never a class id unless its class has no
-other. An empty table gives an empty result; other columns are ignored.
+different texts get the links of their own text; rows with a null doc_id are linked like others, but a null is
+never a class id unless its class has no other. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -130,6 +130,13 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _with_node(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    make = Grams()
+    for b in batches:
+        found = [(node_of(s), t) for t in b["text"] if len(s := make(t))]
+        yield pd.DataFrame({"node": np.array([n for n, _ in found], np.int64), "text": np.array([t for _, t in found], object)})
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared >= threshold * (len(a) + len(b) - shared) - 1e-9
@@ -260,7 +267,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     grouped = roster.join(sizes.where("n > 1"), "grp").select("node", "grp", "blocks")
     needed = grouped.select("node").union(guests.select("node")).union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = needed.join(nodes, "node").select("node", "copies", F.col("first_doc").alias("doc_id"))
-    texts = stored(docs.join(wanted, "doc_id").select("node", "copies", "text"))
+    texts = docs.join(wanted, "doc_id").select("node", "copies", "text")
+    # Nodes that only rows without an id hold are found by their n-grams; copies are reduced before the shuffle.
+    nameless = docs.where("doc_id is null").mapInPandas(_with_node, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+    texts = stored(texts.unionByName(nameless.join(wanted.where("doc_id is null"), "node").select("node", "copies", "text")))
     # Groups in blocks of about BLOCK nodes, each compared with each, and with each block of guests.
     block = F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks"))
     to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
