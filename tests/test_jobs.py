@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -11,6 +12,7 @@ from conftest import day
 from pyspark.sql import functions as F
 
 from visitline.plans import jobs
+from visitline.session import checkpoint_dir
 from visitline.sources.studies import STUDIES
 
 
@@ -85,12 +87,15 @@ def test_normalised_folder_feeds_the_jobs(spark, tmp_path):
     loaded = jobs.load_study_forms(spark, str(clean), study)
     # The second "q" row of sara repeats the first one's content: the earliest date stays.
     assert sorted((r.crf, r.avisit) for r in loaded.collect()) == [("nhpt", "BL"), ("nhpt", "V1"), ("sara", "BL"), ("sara", "V1")]
+    scratch = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
     flags = jobs.run_flag_study(spark, str(clean), "CRCSCA", str(tmp_path / "out"), dt.date(2026, 1, 2))
     assert spark.read.parquet(flags["flags"]).count() == 2
     reg = spark.createDataFrame([("CRCSCA", 1, 30.0, None)], "study string, sjid long, start_age double, registration_age double")
     dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
     out = jobs.run_repair_study(spark, str(clean), "CRCSCA", reg, dem, str(tmp_path / "out2"), dt.date(2026, 1, 2))
     assert {k: spark.read.parquet(p).count() for k, p in out.items()} == {"visit_dates": 2, "conflicts": 0, "counts": 1}
+    assert set(scratch.iterdir()) == before  # the jobs remove what they cut
 
 
 def test_known_age_wins_a_tie(spark):

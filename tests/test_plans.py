@@ -20,23 +20,7 @@ def logical(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-FAST = [
-    "stack_forms",
-    "form_catalogue",
-    "dedupe_form_rows",
-    "pivot_form",
-    "baseline_age",
-    "age_at_visit",
-    "inconsistent_visits",
-    "form_summary",
-    "multi_date_visits",
-    "visit_dates_flagged",
-    "residual_multi_date",
-    "visit_mode_summary",
-]
-
-
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", list(E._study_queries()))
 def test_no_python_and_no_pair_explosion(spark, name):
     plan = physical(E.queries()[name](spark, SF_SMALL))
     assert not any(n in plan for n in PYTHON_NODES), name

@@ -28,7 +28,7 @@ from visitline.operators.stack import (
     visit_number,
 )
 from visitline.plans import pipelines
-from visitline.session import configure, cut_lineage
+from visitline.session import configure, cut_lineage, job_scratch
 from visitline.sources import forms as form_io
 from visitline.sources import sinks
 from visitline.sources.studies import STUDIES, Study
@@ -194,13 +194,14 @@ def run_flag_study(
     """Flag job: write ``visit.flags.<study>`` and ``visit.dates.<study>``; returns their paths."""
     study = STUDIES[study_name]
     configure(spark)
-    out = flag_study(load_study_forms(spark, folder, study, **load_options), study)
-    return {
-        "flags": sinks.write_dated(out["flags"], f"{out_base}/visit.flags.{study.name}", run_date, order=("sjid", "avisitn")),
-        "visit_dates": sinks.write_dated(
-            out["visit_dates"], f"{out_base}/visit.dates.{study.name}", run_date, order=("study", "sjid", "avisitn", "adt")
-        ),
-    }
+    with job_scratch(spark):
+        out = flag_study(load_study_forms(spark, folder, study, **load_options), study)
+        return {
+            "flags": sinks.write_dated(out["flags"], f"{out_base}/visit.flags.{study.name}", run_date, order=("sjid", "avisitn")),
+            "visit_dates": sinks.write_dated(
+                out["visit_dates"], f"{out_base}/visit.dates.{study.name}", run_date, order=("study", "sjid", "avisitn", "adt")
+            ),
+        }
 
 
 def run_repair_study(
@@ -216,10 +217,11 @@ def run_repair_study(
     """Repair job: write visit dates with age, the conflicts for review and the counts; returns their paths."""
     study = STUDIES[study_name]
     configure(spark)
-    out = repair_study(load_study_forms(spark, folder, study, **load_options), registration, demographics, study)
     orders = {"visit_dates": ("sjid", "avisitn", "adt_day"), "conflicts": conflicts.REVIEW_ORDER, "counts": ()}
     names = {"visit_dates": "visit.dates", "conflicts": "visit.conflicts", "counts": "visit.counts"}
-    return {k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items()}
+    with job_scratch(spark):
+        out = repair_study(load_study_forms(spark, folder, study, **load_options), registration, demographics, study)
+        return {k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items()}
 
 
 def normalise_study(spark: SparkSession, folder: str, out_folder: str, suffix: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> list[str]:

@@ -12,6 +12,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,9 +100,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_job_folder: ContextVar[str | None] = ContextVar("visitline_job_folder", default=None)
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path under the checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/visitline-{uuid.uuid4().hex}"
+    """A new path under the job's folder if there is one (``job_scratch``), else under the checkpoint folder."""
+    base = _job_folder.get() or checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/visitline-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """One folder for all cuts made inside, removed at the end: what the job returns must be written by then."""
+    folder = scratch_folder(spark)
+    token = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -109,8 +129,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     plan starts at a file scan (with column pruning and real size statistics
     for AQE), and a lost executor recomputes from these files, not from the
     raw forms. Unlike an eager RDD ``checkpoint()``, which runs its input
-    once to count and again to save, the table is computed once. The files
-    stay with the job's checkpoint folder, which the caller cleans up.
+    once to count and again to save, the table is computed once. Inside
+    ``job_scratch`` the files go with the job; else they stay in the checkpoint folder.
     """
     spark = df.sparkSession
     path = scratch_folder(spark)
