@@ -208,6 +208,27 @@ def test_html_equals_the_article(spark):
         assert r.text == " ".join(html.unescape(re.sub(r"<[^>]+>", " ", article)).split()) and r.n_chars == len(r.text)
 
 
+def test_html_body_beside_teaser_articles():
+    teasers = "".join(f'<article><h2><a href="/{i}">Teaser {i}</a></h2><p>What the other story {i} is about.</p><a href="/{i}">Read more</a></article>' for i in range(4))
+    body = ["A headline", *(f"Paragraph {i} " + "tells what happened. " * 12 for i in range(5)), "The end."]
+    want = " ".join(" ".join(body).split())
+    first, last = ("".join(f"<p>{t}</p>" for t in part) for part in (body[:3], body[3:]))
+    for page in (teasers + f"<div>{first}{last}</div>", f"<div>{first}</div>{teasers}<div>{last}</div>", f"<main>{first}{teasers}{last}</main>", f"<div>{first}{last}</div>" + teasers):
+        assert html_text.main_text(f"<html><body><nav><a href=1>Menu</a></nav>{page}<footer>Me</footer></body></html>") == want
+    # Long text outside an article that holds most of the page is kept as well.
+    outside = "Text that stands beside the article. " * 5
+    assert html_text.main_text(f"<article>{first}{last}</article><div>{outside}</div>") == f"{want} {outside.strip()}"
+    # Boilerplate inside an article doesn't part it, and a short page has a text.
+    assert html_text.main_text(f"<article>{first}<aside><p>a<p>b<p>c<p>d</aside><p>Short.</p></article>").endswith("Short.")
+    assert html_text.main_text("<article><p>Hi</p></article>") == html_text.main_text("<p>Hi</p>") == "Hi"
+
+
+def test_html_of_the_given_pages_without_article_tags(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        bare = re.sub(r"</?article>", "", r.html)
+        assert bare != r.html and html_text.main_text(bare) == html_text.main_text(r.html) != ""
+
+
 def test_html_edge_cases(spark):
     df = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "u", "<p>" + "x " * 60_000, 2)], "page_id long, url string, html string, text int")
     rows = html_text.page_texts(df).collect()

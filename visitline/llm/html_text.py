@@ -2,12 +2,16 @@
 
 Markup is stripped to lines: block elements and ``<br>`` end a line, everything else
 runs on. A line inside a boilerplate element (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments, scripts, styles) has no weight; link texts
-outside an article element have none either, nor, on a page with one, has any line outside it.
-The weights of each window of ``WINDOW`` lines are summed. A surge point is where the
-sum rises above ``SURGE`` (above 0 inside an article element), a dive point where it
-falls to 0 again. The lines with weight between surge and dive are kept, as are lines of
-link text among them.
+notices, adverts, forms, reader comments, scripts, styles) has no weight; the others weigh
+their characters, without those of links. The weights of each window of ``WINDOW`` lines are
+summed. A surge point is where the sum rises above ``SURGE``, or above half of the page's
+largest sum if that is less; a dive point is where it falls to 0 again. The lines with weight
+between surge and dive are kept, as are lines of link text among them.
+
+Article and main elements only change weights. Where they hold at least half of the page's
+text, their lines weigh ``MARKED`` times as much, link text included, and run on across the
+boilerplate inside them. Articles with less than half of it (teasers, "read more" cards) weigh
+a third, each by itself. Text outside them always keeps its weight.
 
 Edge cases: null or empty html, and pages without text, give ''; unclosed elements end
 with their parent; an unclosed comment, script or style runs to the page's end; character
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,7 +31,7 @@ from pyspark.sql.types import StringType
 
 from visitline.llm.common import only
 
-WINDOW, SURGE = 3, 80
+WINDOW, SURGE, MARKED = 3, 80, 8
 
 # Fixed lists: HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -62,40 +67,48 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """``(text, weight, boilerplate)`` of each line with text, and whether the page marks an article."""
-    out: list[tuple[str, int, bool]] = []
+class Line(NamedTuple):
+    text: str
+    plain: int  # characters outside links
+    full: int
+    noise: bool
+    article: int  # the number of the outermost article around it, or 0
+    main: bool
+
+
+def lines(page: str) -> list[Line]:
+    """Each line with text."""
+    out: list[Line] = []
     stack: list[tuple[str, bool]] = []
-    noise = links = articles = 0
-    any_article = False
+    noise = links = articles = mains = number = 0
     text: list[str] = []
-    plain = 0
+    plain = full = 0
 
     def end_line() -> None:
-        nonlocal plain
+        nonlocal plain, full
         if text:
             joined = " ".join(_html.unescape("".join(text)).split())
             if joined:
-                out.append((joined, plain if not noise else 0, bool(noise)))
-                marks.append(articles > 0)
+                out.append(Line(joined, plain, full, bool(noise), number if articles else 0, mains > 0))
             text.clear()
-            plain = 0
+            plain = full = 0
 
     def pop_to(i: int) -> None:
-        nonlocal noise, links, articles
+        nonlocal noise, links, articles, mains
         while len(stack) > i:
             tag, bad = stack.pop()
             noise -= bad
             links -= tag == "a"
-            articles -= tag in ("article", "main")
+            articles -= tag == "article"
+            mains -= tag == "main"
 
-    marks: list[bool] = []
     at = 0
     for m in [*_TOKEN.finditer(page), None]:
         piece = page[at : m.start() if m else len(page)]
         if piece:
             text.append(piece)
-            if not links or articles:
+            full += len(piece.strip())
+            if not links:
                 plain += len(piece.strip())
         if m is None:
             break
@@ -122,45 +135,56 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-        bad = _is_noise(tag, m[4], articles > 0)
+        bad = _is_noise(tag, m[4], articles + mains > 0)
         stack.append((tag, bad))
         noise += bad
         links += tag == "a"
-        if tag in ("article", "main"):
-            articles += 1
-            any_article = True
+        number += tag == "article" and not articles
+        articles += tag == "article"
+        mains += tag == "main"
     end_line()
-    if any_article and any(a and not bad for (_, _, bad), a in zip(out, marks, strict=True)):
-        return [(t, w if a else 0, bad or not a) for (t, w, bad), a in zip(out, marks, strict=True)], True
-    return out, False
+    return out
+
+
+def _weighed(rows: list[Line]) -> list[list[tuple[int, float]]]:
+    """``(line, weight)`` of each sequence of lines that windows run over."""
+    in_article = sum(r.plain for r in rows if not r.noise and r.article)
+    in_main = sum(r.plain for r in rows if not r.noise and r.main and not r.article)
+    outside = sum(r.plain for r in rows if not r.noise and not r.main and not r.article)
+    articles_lead, mains_lead = in_article >= in_main + outside, in_article + in_main >= outside
+    parts: dict[int, list[tuple[int, float]]] = {}
+    for i, r in enumerate(rows):
+        if articles_lead if r.article else r.main and mains_lead:
+            if not r.noise:
+                parts.setdefault(-1, []).append((i, MARKED * r.full))
+        else:
+            parts.setdefault(r.article, []).append((i, 0 if r.noise else r.plain / 3 if r.article else r.plain))
+    return list(parts.values())
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    rows, article = lines(page or "")
-    if article:
-        surge = 0
-    weights = [w for _, w, _ in rows]
-    n = len(weights)
-    sums = [0] * n
-    run = 0
-    for i in range(n - 1, -1, -1):
-        run += weights[i] - (weights[i + window] if i + window < n else 0)
-        sums[i] = run
-    kept: list[str] = []
-    i = 0
-    while i < n:
-        if sums[i] <= surge:
-            i += 1
-            continue
-        start = i  # surge
-        while start > 0 and weights[start - 1] > 0:
-            start -= 1
-        while not weights[start]:  # the window looks ahead: the text itself begins with its first weight
-            start += 1
-        while i < n and sums[i] > 0:
-            i += 1
-        kept += [t for t, w, bad in rows[start:i] if not bad]  # dive
-    return " ".join(kept)
+    rows = lines(page or "")
+    parts = []
+    for part in _weighed(rows):
+        weights = [w for _, w in part]
+        parts.append((part, weights, [sum(weights[i : i + window]) for i in range(len(part))]))
+    surge = min(surge, max((s for _, _, sums in parts for s in sums), default=0) / 2)
+    kept: list[int] = []
+    for part, weights, sums in parts:
+        i, n = 0, len(part)
+        while i < n:
+            if sums[i] <= surge:
+                i += 1
+                continue
+            start = i  # surge
+            while start > 0 and weights[start - 1] > 0:
+                start -= 1
+            while not weights[start]:  # the window looks ahead: the text itself begins with its first weight
+                start += 1
+            while i < n and sums[i] > 0:
+                i += 1
+            kept += [at for at, _ in part[start:i] if not rows[at].noise]  # dive
+    return " ".join(rows[at].text for at in sorted(kept))
 
 
 @F.pandas_udf(StringType())
