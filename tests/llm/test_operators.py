@@ -129,6 +129,20 @@ def test_join_links_rows_without_an_id(spark, docs_of):
     assert got == sorted([(None, 9, 1), (9, 9, 1), (None, None, 2), (None, None, 2), (None, None, 2)], key=str)
 
 
+@pytest.mark.parametrize("few", [3, 500])
+def test_join_of_ids_with_several_texts(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "FEW", few)
+    rng = random.Random(few)
+    texts = [t for _, t in near_corpus(5, 60)]
+    rows = [(rng.randint(0, 25), t) for t in texts] + [(i, t) for i in range(25) for t in rng.choice([(None,), (None, None, "!"), ()])]
+    rows += rng.choices(rows, k=40)  # repeated rows
+    for _ in range(2):
+        rng.shuffle(rows)
+        got = jaccard.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(map(tuple, got.collect())) == brute_classes(rows)
+
+
 def test_bands_meet_the_target_recall():
     bands, rows = jaccard.bands_for()
     assert 1 - (1 - jaccard.THRESHOLD**rows) ** bands >= jaccard.RECALL

@@ -123,6 +123,7 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {
                 "doc_id": b["doc_id"].astype("Int64"),
+                "text_hash": b["text_hash"],
                 "node": pd.array([node_of(s) if len(s) else None for s in sets], "Int64"),
                 "size": [len(s) for s in sets],
                 "bands": [signature_bands(s) if len(s) else None for s in sets],
@@ -224,10 +225,15 @@ def _compare_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def near_classes(docs: DataFrame) -> DataFrame:
     """``(doc_id, class_id, n_links)``, one row per row of ``docs`` (doc_id, text)."""
     docs = only(docs, "doc_id", "text")
-    signed = stored(docs.mapInPandas(_sign, "doc_id long, node long, size int, bands array<long>"))
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    signed = stored(docs.mapInPandas(_sign, "doc_id long, text_hash long, node long, size int, bands array<long>"))
+    # A node's text is that of its row with the smallest id: found by id and text, as rows with equal ids may hold other texts.
     nodes = stored(
-        signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"))
-    )
+        signed.where("node is not null").groupBy("node").agg(
+            F.min("doc_id").alias("first_doc"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash"),
+            F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"),
+        )
+    )
     # Buckets with two different nodes, and their members once each.
     spread = signed.where("node is not null").select("node", F.explode("bands").alias("key"))
     buckets = spread.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center < other").drop("other")
@@ -237,7 +243,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = components(strong.select(F.col("center").alias("a"), F.col("node").alias("b")))
     groups = groups.select("node", F.col("component").alias("grp"))
     placed = stored(members.join(groups, "node", "left").select("key", "node", F.coalesce("grp", "node").alias("grp")))
-    roster = stored(placed.select("node", "grp").distinct().join(nodes.drop("first_doc"), "node"))
+    roster = stored(placed.select("node", "grp").distinct().join(nodes.drop("first_doc", "text_hash"), "node"))
     sizes = stored(
         roster.groupBy("grp").agg(
             F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high"), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks")
@@ -266,8 +272,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     # One text for each node that is compared.
     grouped = roster.join(sizes.where("n > 1"), "grp").select("node", "grp", "blocks")
     needed = grouped.select("node").union(guests.select("node")).union(pairs.select("a")).union(pairs.select("b")).distinct()
-    wanted = needed.join(nodes, "node").select("node", "copies", F.col("first_doc").alias("doc_id"))
-    texts = docs.join(wanted, "doc_id").select("node", "copies", "text")
+    wanted = needed.join(nodes, "node").select("node", "copies", F.col("first_doc").alias("doc_id"), "text_hash")
+    texts = docs.join(wanted, ["doc_id", "text_hash"]).groupBy("node").agg(F.max("copies").alias("copies"), F.min("text").alias("text"))
     # Nodes that only rows without an id hold are found by their n-grams; copies are reduced before the shuffle.
     nameless = docs.where("doc_id is null").mapInPandas(_with_node, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
     texts = stored(texts.unionByName(nameless.join(wanted.where("doc_id is null"), "node").select("node", "copies", "text")))
