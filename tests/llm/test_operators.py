@@ -143,6 +143,20 @@ def test_join_of_ids_with_several_texts(spark, monkeypatch, few):
         assert sorted(map(tuple, got.collect())) == brute_classes(rows)
 
 
+def test_one_document_of_each_class_is_kept(spark, docs_of):
+    v, w = ([f"{c}{i}" for i in range(60)] for c in "vw")
+    text = lambda words, *end: " ".join([*words[: len(words) - len(end)], *end])
+    # Id 5 represents the class of v and has a text in the class of id 3; id 8 holds two near texts; ids are missing.
+    rows = [(3, text(w)), (5, text(w, "x")), (5, text(v)), (6, text(v, "x")), (7, text(v, "y"))]
+    rows += [(8, "a b c d e f g h i j k l m n o p q r s t"), (8, "a b c d e f g h i j k l m n o p q r s z"), (8, None), (8, None)]
+    rows += [(None, "only rows without an id have this text")] * 30 + [(None, text(v, "z")), (None, "!"), (None, "!")]
+    kept = jaccard.keep_first(docs_of(rows)).select("doc_id", "text").collect()
+    kept = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    (eight,) = [r for r in kept if r[0] == 8 and r[1]]
+    assert eight in rows
+    assert kept == sorted([(3, text(w)), (5, text(v)), eight, (8, None), (None, "only rows without an id have this text"), (None, "!"), (None, "!")], key=str)
+
+
 def test_bands_meet_the_target_recall():
     bands, rows = jaccard.bands_for()
     assert 1 - (1 - jaccard.THRESHOLD**rows) ** bands >= jaccard.RECALL

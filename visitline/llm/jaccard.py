@@ -222,8 +222,8 @@ def _compare_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.loc[on, ["a", "b", "copies_a", "copies_b"]]
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, class_id, n_links)``, one row per row of ``docs`` (doc_id, text)."""
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows ``(doc_id, text_hash, node, ...)``, the nodes, and ``(node, first_doc, copies, component, links)`` of nodes that aren't alone."""
     docs = only(docs, "doc_id", "text")
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     signed = stored(docs.mapInPandas(_sign, "doc_id long, text_hash long, node long, size int, bands array<long>"))
@@ -313,6 +313,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     # Nodes with anything to tell; all others are alone in their class.
     told = nodes.join(classes, "node", "left").join(links, "node", "left").where("copies > 1 or component is not null")
     told = told.select("node", "first_doc", "copies", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+    return signed, nodes, told
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, class_id, n_links)``, one row per row of ``docs`` (doc_id, text)."""
+    signed, _, told = _linked(docs)
     first = told.groupBy("component").agg(F.min("first_doc").alias("class_id"))
     told = stored(told.join(first, "component").select("node", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links")))
     out = signed.select("doc_id", "node").join(told, "node", "left")
@@ -320,12 +326,20 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its columns: that of the class's id (of its repeated rows, one); rows without an id stay."""
-    classes = near_classes(docs)
-    first = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id"))
-    first = stored(first.where(F.col("doc_id") == F.col("class_id")).select("doc_id", "n"))
-    rows = as_rows(docs)
-    kept = rows.join(first, rows["row.doc_id"] == first["doc_id"])
-    once = kept.where("n = 1").select("row.*")
-    several = kept.where("n > 1").withColumn("text", F.col("row.text")).dropDuplicates(["doc_id", "text"]).select("row.*")
-    return once.unionByName(several).unionByName(rows.where("row.doc_id is null").select("row.*"))
+    """One document of each class, with its columns: the one with the smallest id (none: last), then node.
+
+    Texts without a word are no near duplicates: they stay, one for each id and text, and all that have no id.
+    """
+    signed, nodes, told = _linked(docs)
+    classes = nodes.join(told.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    best = F.struct(F.col("first_doc").isNull().alias("nameless"), F.coalesce("first_doc", F.lit(0)).alias("id"), "node", "text_hash")
+    first = classes.groupBy("component").agg(F.min(best).alias("best")).select("best.nameless", "best.id", "best.text_hash")
+    wordless = signed.where("node is null").select(F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash").distinct()
+    wordless = stored(wordless)
+    first = stored(first.unionByName(wordless.where("not nameless")))
+    row = as_rows(docs)
+    row = row.select("row", F.col("row.doc_id").isNull().alias("nameless"), F.coalesce("row.doc_id", F.lit(0)).alias("id"), F.xxhash64("row.text").alias("text_hash"))
+    # Repeated rows are reduced before the shuffle.
+    once = row.groupBy("nameless", "id", "text_hash").agg(F.first("row").alias("row")).join(first, ["nameless", "id", "text_hash"])
+    others = row.where("nameless").join(wordless.where("nameless").select("text_hash"), "text_hash", "left_semi")
+    return once.select("row.*").unionByName(others.select("row.*"))
