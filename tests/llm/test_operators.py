@@ -257,6 +257,19 @@ def test_html_of_the_given_pages_without_article_tags(spark):
         assert bare != r.html and html_text.main_text(bare) == html_text.main_text(r.html) != ""
 
 
+def test_html_noise_names_and_inline_noise():
+    text = "A long sentence of the text. " * 12
+    want = text.strip()
+    for name in ("content with-sidebar", "content-with-sidebar", "no-menu", "sidebar", "widget main"):
+        assert html_text.main_text(f'<body><div class="{name}"><p>{text}</div><div class="site-footer">Me</div></body>') == want
+    assert html_text.main_text(f'<article><header class="entry-header"><h1>Title</h1></header><p>{text}</article>') == f"Title {want}"
+    for name in ("sidebar", "widget left-sidebar", "main-nav", "cookie-notice", "ad_box", "comments-12"):
+        assert html_text.main_text(f'<body><div class="{name}"><p>Other text of the page.</div><p>{text}</body>') == want
+    for noise in ("<button>Press</button>", "<textarea>Type</textarea>", "<noscript>No script</noscript>", "<svg><text>Icon</text></svg>", '<span class="ad">Buy</span>'):
+        assert html_text.main_text(f"<p>{text}{noise}<p>Next.") == f"{want} Next."
+        assert html_text.main_text(f"<p>{noise}{text}<p>Next.") == f"{want} Next."
+
+
 def test_html_edge_cases(spark):
     df = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "u", "<p>" + "x " * 60_000, 2)], "page_id long, url string, html string, text int")
     rows = html_text.page_texts(df).collect()

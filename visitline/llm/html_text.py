@@ -2,7 +2,8 @@
 
 Markup is stripped to lines: block elements and ``<br>`` end a line, everything else
 runs on. A line inside a boilerplate element (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments, scripts, styles) has no weight; the others weigh
+notices, adverts, forms, reader comments, scripts, styles) has no weight, unless the element
+is one by its class or id alone and holds most of the page's text; the others weigh
 their characters, without those of links. The weights of each window of ``WINDOW`` lines are
 summed. A surge point is where the sum rises above ``SURGE``, or above half of the page's
 largest sum if that is less; a dive point is where it falls to 0 again. The lines with weight
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import pandas as pd
@@ -42,12 +44,15 @@ BLOCK = frozenset(
 )
 NOISE = frozenset("head title nav footer aside form menu dialog button select textarea noscript template iframe object svg canvas".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
-NOISE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|sidebar|side|menu|nav\w*|footer|header|masthead|comments?|replies|reply|cookies?|"
+_NAME = (
+    r"(?:ads?|advert\w*|sponsor\w*|banner|sidebar|side|menu|nav\w*|footer|header|masthead|comments?|replies|reply|cookies?|"
     r"consent|notices?|alert|promo\w*|popup|modal|newsletter|subscribe|share|sharing|social|breadcrumbs?|related|widget|form|login|search)"
-    r"(?:$|[\s_-])",
-    re.I,
 )
+#: A whole class token or id: noise names, and words that only say where or what part of them.
+_BESIDE = r"(?:site|page|global|top|bottom|left|right|main|primary|secondary|box|bar|area|section|container|wrapper|list|block|links?|buttons?|posts?|message|\d+)"
+NOISE_NAMES = re.compile(rf"(?:^|\s)(?:{_BESIDE}[_-])*{_NAME}(?:[_-](?:{_NAME}|{_BESIDE}))*(?:$|\s)", re.I)
+#: An element named like noise with this many characters or more, and over half of the page's text, is not noise.
+NAMED = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
@@ -56,15 +61,19 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
+def _is_noise(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is noise by its tag or role, or else by its class or id."""
+    named = False
     if tag in NOISE or (tag == "header" and not in_article):
-        return True
+        return True, False
     if attrs and tag not in ("html", "body", "article", "main"):
         for name, a, b, c in _ATTR.findall(attrs):
             value = a or b or c
-            if value.lower() in NOISE_ROLES if name.lower() == "role" else NOISE_NAMES.search(value):
-                return True
-    return False
+            if name.lower() != "role":
+                named = named or bool(NOISE_NAMES.search(value))
+            elif value.lower() in NOISE_ROLES:
+                return True, False
+    return False, named
 
 
 class Line(NamedTuple):
@@ -79,8 +88,10 @@ class Line(NamedTuple):
 def lines(page: str) -> list[Line]:
     """Each line with text."""
     out: list[Line] = []
-    stack: list[tuple[str, bool]] = []
-    noise = links = articles = mains = number = 0
+    stack: list[tuple[str, bool, int]] = []  # tag, noise, number of an element named like noise
+    named: list[int] = []  # those that are open
+    within: list[tuple[int, ...]] = []  # those around each line
+    noise = links = articles = mains = number = names = 0
     text: list[str] = []
     plain = full = 0
 
@@ -90,14 +101,20 @@ def lines(page: str) -> list[Line]:
             joined = " ".join(_html.unescape("".join(text)).split())
             if joined:
                 out.append(Line(joined, plain, full, bool(noise), number if articles else 0, mains > 0))
+                within.append(tuple(named))
             text.clear()
             plain = full = 0
 
     def pop_to(i: int) -> None:
         nonlocal noise, links, articles, mains
         while len(stack) > i:
-            tag, bad = stack.pop()
+            tag, bad, name = stack[-1]
+            if bad or name:  # inline ones end a line too
+                end_line()
+            stack.pop()
             noise -= bad
+            if name:
+                named.pop()
             links -= tag == "a"
             articles -= tag == "article"
             mains -= tag == "main"
@@ -135,15 +152,25 @@ def lines(page: str) -> list[Line]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-        bad = _is_noise(tag, m[4], articles + mains > 0)
-        stack.append((tag, bad))
+        bad, by_name = _is_noise(tag, m[4], articles + mains > 0)
+        if bad or by_name:
+            end_line()
+        names += by_name
+        stack.append((tag, bad, names if by_name else 0))
+        if by_name:
+            named.append(names)
         noise += bad
         links += tag == "a"
         number += tag == "article" and not articles
         articles += tag == "article"
         mains += tag == "main"
     end_line()
-    return out
+    held: Counter[int] = Counter()
+    for line, around in zip(out, within, strict=True):
+        if not line.noise:
+            held.update(dict.fromkeys((0, *around), line.plain))
+    small = {n for n in range(1, names + 1) if held[n] < NAMED or 2 * held[n] <= held[0]}
+    return [line._replace(noise=line.noise or not small.isdisjoint(around)) for line, around in zip(out, within, strict=True)]
 
 
 def _weighed(rows: list[Line]) -> list[list[tuple[int, float]]]:
