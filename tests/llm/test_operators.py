@@ -399,6 +399,17 @@ def test_packed_documents(spark, docs_of, monkeypatch):
     assert packing.packed_documents(docs_of(rows).limit(0)).collect() == []
 
 
+def test_exchanges_go_on_while_they_save(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 30)
+    rng = random.Random(0)
+    pieces = spark.createDataFrame([(i, rng.randint(900, 2600)) for i in range(3000)], "uid long, length long")
+    sequences = lambda df: df.select("sequence_id").distinct().count()
+    packed = packing.pack(pieces)
+    assert sequences(packed) < sequences(packing.pack(pieces, 3))
+    fill = packed.join(pieces, "uid").groupBy("sequence_id").agg({"length": "sum", "uid": "count"}).collect()
+    assert sum(r["count(uid)"] for r in fill) == 3000 and max(r["sum(length)"] for r in fill) <= 4096
+
+
 # -- 8: mixing
 
 

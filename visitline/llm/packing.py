@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from visitline.llm.common import only, stored
 
 CAPACITY, END_ID = 4096, 1
-GROUP, ROUNDS = 16_384, 3
+GROUP = 16_384
 TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker keeps (about 200 bytes each).
 _CACHE = 1_000_000
@@ -178,12 +178,13 @@ def _dealt(rows: DataFrame, n: int, seed: int) -> DataFrame:
     return rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)).alias("grp"))
 
 
-def pack(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, rounds: int | None = None) -> DataFrame:
     """``(uid, sequence_id, offset)`` of every piece ``(uid, length)``."""
     n = pieces.count()
     packed = stored(_dealt(pieces, n, 0).groupBy("grp").applyInPandas(_pack, _PACKED))
-    settled = []
-    for number in range(1, rounds + 1):
+    settled, number = [], 0
+    while rounds is None or number < rounds:  # each exchange that goes on saves a sequence, so this ends
+        number += 1
         pool = packed.where((F.col("bins") > F.col("bound")) & (F.col("free") > 0))
         size = pool.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("grp", "bin").alias("bins"), F.countDistinct("grp").alias("grps")).first()
         if not size["n"] or (size["grps"] == 1 and number > 1):
@@ -194,10 +195,10 @@ def pack(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         # Full sequences and certified groups stay as they are; the exchanged pieces go on.
         settled.append((number - 1, packed.where((F.col("bins") <= F.col("bound")) | (F.col("free") == 0))))
         packed = again
-    settled.append((rounds, packed))
+    settled.append((number, packed))
     out = None
     for number, rows in settled:
-        one = rows.select("uid", "length", (F.lit(number << 56) + F.shiftleft("grp", 20) + F.col("bin")).alias("sequence_id"))
+        one = rows.select("uid", "length", (F.lit(number << 48) + F.shiftleft("grp", 20) + F.col("bin")).alias("sequence_id"))
         out = one if out is None else out.unionByName(one)
 
     before = Window.partitionBy("sequence_id").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
