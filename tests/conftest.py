@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -9,15 +8,6 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SF_SMALL = "/root/testdata/sf0.001"
-D = dt.date(2020, 1, 1)
-D_DAY = (D - dt.date(1970, 1, 1)).days
-
-
-def day(k: int) -> dt.date:
-    """``d + k`` of the golden cases."""
-    return D + dt.timedelta(days=k)
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_SMALL
+from study_helpers import SF_SMALL
 from oracle_check import canon, duck, type_diff
 
 import __spark_entry__ as E

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import D, D_DAY, day
+from study_helpers import D, D_DAY, day
 from pyspark.sql import functions as F
 
 from visitline.operators import ages, conflicts, flags, repair

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_SMALL
+from study_helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from visitline.operators import flags

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import day
+from study_helpers import day
 
 from pyspark.sql import functions as F
 

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from conftest import day
+from study_helpers import day
 
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_SMALL, day
+from study_helpers import SF_SMALL, day
 
 import __spark_entry__ as E
 from visitline.operators import conflicts, flags, repair
