@@ -1,11 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from llm_helpers import DOCS
 from pyspark.sql import SparkSession
 
-SF = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -10,7 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import DOCS, SF
+from llm_helpers import DOCS, SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -6,7 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest import SF
+from llm_helpers import SF
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 

@@ -7,7 +7,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
-from conftest import SF
+from llm_helpers import SF
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
