@@ -1,0 +1,247 @@
+"""Hard negatives and near vectors against brute force, their bounds and recall, and edge cases."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from visitline.llm import multi_index, negatives
+
+NAN, INF = float("nan"), float("inf")
+EMBEDDINGS = "vec_id long, embedding array<float>, label int"
+
+
+# -- 12: hard negatives
+
+
+def brute_negatives(rows):
+    """Rows (vec_id, embedding, label) that take part, as ``negatives_report``."""
+    vs = [(i, (y + 1) % 10 if i % 7 == 0 else y, np.floor(np.array(v, np.float64) * 256).astype(int)) for i, v, y in rows]
+    dot = lambda a, b: int(a[: len(b)] @ b[: len(a)])
+    anchors = {(i, y, tuple(v)): (i, y, v) for i, y, v in vs if i % 100 == 0}
+    out = []
+    for i, y, a in anchors.values():
+        scored = sorted((-dot(a, v), j, z) for j, z, v in vs if j != i)
+        for k, (p, j, _) in enumerate([s for s in scored if s[2] == y][:5], 1):
+            found = [(-n, m) for n, m, z in scored if z != y and 80 * -p <= 100 * -n <= 100 * -p][:5]
+            out += [(i, j, k, r, m, -p, n) for r, (n, m) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def clustered(seed, n, spread, dims=16):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(0, 1, (6, dims))
+    x = centers[rng.integers(0, 6, n)] + rng.normal(0, spread, (n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    labels = np.where(rng.random(n) < 0.35, 3, rng.integers(0, 10, n))  # a third in one label
+    return [(int(i), [float(v) for v in row.astype(np.float32)], int(y)) for i, row, y in zip(rng.permutation(4 * n)[:n], x, labels, strict=True)]
+
+
+@pytest.mark.parametrize("spread", [0.05, 1.0])
+def test_negatives_equal_brute_force(spark, monkeypatch, spread):
+    monkeypatch.setattr(negatives, "BLOCK", 32)
+    monkeypatch.setattr(negatives, "ANCHORS", 4)
+    rows = clustered(int(spread * 100), 500, spread)
+    rows += [(i * 100, rows[i][1], rows[i][2]) for i in range(12)]  # more anchors, some on one vector; ties
+    rows += [(100, rows[3][1], 5), rows[0], rows[0]]  # an id with two vectors, repeated rows
+    df = spark.createDataFrame(rows, EMBEDDINGS).repartition(3)
+    got = negatives.negatives_report(df)
+    assert got.columns == ["anchor_id", "positive_id", "positive_rank", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(map(tuple, got.collect())) == brute_negatives(rows)
+
+
+def walked(anchors, matrix, wanted):
+    walk = anchors.scores(matrix)
+    for t, low, high in walk:
+        rows = wanted(t, low, high)
+        yield t, low, high, rows, walk.send(rows)
+
+
+def tree_of(m):
+    order, parent, edge = negatives.spanning_tree(m)
+    ids = np.arange(len(m))
+    return negatives.Anchors(ids, np.zeros(len(m), np.int64), m[order], parent, edge)
+
+
+@pytest.mark.parametrize("scale", [256, 1 << 22])
+def test_bounds_hold_and_save_work(scale):
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, 1, 24)
+    near = np.floor((base + rng.normal(0, 0.03, (40, 24))) * scale).astype(np.int64)
+    rows = np.floor(rng.normal(0, 1, (3000, 24)) * scale).astype(np.int64)
+    anchors = tree_of(near)
+    assert (np.array(anchors.parent[1:]) < np.arange(1, 40)).all()
+    for t, low, high, picked, exact in walked(anchors, rows, lambda t, low, high: np.flatnonzero(high >= np.quantile(high, 0.98))):
+        full = rows @ anchors.matrix[t]
+        assert (low <= full + 1).all() and (full - 1 <= high).all()
+        assert list(exact) == list(full[picked])
+    assert anchors.rescored < 0.2 * len(near) * len(rows)
+
+
+def test_negatives_of_near_anchors_rescore_few_rows():
+    rng = np.random.default_rng(5)
+    base = rng.normal(0, 1, 24)
+    anchors = tree_of(np.floor((base + rng.normal(0, 0.03, (40, 24))) * 256).astype(np.int64))
+    rows = np.floor(rng.normal(0, 1, (4000, 24)) * 256).astype(np.int64)
+    ids, labels = np.arange(1000, 5000), rng.integers(0, 2, 4000)
+    top = negatives.Positives(anchors)
+    top.feed(ids, labels, rows)
+    assert anchors.rescored < 0.3 * 40 * 4000
+    got = top.rows()
+    for t in range(40):
+        s = rows @ anchors.matrix[t]
+        mine = np.flatnonzero(labels == 0)
+        best = mine[np.lexsort((ids[mine], -s[mine]))[:5]]
+        assert list(got[got.spot == t].vec_id) == list(ids[best]) and list(got[got.spot == t].score) == list(s[best])
+
+
+def test_spanning_tree_is_least():
+    m = np.random.default_rng(6).integers(-50, 50, (30, 3))
+    _, _, edge = negatives.spanning_tree(m)
+    d = np.sqrt(((m[:, None] - m[None]) ** 2).sum(-1).astype(float))
+    group, total = list(range(30)), 0.0
+    for w, i, j in sorted((d[i, j], i, j) for i in range(30) for j in range(i)):
+        if group[i] != group[j]:
+            total += w
+            group = [group[i] if g == group[j] else g for g in group]
+    assert abs(edge.sum() - total) < 1e-6
+
+
+def test_negatives_edge_cases(spark):
+    rows = [
+        (0, [1.0, 0.0], 9), (1, [0.9, 0.0], 0), (2, [0.8, 0.1], 3), (3, [0.9], 4), (4, [-1.0, 0.0], 3), (100, [-1.0, 0.0], 8), (5, [1.0, 0.0], 8),
+        (6, None, 0), (8, [None, 1.0], 0), (9, [NAN, 1.0], 0), (10, [INF, 1.0], 0), (11, [1.0, 0.0], None), (None, [1.0, 0.0], 0), (12, [], 0),
+        (200, [0.5, 0.5], 7), (300, None, 1),
+    ]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], EMBEDDINGS + ", score int, block int")
+    took_part = [r for r in rows if r[0] is not None and r[1] is not None and r[2] is not None and all(x is not None and np.isfinite(x) for x in r[1])]
+    got = sorted(map(tuple, negatives.negatives_report(df).collect()))
+    assert got == brute_negatives(took_part)
+    # The vector of 0 gets label 0; its window at 230 * 256 holds 3 and 2, not 5. The positive of 100 scores below 0; 200 has none.
+    assert {r[0] for r in got} == {0} and [r[4] for r in got if r[2] == 1] == [3, 2]
+    assert negatives.negatives_report(df.limit(0)).collect() == []
+    assert negatives.negatives_report(df.where("vec_id % 100 <> 0")).collect() == []
+    with pytest.raises(Exception, match="55 bits"):
+        negatives.negatives_report(spark.createDataFrame([(0, [1e9], 1), (1, [1e9], 0)], EMBEDDINGS)).collect()
+
+
+# -- 13: near vectors
+
+
+def brute_near(rows, threshold=multi_index.THRESHOLD):
+    """One tuple per distinct row (vec_id, embedding, label)."""
+    seen = {(i, None if v is None else tuple(str(x) for x in v), y): (i, v, y) for i, v, y in rows}
+    rows = list(seen.values())
+    fits = [y is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v, y in rows]
+    width = max(len(v) for _, v, _ in rows if v is not None)
+    x = np.zeros((len(rows), width))
+    for k, (_, v, _) in enumerate(rows):
+        if fits[k]:
+            x[k, : len(v)] = v
+    x /= np.maximum(np.sqrt((x**2).sum(1, keepdims=True)), 1e-300)
+    labels = np.array([-(10**9) if y is None else y for _, _, y in rows])
+    on = (x @ x.T >= threshold) & (labels[:, None] == labels[None, :]) & np.outer(fits, fits)
+    np.fill_diagonal(on, False)
+    root = np.arange(len(rows))
+    for _ in rows:
+        low = np.minimum(root, np.where(on, root[None, :], len(rows)).min(1))
+        if (low == root).all():
+            break
+        root = low
+    out = []
+    for k, (i, _, _) in enumerate(rows):
+        ids = [rows[m][0] for m in np.flatnonzero(root == root[k]) if rows[m][0] is not None]
+        first = min(ids, default=None)
+        out.append((i, int(on[k].sum()), first, i == first))
+    return sorted(out, key=str)
+
+
+def near_rows(seed, group, dims=16):
+    """Random vectors, small groups of near copies, exact copies, chains, and one large group of near copies."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 1, (300, dims))
+    groups = [x]
+    for _ in range(30):
+        base = rng.normal(0, 1, dims)
+        groups.append(base + rng.normal(0, rng.choice([0.02, 0.1, 0.2]), (rng.integers(2, 6), dims)))
+    a, b = rng.normal(0, 1, (2, dims))
+    groups.append(np.array([a * np.cos(t) + b * np.sin(t) for t in np.linspace(0, 2, 25)]))  # a chain
+    groups.append(rng.normal(0, 1, dims) + rng.normal(0, 0.11, (group, dims)))
+    x = np.concatenate(groups).astype(np.float32)
+    x = np.concatenate([x, x[:20], np.repeat(x[5:6], 40, 0)])  # exact copies
+    labels = np.concatenate([np.full(300, 1), *(np.full(len(g), rng.integers(0, 3)) for g in groups[1:]), np.full(60, 1)])
+    ids = rng.permutation(len(x))
+    return [(int(i), [float(v) for v in row], int(y)) for i, row, y in zip(ids, x, labels, strict=True)]
+
+
+def near(spark, rows, **options):
+    got = multi_index.near_vectors(spark.createDataFrame(rows, EMBEDDINGS).repartition(3), **options)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted(map(tuple, got.collect()), key=str)
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_near_vectors_with_a_full_target_equal_brute_force(spark, monkeypatch, block):
+    # Blocks of 16 split the large group; a grid of many cells splits groups over cells.
+    monkeypatch.setattr(multi_index, "BLOCK", block)
+    monkeypatch.setattr(multi_index, "OCCUPANCY", 8)
+    rows = near_rows(block, 120)
+    assert near(spark, rows, target=1.0) == brute_near(rows)
+
+
+def test_recall_of_the_default_target(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "OCCUPANCY", 4)
+    rows = near_rows(3, 200, dims=32)
+    got, want = near(spark, rows), brute_near(rows)
+    links = lambda out: sum(r[1] for r in out)
+    assert links(want) > 2000 and 0.99 * links(want) <= links(got) <= links(want)
+    assert all(a[1] <= b[1] for a, b in zip(got, want, strict=True))  # nothing below the threshold
+
+
+def test_traversal_visits_nearest_cells_until_the_target():
+    rng = np.random.default_rng(8)
+    x = multi_index.unit(list(rng.normal(0, 1, (4000, 32))), 32)
+    grid = multi_index.Grid(x, 12)
+    proof = multi_index.Grid(x, 12, target=1.0)
+    home, visits = grid.cells(x[:200])
+    proof_home, proof_visits = proof.cells(x[:200])
+    assert (home == proof_home).all()
+    cost = [multi_index.region_costs(h, b)[1] for h, b in zip(multi_index.halves(x[:200]), grid.books, strict=True)]
+    for i in range(200):
+        total = (cost[0][i][:, None] + cost[1][i][None, :]).reshape(-1)
+        want = [c for c in np.argsort(total, kind="stable") if total[c] <= grid.stop and c > home[i]]
+        assert list(visits[i]) == want
+        assert set(want) <= set(proof_visits[i])
+    assert sum(map(len, visits)) < 0.3 * sum(map(len, proof_visits))
+    # Vectors moved to the threshold's similarity lie in visited cells, seen from one side or the other.
+    side = rng.normal(0, 1, x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    moved = 0.98 * x + np.sqrt(1 - 0.98**2) * side
+    (a, av), (b, bv) = grid.cells(x), grid.cells(moved)
+    met = [p == q or (q in v if q > p else p in w) for p, q, v, w in zip(a, b, av, bv, strict=True)]
+    assert np.mean(met) > 0.99
+
+
+def test_near_vectors_edge_cases(spark):
+    v = [0.6, 0.8, 0.0]
+    rows = [
+        (7, v, 1), (7, v, 1), (9, v, 1), (3, v, 1), (4, [0.6, 0.8], 1), (5, v, 2), (6, v, None), (None, v, 1), (8, None, 1), (10, [0.0, 0.0], 1),
+        (11, [NAN, 1.0], 1), (12, [INF, 1.0], 1), (13, [None, 1.0], 1), (14, [], 1), (15, [1e30, 1.0], 3), (16, [1e30, 0.0], 3), (None, [0.0, 1.0], 5),
+        (9, [0.0, -1.0], 1), (17, [-0.0, 0.5], 6), (18, [0.0, 0.5], 6),
+    ]
+    df = spark.createDataFrame([(*r, 5, 6) for r in rows], EMBEDDINGS + ", node int, cell int")
+    got = sorted(map(tuple, multi_index.near_vectors(df).collect()), key=str)
+    assert got == brute_near(rows)
+    assert (3, 4, 3, True) in got and (None, 4, 3, False) in got and (None, 0, None, True) in [(i, n, c, True) for i, n, c, _ in got]
+    assert multi_index.near_vectors(df.limit(0)).collect() == []
+    assert sorted(map(tuple, multi_index.near_vectors(df.where("vec_id in (8, 10)")).collect())) == [(8, 0, 8, True), (10, 0, 10, True)]
+
+
+def test_near_vectors_of_double_precision_and_a_single_component(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-1.0, 1.0]) * (i + 1)], i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted(map(tuple, multi_index.near_vectors(df).collect()), key=str) == brute_near(rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitline.llm import chat, html_text, imatch, jaccard, langid, mixing, packing, topk, toxicity, warc
+from visitline.llm import chat, html_text, imatch, jaccard, langid, merkle, mixing, multi_index, negatives, packing, topk, toxicity, warc
 from visitline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,9 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": _on("documents", mixing.mix_report),
     "op9_language_id": _on("documents", langid.predictions),
     "op10_imatch_fingerprints": _on("documents", imatch.fingerprints),
+    "op11_merkle_manifest": _on("documents", merkle.manifest_report),
+    "op12_hard_negatives": _on("embeddings", negatives.negatives_report),
+    "op13_embedding_near_dedup": _on("embeddings", multi_index.near_vectors),
 }
 
 #: Operators 2, 3, 4, 7, 9 and 10 can't be expressed in SQL: tests/llm compares them with brute force, round trips or held-out accuracy.
@@ -44,4 +47,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_formatting": chat.CHAT_SQL,
     "op6_warc": warc.WARC_SQL,
     "op8_mix_sources": mixing.MIX_SQL.format(documents="documents"),
+    "op11_merkle_manifest": merkle.MERKLE_SQL,
+    "op12_hard_negatives": negatives.NEGATIVES_SQL,
+    "op13_embedding_near_dedup": multi_index.NEAR_SQL,
 }
