@@ -172,8 +172,22 @@ def test_load_form_by_name(spark, tmp_path):
 
 def test_text_sources_parse_visit_numbers_and_dates(spark):
     forms = spark.createDataFrame(
-        [("S", 1, "V1", " 1 ", "2020-01-05", "a"), ("S", 1, "V2", "", "2020-02-01", "a"), ("S", 1, "V3", "3", "n/a", "a")],
+        [
+            ("S", 1, "V1", " 1 ", "2020-01-05", "a"), ("S", 1, "V2", "", "2020-02-01", "a"), ("S", 1, "V3", "3", " ", "a"), ("S", 1, "V4", "1a", "2020-01-06", "a"),
+            ("S", 1, "V5", "5", "n/a", "a"), ("S", 1, "V6", "x", "y", "base"), ("S", 1, "V7", None, None, "base"), ("S", 1, "V8", None, "2020-01-05", "a"),
+        ],
         "study string, sjid long, avisit string, avisitn string, adt string, crf string",
-    )
-    out = sorted(map(tuple, stack.stack_forms(forms, require_visit_number=True).collect()), key=repr)
-    assert out == [("S", 1, "V1", 1.0, "a", day(4)), ("S", 1, "V3", 3.0, "a", None)]
+    )
+    options = {"require_visit_number": True, "base_form": "base"}
+    out = sorted(map(tuple, stack.stack_forms(forms, **options).collect()), key=repr)
+    assert out == [("S", 1, "V1", 1.0, "a", day(4)), ("S", 1, "V3", 3.0, "a", None), ("S", 1, "V7", None, "base", None)]
+    # What can't be read is rejected, not dropped: rows with a visit number = stacked rows + rejected rows.
+    marked = stack.stack_forms(forms, rejects=True, **options)
+    assert sorted(map(tuple, stack.accepted(marked).collect()), key=repr) == out
+    assert sorted(map(tuple, stack.rejected(marked).collect())) == [
+        ("S", "a", 1, "V4", "1a", "2020-01-06", "visit number"),
+        ("S", "a", 1, "V5", "5", "n/a", "date"),
+        ("S", "base", 1, "V6", "x", "y", "visit number, date"),
+    ]
+    # Without the rule a blank number stays, and an unreadable one is rejected all the same.
+    assert {r.avisit for r in stack.stack_forms(forms).collect()} == {"V1", "V2", "V3", "V7", "V8"}

@@ -76,6 +76,20 @@ def test_base_form_is_loaded_by_name_and_unfiltered(spark, tmp_path):
     assert sorted((r.crf, r.avisit) for r in rows) == [("ataxia", "V1"), ("fars", "Unscheduled"), ("fars", "V1")]
 
 
+def test_repair_job_counts_before_and_after_resolution(spark, tmp_path):
+    folder = tmp_path / "CRCSCA"
+    folder.mkdir()
+    # Visit 1 has two dates, 100 days apart: the one with more forms stays.
+    for name, dates in (("sara", [day(0), day(100)]), ("fars", [day(0), None])):
+        put(folder, name, SJID=[1, 1], AVISIT=["V1", "V1b"], AVISITN=[1.0, 1.0], ADT=dates, X=[name, name + "2"])
+    put(folder, "extra", SJID=[1], AVISIT=["V1"], AVISITN=[1.0], ADT=[day(100)], X=["e"])
+    reg = spark.createDataFrame([("CRCSCA", 1, 30.0, None)], "study string, sjid long, start_age double, registration_age double")
+    dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
+    out = jobs.run_repair_study(spark, str(folder), "CRCSCA", reg, dem, str(tmp_path / "out"), dt.date(2026, 1, 2))
+    counts = {r.stage: (r.total_rows, r.unique_dates) for r in spark.read.parquet(out["counts"]).collect()}
+    assert counts == {"repaired": (3, 2), "resolved": (1, 1)}
+
+
 def test_normalised_folder_feeds_the_jobs(spark, tmp_path):
     """A study folder is normalised, and the flag and repair jobs read what was written (folders of part files)."""
     raw, clean = tmp_path / "raw", tmp_path / "clean"
@@ -94,7 +108,7 @@ def test_normalised_folder_feeds_the_jobs(spark, tmp_path):
     reg = spark.createDataFrame([("CRCSCA", 1, 30.0, None)], "study string, sjid long, start_age double, registration_age double")
     dem = spark.createDataFrame([(1, 29.0, "1/1/2020")], "sjid long, ageatregistration double, dm_date string")
     out = jobs.run_repair_study(spark, str(clean), "CRCSCA", reg, dem, str(tmp_path / "out2"), dt.date(2026, 1, 2))
-    assert {k: spark.read.parquet(p).count() for k, p in out.items()} == {"visit_dates": 2, "conflicts": 0, "counts": 1}
+    assert {k: spark.read.parquet(p).count() for k, p in out.items()} == {"visit_dates": 2, "conflicts": 0, "counts": 2}
     assert set(scratch.iterdir()) == before  # the jobs remove what they cut
 
 

@@ -67,6 +67,12 @@ def visit_counts(visits: DataFrame) -> DataFrame:
     )
 
 
+def staged_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The five counts before and after conflicts are resolved, with their ``stage``."""
+    rows = [visit_counts(df).select(F.lit(stage).alias("stage"), "*") for stage, df in (("repaired", before), ("resolved", after))]
+    return rows[0].unionByName(rows[1])
+
+
 def visit_entries(visits: DataFrame) -> DataFrame:
     """One row per subject, visit number and date with its distinct forms (at most the catalogue), sorted."""
     return visits.groupBy(*ENTRY).agg(F.array_sort(F.collect_set("crf")).alias("distinct_crfs"))

@@ -65,9 +65,18 @@ def forms_text() -> Column:
     return F.array_join(F.flatten(repeated), ", ").alias("crf")
 
 
-def form_summary(obs: DataFrame) -> DataFrame:
-    """``n`` rows and the comma list of forms per subject, visit and date."""
-    return date_summary(obs).select(*VISIT_DATE, "n", forms_text())
+def form_summary(obs: DataFrame, text: bool = True) -> DataFrame:
+    """``n`` rows and the forms per subject, visit and date.
+
+    The forms are a comma list with one name per row, as the scripts have it or, without ``text``, the array
+    ``forms`` of (name, rows) runs, whose size is bounded by the form catalogue.
+    """
+    return date_summary(obs).select(*VISIT_DATE, "n", forms_text() if text else "forms")
+
+
+def form_runs(obs: DataFrame) -> DataFrame:
+    """``form_summary`` without its text, one row per form of a date: ``crf`` and its ``rows``."""
+    return form_summary(obs, text=False).select(*VISIT_DATE, "n", F.inline("forms"))
 
 
 def _multi_date_visit_spans(summary: DataFrame) -> DataFrame:
@@ -88,10 +97,10 @@ def _flags(summary: DataFrame) -> DataFrame:
     )
 
 
-def multi_date_visits(obs: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """The flag table: every date of a visit that has several, with span and forms."""
+def multi_date_visits(obs: DataFrame, summary: DataFrame | None = None, text: bool = True) -> DataFrame:
+    """The flag table: every date of a visit that has several, with span and forms (C23; ``text`` as in ``form_summary``)."""
     flags = _flags(date_summary(obs) if summary is None else summary)
-    return flags.select(*VISIT_DATE, "diff", "flagged", "n", forms_text())
+    return flags.select(*VISIT_DATE, "diff", "flagged", "n", forms_text() if text else "forms")
 
 
 def span_histogram(

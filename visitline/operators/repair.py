@@ -18,7 +18,6 @@ from visitline.functions import (
     keep_group_extreme,
     n_distinct_na,
     n_rows,
-    poisoned,
 )
 
 VISIT = ("study", "sjid", "avisitn")
@@ -43,17 +42,54 @@ def _n_forms(forms: Column) -> Column:
     return F.size(F.array_distinct(F.array_compact(forms))).cast("bigint")
 
 
+def visit_forms(visits: DataFrame) -> DataFrame:
+    """Visit entries: one row per subject, visit and date with its ``forms`` (at most the catalogue) and ``n_crf_date``.
+
+    Input is the C8 table: a form occurs once per visit.
+    """
+    entries = visits.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf")).alias("__forms"))
+    return entries.select(*VISIT_DATE, F.col("__forms")["crf"].alias("forms"), _n_forms(F.col("__forms")["crf"]).alias("n_crf_date"))
+
+
+def forms_of(entries: DataFrame) -> DataFrame:
+    """The form rows of visit entries."""
+    return entries.select(*VISIT_DATE, F.explode("forms").alias("crf"), "n_crf_date")
+
+
 def forms_per_date(visits: DataFrame) -> DataFrame:
     """Adds ``n_crf_date``: distinct forms with the same subject, visit and date.
 
-    Input is the C8 table: a form occurs once per visit, so the forms of one
-    visit-date (at most the catalogue) travel as one array, are counted and
-    spread out again. One shuffle, no join back.
+    The forms of one visit-date travel as one array, are counted and spread out again. One shuffle, no join back.
     """
-    entries = visits.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf")).alias("__forms"))
-    counted = entries.withColumn("n_crf_date", _n_forms(F.col("__forms")["crf"]))
-    return counted.select(*VISIT_DATE, "n_crf_date", F.explode("__forms").alias("__form")).select(
-        *VISIT_DATE, F.col("__form")["crf"].alias("crf"), "n_crf_date"
+    return forms_of(visit_forms(visits))
+
+
+def entries_of(rows: DataFrame) -> DataFrame:
+    """Visit entries of a C9 table."""
+    entries = rows.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf")).alias("__forms"), F.max("n_crf_date").alias("n_crf_date"))
+    return entries.select(*VISIT_DATE, F.col("__forms")["crf"].alias("forms"), "n_crf_date")
+
+
+def _pairs(entries: DataFrame, targets: DataFrame) -> DataFrame:
+    """Entries (``*_tbc``) that meet a target entry of another visit number on the same date, with their forms that the target can take.
+
+    The target must hold a form other than the one that would move, which its smallest and largest form name decide.
+    """
+    tbc = entries.select(
+        "study", "sjid", "adt", F.col("avisitn").alias("avisitn_tbc"), F.col("forms").alias("forms_tbc"), F.col("n_crf_date").alias("n_crf_date_tbc")
+    )
+    targets = targets.select(*VISIT_DATE, "n_crf_date", F.array_min("forms").alias("crf_lo"), F.array_max("forms").alias("crf_hi"))
+    pairs = join_on_keys(tbc, targets, ("study", "sjid", "adt"), ("adt",)).where(F.col("avisitn") != F.col("avisitn_tbc"))
+    other = F.filter("forms_tbc", lambda c: (c != F.col("crf_lo")) | (c != F.col("crf_hi")))
+    pairs = pairs.withColumn("forms_tbc", other).where(F.size("forms_tbc") > 0)
+    return pairs.select("study", "sjid", "avisitn_tbc", "adt", "forms_tbc", "n_crf_date_tbc", "avisitn", "n_crf_date")
+
+
+def inconsistent_entries(entries: DataFrame) -> DataFrame:
+    """C10 from visit entries: pairs of entries of one date, spread over their forms last."""
+    pairs = _pairs(entries, entries)
+    return pairs.select(
+        "study", "sjid", "avisitn_tbc", "adt", F.explode("forms_tbc").alias("crf_tbc"), "n_crf_date_tbc", "avisitn", "n_crf_date"
     )
 
 
@@ -64,40 +100,14 @@ def inconsistent_visits(visits: DataFrame) -> DataFrame:
     of the same subject on the same date (missing dates match each other),
     one row, provided that other visit holds a form other than this one.
 
-    The rule is a many-to-many self join on subject and date. Here each row
-    meets one summary row per visit on that date (its form count and its
-    smallest / largest form name), which decides "holds another form"
-    without pairing forms with forms.
+    The rule is a many-to-many self join on subject and date. Here visit entries
+    (one row per visit and date) meet, and the forms are spread at the end.
     """
-    rows = visits.select(
-        "study",
-        "sjid",
-        "adt",
-        F.col("avisitn").alias("avisitn_tbc"),
-        F.col("crf").alias("crf_tbc"),
-        F.col("n_crf_date").alias("n_crf_date_tbc"),
-    )
-    others = visits.groupBy(*VISIT_DATE).agg(
-        F.max("n_crf_date").alias("n_crf_date"),
-        F.min("crf").alias("crf_lo"),
-        F.max("crf").alias("crf_hi"),
-    )
-    pairs = join_on_keys(rows, others, ("study", "sjid", "adt"), ("adt",))
-    other_form = (F.col("crf_lo") != F.col("crf_tbc")) | (F.col("crf_hi") != F.col("crf_tbc"))
-    return pairs.where((F.col("avisitn") != F.col("avisitn_tbc")) & other_form).select(
-        "study",
-        "sjid",
-        "avisitn_tbc",
-        "adt",
-        "crf_tbc",
-        "n_crf_date_tbc",
-        "avisitn",
-        "n_crf_date",
-    )
+    return inconsistent_entries(entries_of(visits))
 
 
 def visit_corrections(inconsistent: DataFrame) -> DataFrame:
-    """Which form moves to which visit number (C11).
+    """Which form moves to which visit number (C11), from the C10 table.
 
     Per subject and date, only the target visits with the most forms stay;
     then, per subject and target visit, only the forms whose own visit had
@@ -116,6 +126,32 @@ def visit_corrections(inconsistent: DataFrame) -> DataFrame:
     )
 
 
+def correction_pairs(entries: DataFrame) -> DataFrame:
+    """The first half of C11 from visit entries: pairs whose target has the most forms of its subject and date.
+
+    That largest count is known before anything is paired. On one date of a subject, an entry is a target
+    if another entry holds a form that it can take; that is so for all entries of the date or for none
+    (there are two entries, and not all hold the same single form). So the largest count is that of the date's
+    entries, and only the entries that have it are met by the others.
+    """
+    entries = entries.where(F.col("avisitn").isNotNull() & F.array_min("forms").isNotNull())
+    dates = entries.groupBy("study", "sjid", "adt").agg(
+        n_rows().alias("__entries"), F.min(F.array_min("forms")).alias("__lo"), F.max(F.array_max("forms")).alias("__hi"), F.max("n_crf_date").alias("__most")
+    )
+    dates = dates.where((F.col("__entries") > 1) & (F.col("__lo") != F.col("__hi")))
+    most = dates.groupBy("sjid", "adt").agg(F.max("__most").alias("__most"))
+    targets = join_on_keys(entries, most, ("sjid", "adt"), ("adt",)).where(F.col("n_crf_date") == F.col("__most"))
+    return _pairs(entries, targets)
+
+
+def fewest_corrections(pairs: DataFrame) -> DataFrame:
+    """The second half of C11: per subject and target visit, the entries with the fewest forms, spread over their forms."""
+    fewest = keep_group_extreme(pairs, ("sjid", "avisitn"), "n_crf_date_tbc", "min", ("avisitn",))
+    return fewest.select(
+        "study", "sjid", F.col("avisitn_tbc").alias("avisitn"), F.col("avisitn").alias("avisitn_new"), F.explode("forms_tbc").alias("crf")
+    )
+
+
 def apply_corrections(visits: DataFrame, corrections: DataFrame) -> DataFrame:
     """New visit number where a correction exists; ``avisitn_original`` keeps the old one.
 
@@ -153,6 +189,27 @@ def distinct_dates(visits: DataFrame) -> DataFrame:
     return visits.agg(n_distinct_na("adt").alias("n_dates"))
 
 
+def _median_from_counts(counts: list[Column], lowest: Column, n: Column) -> Column:
+    """Median day of a visit from its number of rows per residue of the day.
+
+    Dates at most ``SNAP_DAYS`` apart have different residues, so the counts, read from
+    the lowest day on, are the rows of each day. The median is the mean of the days of the two middle rows.
+    """
+    size = len(counts)
+    start = F.pmod(lowest, F.lit(size))
+    by_residue = F.array(*counts)
+    by_day = F.concat(F.slice(by_residue, start + 1, F.lit(size) - start), F.slice(by_residue, F.lit(1), start))
+    half = F.floor((n + 1) / 2), F.floor(n / 2) + 1
+
+    def step(at: Column, rows: Column) -> Column:
+        seen = at["seen"] + rows
+        days = [at[f"d{i}"] + (seen < h).cast("int") for i, h in enumerate(half)]
+        return F.struct(seen.alias("seen"), days[0].alias("d0"), days[1].alias("d1"))
+
+    zero = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0).alias("d0"), F.lit(0).alias("d1"))
+    return F.aggregate(by_day, zero, step, lambda at: lowest + (at["d0"] + at["d1"]) / F.lit(2.0))
+
+
 def snap_to_median(visits: DataFrame, snap_days: int = SNAP_DAYS) -> DataFrame:
     """Dates of one visit at most ``snap_days`` apart become their median (C14).
 
@@ -161,13 +218,25 @@ def snap_to_median(visits: DataFrame, snap_days: int = SNAP_DAYS) -> DataFrame:
     missing date makes the span, the median and so every date of the visit
     missing. ``n_crf_date`` and ``diff`` are recomputed on the new dates:
     snapped or missing visits have one date, others keep theirs.
+
+    A median is only needed where the dates are close, so it is read from fixed counters (rows per day modulo
+    ``snap_days + 1``): sums of a hash aggregate, however many rows and dates a visit has.
     """
-    day = day_number("adt")
+    day, size = F.unix_date("adt"), snap_days + 1
+    residue = F.pmod(day, F.lit(size))
+    counters = [f"__c{i}" for i in range(size)]
     per_visit = visits.groupBy(*VISIT).agg(
-        poisoned(F.max(day) - F.min(day), "adt").alias("__span"),
-        poisoned(F.median(day), "adt").alias("__median"),
-        _n_forms(F.collect_set("crf")).alias("__n_visit"),
+        n_rows().alias("__n"),
+        F.count("adt").alias("__dated"),
+        F.min(day).alias("__lo"),
+        F.max(day).alias("__hi"),
+        F.count_distinct("crf").alias("__n_visit"),
+        *[F.count_if(residue == i).alias(c) for i, c in enumerate(counters)],
     )
+    whole = F.col("__dated") == F.col("__n")
+    span = F.when(whole, (F.col("__hi") - F.col("__lo")).cast("double"))
+    middle = _median_from_counts([F.col(c) for c in counters], F.col("__lo"), F.col("__n"))
+    per_visit = per_visit.select(*VISIT, span.alias("__span"), F.when(span <= F.lit(snap_days), middle).alias("__median"), "__n_visit")
     # After C13 a form occurs once per visit-date, so its rows fit in one array per visit-date.
     entries = visits.groupBy(*VISIT_DATE).agg(F.collect_list(F.struct("crf", "avisitn_original")).alias("__rows"))
     entries = entries.withColumn("__n_date", _n_forms(F.col("__rows")["crf"]))
@@ -177,7 +246,7 @@ def snap_to_median(visits: DataFrame, snap_days: int = SNAP_DAYS) -> DataFrame:
     )
     span = F.col("__span")
     snapped, kept = span <= F.lit(snap_days), span > F.lit(snap_days)
-    adt_day = F.when(snapped, F.col("__median")).when(kept, day)
+    adt_day = F.when(snapped, F.col("__median")).when(kept, day_number("adt"))
     return rows.select(
         "study",
         "sjid",

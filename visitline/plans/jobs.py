@@ -11,35 +11,44 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from visitline.operators import ages as ages_ops
 from visitline.operators import conflicts, flags
 from visitline.operators.stack import (
     AS_NEEDED,
+    accepted,
     dedupe_form_keys,
     dedupe_form_rows,
-    pivot_form,
+    has_visit_number,
+    reject_columns,
+    rejected,
     stack_forms,
     visit_date,
     visit_number,
+    wide_ids,
 )
 from visitline.plans import pipelines
 from visitline.session import configure, cut_lineage, job_scratch
 from visitline.sources import forms as form_io
 from visitline.sources import sinks
+from visitline.sources.manifest import form_manifest, form_scope, source_of
 from visitline.sources.studies import STUDIES, Study
 
 Prepare = Callable[[DataFrame], DataFrame]
 
 
 def _spread(drop: tuple[str, ...], key: str, value: str) -> Prepare:
+    """A long-to-wide reshape of which only the ids are stacked (a second row for a cell is an error)."""
+
     def run(form: DataFrame) -> DataFrame:
         ids = [c for c in form.columns if c not in (*drop, key, value)]
-        return pivot_form(form, ids, key, value, drop=drop)
+        return wide_ids(form, ids, key, value, drop=drop)
 
     return run
 
@@ -49,7 +58,7 @@ def _spread(drop: tuple[str, ...], key: str, value: str) -> Prepare:
 FACOMS_PREPARE: dict[str, Prepare] = {
     "clat1": _spread(("od100_1", "os100_2"), "acuity", "ou100_1"),
     "clatb": _spread(("ou25",), "seq_no", "ou125"),
-    "mhxgen": lambda f: dedupe_form_keys(f, ("sjid", "avisit", "avisitn", "adt")),
+    "mhxgen": lambda f: dedupe_form_keys(f, ("sjid", "avisit", "avisitn", "adt", "crf")),
 }
 PREPARE: dict[str, dict[str, Prepare]] = {"FACOMS": FACOMS_PREPARE}
 
@@ -57,59 +66,74 @@ PREPARE: dict[str, dict[str, Prepare]] = {"FACOMS": FACOMS_PREPARE}
 EXTRA = ("hpf", "fpf")
 
 
-def _visit_rows(form: DataFrame, name: str, study: Study) -> DataFrame | None:
-    """A form's rows as visit keys of fixed types (None if it has no visit scheme).
+def _visit_rows(form: DataFrame, study: Study, base: bool, prepare: Prepare | None, sjid: str) -> DataFrame:
+    """Rows of forms of equal columns as visit keys of fixed types, with ``REJECT_COLUMNS`` where visit keys are text.
 
     Projecting before the forms are appended keeps unlike columns of the same name apart.
     """
-    if not {"sjid", "avisit"} <= set(form.columns):
-        return None
-    if name != study.base_form:
+    if prepare:
+        if study.require_visit_number and not base and "avisitn" in form.columns:
+            form = form.where(has_visit_number(form))  # the scripts filter before they reshape
+        form = prepare(form)
+    if not base:
         form = drop_repeats(form, study)
     typed = {
         "study": F.lit(study.name),
+        "sjid": F.col("sjid").cast(sjid),
         "avisit": F.col("avisit").cast("string"),
         "avisitn": visit_number(form) if "avisitn" in form.columns else F.lit(None).cast("double"),
         "adt": visit_date(form) if "adt" in form.columns else F.lit(None).cast("date"),
-        "crf": F.lit(name),
+        "crf": F.col("crf"),
     }
     extra = {c: F.col(c).cast("string") for c in EXTRA if c in form.columns}
-    return form.select("sjid", *[c.alias(k) for k, c in (typed | extra).items()])
+    text = any(t == "string" for c, t in form.dtypes if c in ("avisitn", "adt"))
+    return form.select(*[c.alias(k) for k, c in (typed | extra | (reject_columns(form) if text else {})).items()])
+
+
+def _subject_type(used: list[Row]) -> str:
+    """The type of ``sjid`` that holds the subjects of all forms."""
+    kinds = {c.type for r in used for c in r.columns if c.name.lower() == "sjid"}
+    if len(kinds) == 1:
+        return kinds.pop()
+    return "bigint" if kinds <= {"tinyint", "smallint", "int", "bigint"} else "string"
 
 
 def load_study_forms(
     spark: SparkSession,
     folder: str,
     study: Study,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     suffix: str | None = None,
     options: Mapping[str, str] | None = None,
     prepare: Mapping[str, Prepare] | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Forms of a study folder, the base form first, each prepared and projected to its visit rows, then appended.
 
-    ``suffix`` is by default the study's. The base form is found by name, also
-    when its own file is excluded (in another letter case, if need be).
+    File ending, format and options are by default the study's. Forms in scope and their columns come from
+    the folder's manifest (kept at ``store`` between runs, if given). Forms of equal columns are read in one scan, told
+    apart by their path; the base form and forms with a preparation have a scan each, so the plan grows
+    with the number of different column lists, not of forms. Where visit numbers or dates are text, the
+    rows have ``REJECT_COLUMNS``.
     """
-    suffix = study.suffix if suffix is None else suffix
-    everything = form_io.list_form_files(spark, folder, suffix)
-    # One row per form: small metadata, listed once.
-    paths = {r.crf: r.path for r in everything.collect()}
-    wanted = {n: p for n, p in paths.items() if n not in study.exclude and not (study.skip_codes and "_codes" in n)}
-    base = study.base_form
-    if base and base not in wanted:
-        found = base if base in paths else next((n for n in sorted(paths) if n.lower() == base.lower()), None)
-        if found:
-            wanted[base] = paths[found]
+    source = source_of(study, suffix, fmt, options)
+    manifest = form_manifest(spark, folder, source, store)
+    used = form_scope(manifest, study).where("used").collect()  # one row per form
+    if not used:
+        raise ValueError(f"no form of {folder} has a visit scheme and rows")
     prepare = PREPARE.get(study.name, {}) if prepare is None else prepare
+    scans: dict[tuple, list[Row]] = {}
+    for r in sorted(used, key=lambda r: (not r.base, r.crf)):
+        alone = r.crf if r.base or r.crf in prepare else None
+        scans.setdefault((not r.base, r.schema, alone), []).append(r)
+    sjid = _subject_type(used)
     loaded = []
-    for name in sorted(wanted, key=lambda n: (n != base, n)):
-        df = form_io.normalise_columns(spark.read.format(fmt).options(**(options or {})).load(wanted[name]))
-        rows = _visit_rows(prepare[name](df) if name in prepare else df, name, study)
-        if rows is not None:
-            loaded.append(rows)
-    if not loaded:
-        raise ValueError(f"no form of {folder} has a visit scheme")
+    for (_, schema, alone), rows in scans.items():
+        reader = spark.read.format(source.format).options(**source.options).schema(StructType.fromJson(json.loads(schema)))
+        df = reader.load([r.path for r in rows])
+        crf = F.lit(rows[0].crf) if len(rows) == 1 else form_io.form_of_path(F.col("_metadata.file_path"), folder, source.suffix)
+        df = df.select(*[F.col(f"`{c}`").alias(c.lower()) for c in df.columns if c.lower() != "crf"], crf.alias("crf"))
+        loaded.append(_visit_rows(df, study, rows[0].base, prepare.get(alone), sjid))
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
 
 
@@ -122,7 +146,12 @@ def drop_repeats(forms: DataFrame, study: Study) -> DataFrame:
     return dedupe_form_rows(forms)
 
 
-def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) -> DataFrame:
+def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = (), rejects: bool = False, copies: str | None = None) -> DataFrame:
+    """The study's ``OBS`` table (C2), with C4 where the study asks for it.
+
+    With ``rejects`` rejected rows are kept and marked (``stack.REJECT_COLUMNS``); ``copies`` names a column
+    for the rows that each row stands for after C4 (1 elsewhere).
+    """
     relabels = dict(study.relabels)
     base = study.base_form
     if base and study.base_label:
@@ -138,27 +167,51 @@ def stack_study(forms: DataFrame, study: Study, extra: tuple[str, ...] = ()) ->
         extra=extra,
         base_form=study.base_form,
         skip_codes=study.skip_codes,
+        rejects=rejects,
     )
     if not study.distinct_keys:
-        return obs
-    is_base = F.col("crf") == F.lit(base)
-    return obs.where(is_base).unionByName(dedupe_form_keys(obs.where(~is_base), obs.columns))
+        return obs.withColumn(copies, F.lit(1).cast("bigint")) if copies else obs
+    # Base rows and rejected rows keep their repeats: each has a number of its own, in the same pass.
+    own = F.col("crf") == F.lit(base)
+    if rejects:
+        own = own | F.col("reason").isNotNull()
+    numbered = obs.withColumn("__own", F.when(own, F.monotonically_increasing_id()))
+    return dedupe_form_keys(numbered, numbered.columns, copies).drop("__own")
+
+
+def split_rejects(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected rows of a marked table, written in one pass (rows in = accepted + rejected)."""
+    kind = F.when(F.col("reason").isNull(), "accepted").otherwise("rejected")
+    table = cut_lineage(marked.withColumn("kind", kind), partition_by=("kind",))
+    return accepted(table.where("kind = 'accepted'").drop("kind")), rejected(table.where("kind = 'rejected'"))
+
+
+def _stacked(forms: DataFrame, study: Study, extra: tuple[str, ...] = (), copies: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The stacked table, written once, and the rejected rows if visit keys came as text."""
+    if "reason" in forms.columns or any(t == "string" for c, t in forms.dtypes if c in ("avisitn", "adt")):
+        return split_rejects(stack_study(forms, study, extra, rejects=True, copies=copies))
+    return cut_lineage(stack_study(forms, study, extra, copies=copies)), None
 
 
 def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
     """Flag outputs of one study: flags, histogram, flagged visit table, residual check, visit modes.
 
-    The stacked table and the per-date summary are each read by several
+    Where they apply, also the rejected rows, and the visit keys that a form held more than once before C4
+    (the scripts' guard). The stacked table and the per-date summary are each read by several
     outputs, so both are written to the checkpoint folder once.
     """
     extra = tuple(c for c in ("hpf", "fpf") if c in forms.columns)
-    obs = cut_lineage(stack_study(forms, study, extra))
+    copies = "n_rows" if study.distinct_keys else None
+    obs, rejects = _stacked(forms, study, extra, copies)
+    out = {"rejects": rejects} if rejects is not None else {}
+    if copies:
+        out["duplicates"] = obs.where(F.col(copies) > 1)
+        obs = obs.drop(copies)
     summary = cut_lineage(flags.date_summary(obs))
-    visit_dates = flags.visit_dates_flagged(obs, extra, summary)
-    out = {
+    out |= {
         "flags": flags.multi_date_visits(obs, summary),
         "histogram": flags.span_histogram(obs, study.breaks, summary),
-        "visit_dates": visit_dates,
+        "visit_dates": flags.visit_dates_flagged(obs, extra, summary),
         "residual": flags.residual_of_dates(summary),
     }
     if "hpf" in extra:
@@ -167,20 +220,31 @@ def flag_study(forms: DataFrame, study: Study) -> dict[str, DataFrame]:
 
 
 def repair_study(forms: DataFrame, registration: DataFrame, demographics: DataFrame, study: Study) -> dict[str, DataFrame]:
-    """Repair outputs of one study: conflicts for review, clean visits, counts, visit dates with age."""
-    obs = stack_study(forms, study)
+    """Repair outputs of one study: conflicts for review, clean visits, counts, visit dates with age.
+
+    ``counts`` has the five counts before and after conflicts are resolved (``stage``).
+    """
+    rejects = None
+    if "reason" in forms.columns:
+        obs, rejects = _stacked(forms, study)
+    else:
+        obs = stack_study(forms, study)
     subject_ages = cut_lineage(ages_ops.baseline_age(registration, demographics))
     stacked = ages_ops.subjects_with_age(obs, subject_ages)
     visits = cut_lineage(pipelines.repair_stage(stacked, "snap_to_median"))
     summary = cut_lineage(conflicts.conflict_entries(conflicts.visit_entries(visits)))
     clean = cut_lineage(conflicts.clean_visits(visits, summary, conflicts.resolve_conflicts(summary)))
-    return {
+    out = {
         "ages": subject_ages,
         "conflicts": conflicts.conflict_review(conflicts.conflict_shared_forms(summary)),
         "clean_visits": clean,
-        "counts": conflicts.visit_counts(clean),
+        "counts": conflicts.staged_counts(visits, clean),
         "visit_dates": conflicts.visit_dates_with_age(clean, subject_ages),
     }
+    return out if rejects is None else out | {"rejects": rejects}
+
+
+REJECT_ORDER = ("study", "crf", "sjid", "avisit")
 
 
 def run_flag_study(
@@ -191,16 +255,15 @@ def run_flag_study(
     run_date: dt.date | None = None,
     **load_options,
 ) -> dict[str, str]:
-    """Flag job: write ``visit.flags.<study>`` and ``visit.dates.<study>``; returns their paths."""
+    """Flag job: publish ``visit.flags.<study>`` and ``visit.dates.<study>`` and, where there are such, rejects and duplicates; returns their paths."""
     study = STUDIES[study_name]
     configure(spark)
+    orders = {"flags": ("sjid", "avisitn"), "visit_dates": ("study", "sjid", "avisitn", "adt"), "rejects": REJECT_ORDER, "duplicates": ("sjid", "crf")}
+    names = {"flags": "visit.flags", "visit_dates": "visit.dates", "rejects": "visit.rejects", "duplicates": "visit.duplicates"}
     with job_scratch(spark):
         out = flag_study(load_study_forms(spark, folder, study, **load_options), study)
         return {
-            "flags": sinks.write_dated(out["flags"], f"{out_base}/visit.flags.{study.name}", run_date, order=("sjid", "avisitn")),
-            "visit_dates": sinks.write_dated(
-                out["visit_dates"], f"{out_base}/visit.dates.{study.name}", run_date, order=("study", "sjid", "avisitn", "adt")
-            ),
+            k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items() if k in out
         }
 
 
@@ -214,21 +277,23 @@ def run_repair_study(
     run_date: dt.date | None = None,
     **load_options,
 ) -> dict[str, str]:
-    """Repair job: write visit dates with age, the conflicts for review and the counts; returns their paths."""
+    """Repair job: publish visit dates with age, the conflicts for review, the counts and any rejects; returns their paths."""
     study = STUDIES[study_name]
     configure(spark)
-    orders = {"visit_dates": ("sjid", "avisitn", "adt_day"), "conflicts": conflicts.REVIEW_ORDER, "counts": ()}
-    names = {"visit_dates": "visit.dates", "conflicts": "visit.conflicts", "counts": "visit.counts"}
+    orders = {"visit_dates": ("sjid", "avisitn", "adt_day"), "conflicts": conflicts.REVIEW_ORDER, "counts": (), "rejects": REJECT_ORDER}
+    names = {"visit_dates": "visit.dates", "conflicts": "visit.conflicts", "counts": "visit.counts", "rejects": "visit.rejects"}
     with job_scratch(spark):
         out = repair_study(load_study_forms(spark, folder, study, **load_options), registration, demographics, study)
-        return {k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items()}
+        return {
+            k: sinks.write_dated(out[k], f"{out_base}/{names[k]}.{study.name}", run_date, order=order) for k, order in orders.items() if k in out
+        }
 
 
-def normalise_study(spark: SparkSession, folder: str, out_folder: str, suffix: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> list[str]:
+def normalise_study(spark: SparkSession, folder: str, out_folder: str, suffix: str, fmt: str | None = None, options: Mapping[str, str] | None = None) -> list[str]:
     """Every form of a folder with lower-case columns, written as Parquet and text copies; returns the stored names."""
-    found = form_io.list_form_files(spark, folder, suffix).collect()  # one row per form
+    source = source_of(None, suffix, fmt, options)
     names = []
-    for r in sorted(found, key=lambda r: r.crf):
-        form = spark.read.format(fmt).options(**(options or {})).load(r.path)
-        names.append(sinks.write_normalised(form_io.normalise_columns(form), out_folder, r.crf))
+    for r in form_manifest(spark, folder, source).orderBy("crf").collect():  # one row per form
+        reader = spark.read.format(source.format).options(**source.options).schema(StructType.fromJson(json.loads(r.schema)))
+        names.append(sinks.write_normalised(form_io.normalise_columns(reader.load(r.path)), out_folder, r.crf))
     return names

@@ -10,14 +10,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from visitline.sources.studies import (
-    CRCSCA_EXCLUDE,
-    EFACTS_EXCLUDE,
-    FACHILD_EXCLUDE,
-    FACOMS_EXCLUDE,
-    FIXTURE_FORMS,
-    UNIFAI_EXCLUDE,
-)
+# Forms without a visit scheme, per study, listed here once more so that a wrong list can't agree with itself.
+CRCSCA_EXCLUDE = (
+    "age_at_onset conclusionofstudyparticipation dsn_names7301 registration general_physical_exam covid_19_visit_impact_form deathrecord "
+    "eligibility genetic_results physician_global_impression patient_global_impression concomitant_meds demographics "
+    "demographics_supplement medical_history neurological_exam change_of_status"
+).split()
+EFACTS_EXCLUDE = ["SARA"]
+FACHILD_EXCLUDE = "concl conmed currcond icflog random famed facmstat invsig visstat".split()
+FACOMS_EXCLUDE = "concl conmed currcond icflog random famed facmstat famp screen pregoutc sig visstat mhcnsnsus".split()
+UNIFAI_EXCLUDE = "TimeZone AE MH SCO mfar".split()
+
+# The study's names for the first forms of the tables.
+FORM_NAMES = {
+    "CRCSCA": ("crf1", "_9hpt", "visit_codes", "demographics"),
+    "EFACTS": ("sara", "_9hpt", "visit_codes", "SARA"),
+    "FACHILD": ("faneuro", "_9hpt", "visit_codes", "conmed"),
+    "FACOMS": ("faneuro", "_9hpt", "visit_codes", "screen"),
+    "UNIFAI": ("mfar", "_9hpt", "visit_codes", "AE"),
+}
 
 OBS = """
 v as (
@@ -37,7 +48,7 @@ obs as (
          when l_suppkey % 3 = 0 then od + cast(l_partkey % 30 as int)
          else od + cast(o_orderkey % 7 as int) end as adt,
     l_returnflag as hpf,
-    l_quantity as qty, l_linestatus as status
+    l_quantity as qty, l_linestatus as status, l_partkey as partkey
   from lineitem
   join v on l_orderkey = o_orderkey
   join customer on o_custkey = c_custkey
@@ -73,6 +84,27 @@ ages as (
   from first_reg
   where coalesce(start_age, registration_age, ageatregistration) > 1)"""
 
+# Text exports: visit numbers and dates as text, some empty, blank or not readable.
+TEXT = """
+t as (
+  select study, sjid, avisit, crf,
+    case when partkey % 53 = 0 then concat(cast(cast(avisitn as int) as varchar), 'a') when partkey % 59 = 0 then ' '
+         else cast(cast(avisitn as int) as varchar) end as num,
+    case when partkey % 61 = 0 then 'n/a' when adt is null then '' else cast(adt as varchar) end as day
+  from obs),
+tr as (
+  select *, try_cast(num as double) as avisitn, try_cast(nullif(day, '') as date) as adt,
+    nullif(concat_ws(', ', case when try_cast(num as double) is null then 'visit number' end,
+                           case when day <> '' and try_cast(day as date) is null then 'date' end), '') as reason
+  from t where trim(num) <> '')"""
+
+# A study's text files: some visit numbers can't be read.
+EFACTS_FILES = """
+ef as (
+  select study, sjid, avisit, case when qty % 7 <> 0 then avisitn end as avisitn, qty % 7 <> 0 and qty % 11 = 0 as bad, adt,
+         case crf {names} else crf end as crf
+  from obs)"""
+
 # Flag pipeline: every stacked row with a visit number.
 FLAG = """
 fobs as (select study, sjid, avisit, avisitn, crf, adt, hpf from obs where avisitn is not null),
@@ -190,9 +222,13 @@ c20 as (
       and s.adt_day is not distinct from u.adt_day and s.avisitn is not distinct from u.avisitn))"""
 
 
+def form_names(study: str) -> str:
+    return " ".join(f"when 'crf{i}' then '{name}'" for i, name in enumerate(FORM_NAMES[study], 1))
+
+
 def study_stack(study: str, base: str | None, base_out: str | None, excluded: Sequence[str]) -> str:
     """A study's stacked rows, from the rules of the study rather than its settings."""
-    names = " ".join(f"when '{k}' then '{v}'" for k, v in FIXTURE_FORMS[study].items())
+    names = form_names(study)
     out = ", ".join(f"'{x}'" for x in excluded)
     keep = f"crf not in ({out})"
     if study in ("EFACTS", "UNIFAI"):
@@ -258,6 +294,25 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
         "form_catalogue": _with(OBS, body=f"""
             select distinct crf from obs
             where crf not in ({crcsca_exclude})"""),
+        "form_manifest": _with(OBS, EFACTS_FILES.format(names=form_names("EFACTS").replace("_9hpt", "nhpt")), body="""
+            select crf, 'csv' as format, n as rows, columns, crf = 'sara' as base, reason is null as used, reason from (
+              select crf, count(*) as n, 'SJID:string, AVISIT:string, AVISITN:string, ADT:string, HPF:string, QTY:string, STATUS:string' as columns,
+                     case when crf = 'SARA' then 'excluded' when contains(crf, '_codes') then 'code list' end as reason
+              from ef group by crf
+              union all
+              select 'sites', count(*), 'N_NAME:string', 'no visit keys' from nation
+              union all
+              select 'blank', 0, 'SJID:string, AVISIT:string, AVISITN:string, ADT:string, HPF:string, QTY:string, STATUS:string', 'empty')"""),
+        "load_study_efacts": _with(OBS, EFACTS_FILES.format(names=form_names("EFACTS").replace("_9hpt", "nhpt")), body="""
+            select 'EFACTS' as study, sjid, avisit, avisitn, crf, adt from ef
+            where not bad and (crf = 'sara' or (crf <> 'SARA' and not contains(crf, '_codes') and avisitn is not null))"""),
+        "load_study_facoms": study_stack("FACOMS", "faneuro", None, FACOMS_EXCLUDE),
+        "stack_text_forms": _with(OBS, TEXT, body="select study, sjid, avisit, avisitn, crf, adt from tr where reason is null"),
+        "rejected_rows": _with(OBS, TEXT, body="""
+            select study, crf, sjid, avisit, num as avisitn, nullif(day, '') as adt, reason from tr where reason is not null"""),
+        "duplicate_key_rows": _with(OBS, body="""
+            select study, sjid, avisit, avisitn, crf, adt, count(*) as n_rows from obs
+            group by all having count(*) > 1"""),
         "normalise_columns": "select * from lineitem",
         "dedupe_form_rows": _with(OBS, body="""
             select study, sjid, avisit, avisitn, crf, adt, hpf, qty, status from obs
@@ -341,6 +396,10 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
             window s as (partition by v.study, v.sjid)"""),
         # flags
         "form_summary": flag("select study, sjid, avisit, avisitn, adt, n, crf from fs"),
+        "form_runs": flag("""
+            select study, sjid, avisit, avisitn, adt, cast(sum(count(*)) over (partition by study, sjid, avisit, avisitn, adt) as bigint) as n,
+                   crf, count(*) as rows
+            from fobs group by study, sjid, avisit, avisitn, adt, crf"""),
         "multi_date_visits": flag("select study, sjid, avisit, avisitn, adt, diff, flagged, n, crf from flags"),
         "span_histogram": histogram(
             (0, 31, 90, 180, 1000, 2000, 3000, 1e18),
@@ -350,6 +409,9 @@ def queries(obs: str = OBS, subj: str = SUBJ) -> dict[str, str]:
             (0, 31, 90, 180, 3000), ("(0,31]", "(31,90]", "(90,180]", "(180,3e+03]")
         ),
         "visit_dates_flagged": flag("select * from vdf"),
+        "sorted_visit_dates": flag("""
+            select *, row_number() over (order by study, sjid, avisitn nulls last, adt nulls last, avisit nulls last, n nulls last,
+                                         diff nulls last, crf nulls last, flagged nulls last) - 1 as place from vdf"""),
         "residual_multi_date": flag("""
             select * from (select distinct study, sjid, avisit, avisitn, adt, n, diff, flagged
                            from vdf where avisitn <> -1)

@@ -98,43 +98,42 @@ REPAIR_ORDER = (
     "snap_to_median",
 )
 
-# Stages read by more than one later stage. Cutting lineage there keeps each
-# consumer's plan a scan of the checkpoint instead of another copy of the chain.
-REPAIR_CUTS = ("forms_per_date", "inconsistent_visits", "drop_collided_forms")
+# Read by more than one later stage: the visit entries behind C9, the correction pairs inside C11, and C13.
+# Cutting lineage there keeps each consumer's plan a scan of the cut instead of another copy of the chain.
 
 
 def repair_stage(stacked: DataFrame, upto: str, cut: bool = True) -> DataFrame:
     """Run C8 ... ``upto`` on a stacked table.
 
-    With ``cut``, stages in ``REPAIR_CUTS`` that feed later stages are
+    With ``cut``, what later steps read more than once is
     written to the checkpoint folder (an eager job each) before they are read
     again. Without cuts every aggregate-and-join step copies the plan above
     it, so the plan doubles per step: use ``cut=False`` only for short chains.
-    """
-    last = REPAIR_ORDER.index(upto)
-
-    def done(name: str, df: DataFrame) -> DataFrame:
-        later = REPAIR_ORDER.index(name) < last
-        return cut_lineage(df) if (cut and later and name in REPAIR_CUTS) else df
 
+    C10 is not on the way to C11: corrections come from visit entries, of which only those with the
+    most forms of a date are paired.
+    """
+    if upto not in REPAIR_ORDER:
+        raise ValueError(f"unknown stage {upto!r}; expected one of {REPAIR_ORDER}")
+    keep = cut_lineage if cut else (lambda df: df)
     c8 = repair.one_date_per_form_visit(stacked)
-    if last == 0:
+    if upto == "one_date_per_form_visit":
         return c8
-    c9 = done("forms_per_date", repair.forms_per_date(c8))
-    stages = {"forms_per_date": c9}
-    if last >= 2:
-        stages["inconsistent_visits"] = done("inconsistent_visits", repair.inconsistent_visits(c9))
-    if last >= 3:
-        stages["visit_corrections"] = repair.visit_corrections(stages["inconsistent_visits"])
-    if last >= 4:
-        stages["apply_corrections"] = repair.apply_corrections(c9, stages["visit_corrections"])
-    if last >= 5:
-        stages["drop_collided_forms"] = done(
-            "drop_collided_forms", repair.drop_collided_forms(stages["apply_corrections"])
-        )
-    if last >= 6:
-        stages["snap_to_median"] = repair.snap_to_median(stages["drop_collided_forms"])
-    return stages[upto]
+    if upto == "forms_per_date":
+        return repair.forms_per_date(c8)
+    entries = keep(repair.visit_forms(c8))
+    if upto == "inconsistent_visits":
+        return repair.inconsistent_entries(entries)
+    corrections = repair.fewest_corrections(keep(repair.correction_pairs(entries)))
+    if upto == "visit_corrections":
+        return corrections
+    applied = repair.apply_corrections(repair.forms_of(entries), corrections)
+    if upto == "apply_corrections":
+        return applied
+    collided = repair.drop_collided_forms(applied)
+    if upto == "drop_collided_forms":
+        return collided
+    return repair.snap_to_median(keep(collided))
 
 
 def repaired_visits(spark: SparkSession, sf_dir: str, cut: bool = True) -> DataFrame:

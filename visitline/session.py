@@ -122,7 +122,7 @@ def job_scratch(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
     Used where a chain of shuffles feeds several consumers: each consumer's
@@ -131,8 +131,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     raw forms. Unlike an eager RDD ``checkpoint()``, which runs its input
     once to count and again to save, the table is computed once. Inside
     ``job_scratch`` the files go with the job; else they stay in the checkpoint folder.
+    ``partition_by`` lays the table out by columns, so that a consumer of one value reads only its files.
     """
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

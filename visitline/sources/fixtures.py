@@ -20,6 +20,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from visitline.session import cut_lineage
+from visitline.sources.manifest import Source
+from visitline.sources.sinks import stored_form_name
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -133,6 +137,38 @@ def study_forms(spark: SparkSession, sf_dir: str, names: Mapping[str, str]) -> D
     )
 
 
+def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``obs`` as a text export has it: visit numbers and dates are text, some empty, blank or not readable."""
+    rows = _form_rows(spark, sf_dir, ("l_partkey",))
+    part = F.col("l_partkey")
+    number = F.col("avisitn").cast("int").cast("string")
+    avisitn = F.when(part % 53 == 0, F.concat(number, F.lit("a"))).when(part % 59 == 0, F.lit(" ")).otherwise(number)
+    adt = F.when(part % 61 == 0, F.lit("n/a")).when(F.col("adt").isNull(), F.lit("")).otherwise(F.col("adt").cast("string"))
+    return rows.select("study", "sjid", "avisit", avisitn.alias("avisitn"), "crf", adt.alias("adt"), "hpf")
+
+
+def write_study_folder(spark: SparkSession, sf_dir: str, folder: str, names: Mapping[str, str], source: Source) -> None:
+    """``study_forms`` as a study's folder of form files in the study's format, column names in upper case.
+
+    Beside the forms there is one without visit keys (``sites``) and one without rows (``blank``). In text files the visit number
+    of rows whose quantity divides by 11 can't be read. Names that Spark would hide are stored under the study's name for them.
+    """
+    rows = study_forms(spark, sf_dir, {k: stored_form_name(v) for k, v in names.items()}).drop("study")
+    if source.format != "parquet":
+        rows = rows.withColumn("avisitn", F.when(F.col("qty") % 11 == 0, F.concat(F.col("avisitn").cast("string"), F.lit("?"))).otherwise(F.col("avisitn").cast("string")))
+    rows = cut_lineage(rows, partition_by=("crf",))
+
+    def write(df: DataFrame, name: str) -> None:
+        df = df.toDF(*[c.upper() for c in df.columns])
+        df.write.format(source.format).options(**source.options).save(f"{folder}/{name}{source.suffix}")
+
+    for i in range(1, 8):
+        name = stored_form_name(names.get(f"crf{i}", f"crf{i}"))
+        write(rows.where(F.col("crf") == name).drop("crf"), name)
+    write(rows.drop("crf").limit(0), "blank")
+    write(table(spark, sf_dir, "nation").select("n_name"), "sites")
+
+
 def subj(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``study, sjid, start_age, registration_age, ageatregistration, dm_date``."""
     key = F.col("c_custkey")
