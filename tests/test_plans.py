@@ -76,27 +76,42 @@ def test_scale_conf_sizes_partitions_from_input():
     assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
 
 
-def test_inconsistent_visits_exchange_count(spark, obs_of):
-    """Static plan of C10 on a stored table: one exchange for the per-visit summary, one per join side."""
-    import re
-
-    from visitline.session import cut_lineage
-
-    obs = obs_of([(1, "a", day(0)), (1, "b", day(0)), (2, "c", day(0)), (2, "a", day(9))])
-    stored = cut_lineage(repair.forms_per_date(repair.one_date_per_form_visit(obs)))
+def static_plan(spark, df_of) -> str:
     previous = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = physical(repair.inconsistent_visits(stored))
+        return physical(df_of())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", previous)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    exchanges = len(re.findall(r"Exchange hashpartitioning", plan))
-    assert exchanges <= 3, plan
+
+
+def test_inconsistent_visits_exchange_count(spark, obs_of):
+    """Static plan of C10 on stored visit entries, as in the pipeline: one exchange for each side of the join."""
+    import re
+
+    from visitline.session import cut_lineage
+
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(0)), (2, "c", day(0)), (2, "a", day(9))])
+    stored = cut_lineage(repair.visit_forms(repair.one_date_per_form_visit(obs)))
+    plan = static_plan(spark, lambda: repair.inconsistent_entries(stored))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2, plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_median_is_no_map_of_values(spark, obs_of):
+    """C14 keeps no list or map of a visit's dates: per visit there are sums of a hash aggregate only."""
+    obs = obs_of([(1, "a", day(0)), (1, "b", day(4)), (2, "a", day(4)), (2, "c", None)])
+    v13 = repair.drop_collided_forms(
+        repair.apply_corrections(
+            repair.forms_per_date(repair.one_date_per_form_visit(obs)), repair.fewest_corrections(repair.correction_pairs(repair.visit_forms(obs)))
+        )
+    )
+    plan = static_plan(spark, lambda: repair.snap_to_median(v13))
+    assert "percentile" not in plan and "median(" not in plan and "collect_set" not in plan
+
+
 def test_hot_subject_join_is_split_by_aqe(spark):
     """With skew thresholds scaled down to test size, AQE splits the hot subject's join partition."""
     import datetime as dt

@@ -1,0 +1,87 @@
+"""Corrections from visit entries and the median from day counts, against plain versions."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import statistics
+from collections import defaultdict
+
+import pytest
+from study_helpers import D_DAY, day
+
+from visitline.operators import repair
+
+
+def rows_of(seed, n=400):
+    """Few subjects, visits, dates and forms, so that dates are shared by visits in every way."""
+    rng = random.Random(seed)
+    out = {}
+    for _ in range(n):
+        visit = rng.choice([None, -1.0, 1.0, 2.0, 3.0])
+        date = rng.choice([None, day(0), day(1), day(rng.randint(2, 60))])
+        out[("S" if rng.random() < 0.7 else "T", rng.randint(1, 25), visit, rng.choice("abcdefg"))] = date
+    return [(s, i, v, c, d) for (s, i, v, c), d in out.items()]
+
+
+SCHEMA = "study string, sjid bigint, avisitn double, crf string, adt date"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_corrections_from_entries_equal_the_pairwise_rule(spark, seed):
+    c9 = repair.forms_per_date(repair.one_date_per_form_visit(spark.createDataFrame(rows_of(seed), SCHEMA)))
+    by_pairs = repair.visit_corrections(repair.inconsistent_visits(c9))
+    entries = repair.entries_of(c9)
+    got = repair.fewest_corrections(repair.correction_pairs(entries)).select(*by_pairs.columns)
+    # The rule itself, on rows.
+    rows = [tuple(r) for r in c9.select("study", "sjid", "adt", "avisitn", "crf", "n_crf_date").collect()]
+    pairs = {
+        (a[0], a[1], a[2], a[3], a[4], a[5], b[3], b[5])
+        for a in rows for b in rows
+        if a[:3] == b[:3] and None not in (a[3], b[3]) and a[3] != b[3] and a[4] != b[4]
+    }
+    most = defaultdict(int)
+    for p in pairs:
+        most[p[1], p[2]] = max(most[p[1], p[2]], p[7])
+    pairs = {p for p in pairs if p[7] == most[p[1], p[2]]}
+    least = defaultdict(lambda: 99)
+    for p in pairs:
+        least[p[1], p[6]] = min(least[p[1], p[6]], p[5])
+    want = sorted({(p[0], p[1], p[3], p[6], p[4]) for p in pairs if p[5] == least[p[1], p[6]]})
+    assert want and sorted(map(tuple, got.collect())) == want == sorted(map(tuple, by_pairs.collect()))
+
+
+def test_only_entries_with_the_most_forms_are_met(spark):
+    """One subject with 300 undated visits of one form each and one undated visit of five: 300 pairs, not 90,300."""
+    rows = [("S", 1, float(v), "x", None) for v in range(300)] + [("S", 1, 900.0, c, None) for c in "abcde"]
+    entries = repair.visit_forms(spark.createDataFrame(rows, SCHEMA))
+    assert repair.correction_pairs(entries).count() == 300
+    moved = repair.fewest_corrections(repair.correction_pairs(entries)).collect()
+    assert len(moved) == 300 and {(r.avisitn_new, r.crf) for r in moved} == {(900.0, "x")}
+
+
+def test_median_from_day_counts(spark):
+    rng = random.Random(7)
+    visits = {}
+    for v in range(300):
+        first = D_DAY - rng.randint(0, 40_000)  # before 1970 too
+        width = rng.choice([0, 1, 5, 30, 31, 32, 200])
+        days = [first, first + width] + [first + rng.randint(0, width) for _ in range(rng.randint(0, 12))]
+        if rng.random() < 0.1:
+            days.append(None)
+        visits[float(v)] = days
+    epoch = dt.date(1970, 1, 1)
+    rows = [
+        ("S", 1, v, f"f{k}", None if d is None else epoch + dt.timedelta(days=d), 1, None) for v, days in visits.items() for k, d in enumerate(days)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA + ", n_crf_date bigint, avisitn_original double")
+    got = defaultdict(set)
+    for r in repair.snap_to_median(df).collect():
+        got[r.avisitn].add((r.adt_day, r.diff))
+    for v, days in visits.items():
+        if None in days:
+            assert got[v] == {(None, None)}
+        elif max(days) - min(days) <= 31:
+            assert got[v] == {(statistics.median(days), 0)}
+        else:
+            assert {x for x, _ in got[v]} == {float(d) for d in days}
