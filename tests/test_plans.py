@@ -100,18 +100,6 @@ def test_inconsistent_visits_exchange_count(spark, obs_of):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_median_is_no_map_of_values(spark, obs_of):
-    """C14 keeps no list or map of a visit's dates: per visit there are sums of a hash aggregate only."""
-    obs = obs_of([(1, "a", day(0)), (1, "b", day(4)), (2, "a", day(4)), (2, "c", None)])
-    v13 = repair.drop_collided_forms(
-        repair.apply_corrections(
-            repair.forms_per_date(repair.one_date_per_form_visit(obs)), repair.fewest_corrections(repair.correction_pairs(repair.visit_forms(obs)))
-        )
-    )
-    plan = static_plan(spark, lambda: repair.snap_to_median(v13))
-    assert "percentile" not in plan and "median(" not in plan and "collect_set" not in plan
-
-
 def test_hot_subject_join_is_split_by_aqe(spark):
     """With skew thresholds scaled down to test size, AQE splits the hot subject's join partition."""
     import datetime as dt

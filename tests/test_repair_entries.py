@@ -1,4 +1,4 @@
-"""Corrections from visit entries and the median from day counts, against plain versions."""
+"""Corrections from visit entries and the median of close dates, against plain versions."""
 
 from __future__ import annotations
 
@@ -60,7 +60,7 @@ def test_only_entries_with_the_most_forms_are_met(spark):
     assert len(moved) == 300 and {(r.avisitn_new, r.crf) for r in moved} == {(900.0, "x")}
 
 
-def test_median_from_day_counts(spark):
+def test_median_of_close_dates(spark):
     rng = random.Random(7)
     visits = {}
     for v in range(300):
