@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitline.session import checkpoint_dir, cut_lineage
 
-__all__ = ["stored", "shared_path", "table", "only", "as_rows", "global_rank", "components", "is_empty"]
+__all__ = ["stored", "shared_path", "table", "only", "as_rows", "global_rank", "components", "is_empty", "hash_limit"]
 
 #: Written to the session's shared checkpoint folder and read again.
 stored = cut_lineage
@@ -36,6 +36,11 @@ def as_rows(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
 
 
+def hash_limit(wanted: int, n: int) -> int:
+    """The signed 64-bit hash up to which about ``wanted`` of ``n`` values lie (all, if there are fewer)."""
+    return (1 << 63) - 1 if n <= wanted else (wanted << 64) // n - (1 << 63)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

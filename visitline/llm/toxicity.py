@@ -5,10 +5,11 @@ The machine scores ``w0 + sum w_i + sum_{i<j} <v_i, v_j>`` over the text's featu
 learns pairs (an insult together with the mention of a group) that no sum of single
 weights can tell from the two alone.
 
-Training: a seeded sample of at most about ``SAMPLE`` labelled rows that are not held out
-goes to one task, which keeps the features whose rate differs between the labels and fits
-the machine with AdaGrad; the model (about 1 MB at most, ``MAX_FEATURES``) goes to all tasks.
-Every whole text is then scored in one narrow pass.
+Training: a seeded draw of at most ``SAMPLE`` labels that are not held out, then of as many rows with these ids
+(about ``PER_ID`` of one id at most, equal rows once), goes to one task. It keeps the features whose rate differs between the
+labels and, among the ``PAIR_FEATURES`` most frequent, those of which a pair's rate differs from what its members' rates
+say, even where each alone tells nothing; then it fits the machine with AdaGrad. The model (about 1 MB at
+most, ``MAX_FEATURES``) goes to all tasks. Every whole text is then scored in one narrow pass.
 
 Edge cases: null and empty texts have no feature and score the model's bias; a null label or
 a label other than 0 and 1 is no label; without labels of both kinds the score is the label
@@ -28,11 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitline.llm.common import as_rows, only, stored
+from visitline.llm.common import as_rows, hash_limit, is_empty, only, stored
 
-#: Labelled rows that the machine is fitted on, at most about.
-SAMPLE = 12_000
+#: Labels, and then rows, that the machine is fitted on, at most; rows of one id, at most about.
+SAMPLE, PER_ID = 12_000, 16
 BITS, FACTORS, MAX_FEATURES = 20, 8, 16_384
+#: Pairs are looked for among so many features, the most frequent; standard deviations from which a feature, or a pair, is kept.
+PAIR_FEATURES, PAIRLESS, PAIRED = 4096, 4, 7
 EPOCHS, RATE, DECAY, SEED = 40, 0.1, 1e-4, 7
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
@@ -61,6 +64,34 @@ def text_features(text: str | None, known: dict[str, list[int]]) -> np.ndarray:
     return np.fromiter(got, np.uint32, len(got))
 
 
+def pair_signal(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """For each of the features ``often``, how far the labels of some pair that it is in are from what its members say alone.
+
+    In standard deviations: the positive rate of the rows that hold both, against the sum of both rates less the base rate.
+    """
+    slot = np.full(1 << BITS, -1, np.int64)
+    slot[often] = np.arange(len(often))
+    on = slot[ids] >= 0
+    rows, cols = rows[on], slot[ids[on]]
+    m, rate = len(often), float(y.mean())
+    both, positive = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
+    for at in range(0, len(y), 1024):
+        i, j = np.searchsorted(rows, [at, at + 1024])
+        x = np.zeros((min(1024, len(y) - at), m), np.float32)
+        x[rows[i:j] - at, cols[i:j]] = 1
+        both += x.T @ x
+        hit = x[y[at : at + 1024] > 0]
+        positive += hit.T @ hit
+    alone = np.diagonal(positive) / np.maximum(np.diagonal(both), 1)
+    out = np.zeros(m)
+    for i in range(m):
+        n = both[i]
+        gap = np.abs(positive[i] - n * np.clip(alone[i] + alone - rate, 0, 1)) / np.sqrt(np.maximum(n, 1) * rate * (1 - rate))
+        gap[(n < 3) | (n == both[i, i]) | (n == np.diagonal(both))] = 0  # always together: not a pair
+        out[i] = gap.max(initial=0)
+    return out
+
+
 def fit(features: list[np.ndarray], labels: np.ndarray) -> dict:
     """The machine: kept feature ids, bias, weights and factors."""
     y = np.asarray(labels, float)
@@ -73,10 +104,13 @@ def fit(features: list[np.ndarray], labels: np.ndarray) -> dict:
     ids = np.concatenate(features).astype(np.int64)
     all_ = np.bincount(ids, minlength=1 << BITS).astype(float)
     pos = np.bincount(ids, weights=y[rows], minlength=1 << BITS)
-    # Screening: features in at least 3 rows whose positive rate is far from the base rate.
-    z = (pos - all_ * rate) / np.sqrt(np.maximum(all_, 1) * rate * (1 - rate))
-    keep = np.flatnonzero((all_ >= 3) & (np.abs(z) >= 4))
-    keep = np.sort(keep[np.argsort(-np.abs(z[keep]), kind="stable")[:MAX_FEATURES]])
+    # Screening: features in at least 3 rows whose positive rate is far from the base rate, or that have it only together.
+    z = np.abs(pos - all_ * rate) / np.sqrt(np.maximum(all_, 1) * rate * (1 - rate))
+    often = np.argsort(-all_, kind="stable")[:PAIR_FEATURES]
+    often = np.sort(often[all_[often] >= 3])
+    z[often] = np.maximum(z[often], pair_signal(rows, ids, y, often) * PAIRLESS / PAIRED)
+    keep = np.flatnonzero((all_ >= 3) & (z >= PAIRLESS))
+    keep = np.sort(keep[np.argsort(-z[keep], kind="stable")[:MAX_FEATURES]])
     slot = np.full(1 << BITS, -1, np.int64)
     slot[keep] = np.arange(len(keep))
     on = slot[ids] >= 0
@@ -150,25 +184,35 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
-    """Fit on a seeded sample of the labelled rows that are not held out; the pickled model."""
-    marks = only(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    n = max(marks.count(), 1)
-    share = int(min(1.0, sample / n) * (1 << 20))
-    marks = stored(marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share))
-    texts = only(docs, "doc_id", "text").join(marks, "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    """Fit on a seeded draw of the labelled rows that are not held out; the pickled model."""
+    marks = only(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    marks = marks.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    n = marks.count()
+    # About four times as many by their hash, then the exact number.
+    key = F.xxhash64("doc_id", "toxic", F.lit(SEED))
+    marks = stored(marks.where(key <= hash_limit(4 * sample, n)).orderBy(key, "doc_id", "toxic").limit(sample))
+    if n and is_empty(marks):
+        raise RuntimeError(f"none of {n} labels was drawn")
+    docs = only(docs, "doc_id", "text")
+    rows = docs.select("doc_id").join(marks.select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    hashed = F.xxhash64("text", F.lit(SEED))
+    texts = docs.join(marks.join(rows, "doc_id"), "doc_id").withColumn("h", hashed)
+    texts = texts.where(F.pmod("h", F.lit(1 << 53)) * F.col("rows") < F.lit(float(PER_ID << 53))).select("doc_id", "text", "toxic", "h")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, list[int]] = {}
         for b in batches:
             ids = [np.sort(text_features(t, known)).tobytes() for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "ids": ids})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "h": b["h"], "ids": ids})
 
     def fit_all(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "toxic", "ids"], kind="stable")
         model = fit([np.frombuffer(x, np.uint32) for x in rows["ids"]], rows["toxic"].to_numpy())
         return pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    found = texts.mapInPandas(features, "doc_id bigint, toxic int, ids binary")
+    found = texts.mapInPandas(features, "doc_id bigint, toxic int, h bigint, ids binary")
+    found = found.groupBy("doc_id", "toxic", "h").agg(F.first("ids").alias("ids"))
+    found = found.orderBy(F.xxhash64("doc_id", "toxic", "h", F.lit(SEED)), "doc_id", "toxic", "h").limit(sample)
     got = found.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit_all, "model binary").collect()
     return bytes(got[0]["model"]) if got else pickle.dumps(fit([], np.zeros(0)))
 
