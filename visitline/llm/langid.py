@@ -3,8 +3,8 @@
 A text's UTF-8 bytes are cut into windows of ``WINDOW`` bytes (the last one padded).
 The network embeds the bytes, convolves them with filters of several widths, takes each
 filter's maximum over the window and gives the languages' probabilities by softmax. It is
-trained in numpy (Adam) in one task on a seeded sample of at most about ``SAMPLE`` texts
-with a language, ``PER_TEXT`` windows spread over each. A whole text's prediction is the
+trained in numpy (Adam) in one task on a seeded draw of at most ``SAMPLE`` texts
+with a language (rows equal in id and text once), ``PER_TEXT`` windows spread over each. A whole text's prediction is the
 mean log-probability of all its windows, weighted by their bytes.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; a null language is
@@ -24,9 +24,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitline.llm.common import as_rows, only
+from visitline.llm.common import as_rows, hash_limit, only
 
-#: Texts that the network is trained on, at most about, and windows of each.
+#: Texts that the network is trained on, at most, and windows of each.
 SAMPLE, PER_TEXT = 8_000, 4
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 EPOCHS, BATCH, RATE, SEED = 6, 64, 0.01, 11
@@ -150,9 +150,9 @@ def predict(model: dict, texts: list[str | None], batch: int = 1024) -> tuple[li
 def train(docs: DataFrame, sample: int = SAMPLE) -> bytes:
     """Fit on a seeded sample of the labelled rows that are not held out; the pickled model."""
     rows = only(docs, "doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.char_length("text") > 0))
-    n = max(rows.select("doc_id").count(), 1)
-    key = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20))
-    rows = rows.where(key < int(min(1.0, sample / n) * (1 << 20)))
+    n = rows.count()
+    # About four times as many by their hash, then the exact number.
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text", F.lit(SEED))).where(F.col("key") <= hash_limit(4 * sample, n))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -160,7 +160,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> bytes:
             for t in b["text"]:
                 x = windows(t)[0]
                 got.append(x[np.unique(np.linspace(0, len(x) - 1, PER_TEXT).astype(int))].tobytes())
-            yield pd.DataFrame({"lang": b["lang"], "x": got})
+            yield pd.DataFrame({"key": b["key"], "lang": b["lang"], "x": got})
 
     def fit_all(got: pd.DataFrame) -> pd.DataFrame:
         got = got.sort_values(["lang", "x"], kind="stable")
@@ -169,7 +169,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> bytes:
         y = np.repeat([langs.index(v) for v in got["lang"]], [len(b) // WINDOW for b in got["x"]])
         return pd.DataFrame({"model": [pickle.dumps(fit(x, y, langs))]})
 
-    got = rows.mapInPandas(cut, "lang string, x binary").withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit_all, "model binary").collect()
+    drawn = rows.select("key", "lang", "text").mapInPandas(cut, "key bigint, lang string, x binary")
+    drawn = drawn.groupBy("key", "lang").agg(F.first("x").alias("x")).orderBy("key", "lang").limit(sample)
+    got = drawn.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit_all, "model binary").collect()
+    if n and not got:
+        raise RuntimeError(f"none of {n} texts was drawn")
     return bytes(got[0]["model"]) if got else pickle.dumps({"langs": []})
 
 
