@@ -2,9 +2,10 @@
 
 Markup is stripped to lines: block elements and ``<br>`` end a line, everything else
 runs on. A line inside a boilerplate element (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments, scripts, styles) has no weight, unless the element
-is one by its class or id alone and holds most of the page's text; the others weigh
-their characters, without those of links. The weights of each window of ``WINDOW`` lines are
+notices, adverts, forms, reader comments, scripts, styles) has no weight; the others weigh
+their characters, without those of links. Elements are boilerplate by tag, by role, or by any word of
+their class or id (``noise_kind``), whatever their length, unless the word tells about a state of the page or
+is around the page's whole main article; reader comments always are. The weights of each window of ``WINDOW`` lines are
 summed. A surge point is where the sum rises above ``SURGE``, or above half of the page's
 largest sum if that is less; a dive point is where it falls to 0 again. The lines with weight
 between surge and dive are kept, as are lines of link text among them.
@@ -44,15 +45,20 @@ BLOCK = frozenset(
 )
 NOISE = frozenset("head title nav footer aside form menu dialog button select textarea noscript template iframe object svg canvas".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
-_NAME = (
-    r"(?:ads?|advert\w*|sponsor\w*|banner|sidebar|side|menu|nav\w*|footer|header|masthead|comments?|replies|reply|cookies?|"
-    r"consent|notices?|alert|promo\w*|popup|modal|newsletter|subscribe|share|sharing|social|breadcrumbs?|related|widget|form|login|search)"
+# Words of class and id names. What is named by one of the first two never is article text; the third kind is layout.
+_COMMENTS = re.compile(r"comment(?!ar(?:y|ies)$)\w*|\w*comments|disqus\w*|repl(?:y|ies)|respond|discussion|reactions?")
+_ASIDE = re.compile(
+    r"ads?|ads?(?:slot|box|unit|block|banner|wrap\w*|space|zone|vert\w*|sense)|adv|advert\w*|sponsor\w*|promo\w*|banners?|cookies?\w*|consent|gdpr|"
+    r"notices?|notifications?|alerts?|popups?|popover|modal|lightbox|overlay|toast|newsletters?|subscri\w*|signup|paywall|shar(?:e|ing)\w*|"
+    r"social\w*|breadcrumbs?|related|recommended|recommendations|teasers?|footer|foot|colophon"
 )
-#: A whole class token or id: noise names, and words that only say where or what part of them.
-_BESIDE = r"(?:site|page|global|top|bottom|left|right|main|primary|secondary|box|bar|area|section|container|wrapper|list|block|links?|buttons?|posts?|message|\d+)"
-NOISE_NAMES = re.compile(rf"(?:^|\s)(?:{_BESIDE}[_-])*{_NAME}(?:[_-](?:{_NAME}|{_BESIDE}))*(?:$|\s)", re.I)
-#: An element named like noise with this many characters or more, and over half of the page's text, is not noise.
-NAMED = 200
+_LAYOUT = re.compile(r"\w*sidebars?|side|menus?|\w*menu|nav\w*|header|masthead|topbar|toolbar|widgets?|forms?|login|search\w*")
+#: Words that make a name tell about something else: a state of the page, or a part of the article itself.
+_STATE = frozenset("with without has no is not open opened closed shown visible enabled active loaded ready hide layout".split())
+_CONTENT = frozenset("article entry post story content body title headline text".split())
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+COMMENTS, ASIDE, LAYOUT = 3, 2, 1
+_KINDS: dict[tuple[str, bool], int] = {}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
@@ -61,19 +67,45 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-def _is_noise(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is noise by its tag or role, or else by its class or id."""
-    named = False
+def noise_kind(names: str, in_article: bool = False) -> int:
+    """What a class or id value says about its element: ``COMMENTS``, ``ASIDE``, ``LAYOUT``, or 0."""
+    known = _KINDS.get((names, in_article))
+    if known is not None:
+        return known
+    kind = 0
+    for token in names.split():
+        parts = [p.lower() for p in _PARTS.findall(token)]
+        words = [*parts, "".join(parts)]
+        if _STATE.intersection(parts):
+            continue
+        if any(_COMMENTS.fullmatch(w) for w in words):
+            kind = max(kind, COMMENTS)
+        elif any(_ASIDE.fullmatch(w) for w in words):
+            kind = max(kind, ASIDE)
+        elif any(_LAYOUT.fullmatch(w) for w in words):
+            # The header of an entry is its title.
+            heading = not {"header", "masthead"}.isdisjoint(parts) and (in_article or not _CONTENT.isdisjoint(parts))
+            kind = max(kind, 0 if heading else LAYOUT)
+    if len(_KINDS) > 10_000:
+        _KINDS.clear()
+    _KINDS[names, in_article] = kind
+    return kind
+
+
+def _is_noise(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
+    """Whether an element is noise by its tag or role, or else what its class or id says of it."""
+    kind = 0
     if tag in NOISE or (tag == "header" and not in_article):
-        return True, False
-    if attrs and tag not in ("html", "body", "article", "main"):
+        return True, 0
+    if attrs and tag not in ("html", "body"):
         for name, a, b, c in _ATTR.findall(attrs):
             value = a or b or c
             if name.lower() != "role":
-                named = named or bool(NOISE_NAMES.search(value))
+                kind = max(kind, noise_kind(value, in_article))
             elif value.lower() in NOISE_ROLES:
-                return True, False
-    return False, named
+                return True, 0
+    # An article or main element is one, whatever its name, unless it is a comment.
+    return False, kind if tag not in ("article", "main") or kind == COMMENTS else 0
 
 
 class Line(NamedTuple):
@@ -90,6 +122,7 @@ def lines(page: str) -> list[Line]:
     out: list[Line] = []
     stack: list[tuple[str, bool, int]] = []  # tag, noise, number of an element named like noise
     named: list[int] = []  # those that are open
+    kinds: list[int] = [0]  # what the name of each says
     within: list[tuple[int, ...]] = []  # those around each line
     noise = links = articles = mains = number = names = 0
     text: list[str] = []
@@ -155,22 +188,47 @@ def lines(page: str) -> list[Line]:
         bad, by_name = _is_noise(tag, m[4], articles + mains > 0)
         if bad or by_name:
             end_line()
-        names += by_name
-        stack.append((tag, bad, names if by_name else 0))
         if by_name:
+            kinds.append(by_name)
+            names += 1
             named.append(names)
+        stack.append((tag, bad, names if by_name else 0))
         noise += bad
         links += tag == "a"
         number += tag == "article" and not articles
         articles += tag == "article"
         mains += tag == "main"
     end_line()
+    noisy = _noise_names(out, within, kinds)
+    return [line._replace(noise=line.noise or not noisy.isdisjoint(around)) for line, around in zip(out, within, strict=True)]
+
+
+def _noise_names(rows: list[Line], within: list[tuple[int, ...]], kinds: list[int]) -> set[int]:
+    """The elements named like noise that are noise.
+
+    Comments always are. The others are not if they are around the whole of the page's main article. Without
+    an article or main element, layout names are not noise around over half of the text that is left.
+    """
     held: Counter[int] = Counter()
-    for line, around in zip(out, within, strict=True):
-        if not line.noise:
-            held.update(dict.fromkeys((0, *around), line.plain))
-    small = {n for n in range(1, names + 1) if held[n] < NAMED or 2 * held[n] <= held[0]}
-    return [line._replace(noise=line.noise or not small.isdisjoint(around)) for line, around in zip(out, within, strict=True)]
+    leads: dict[tuple[int, bool], int] = {}
+    total = 0
+    for line, around in zip(rows, within, strict=True):
+        found = [kinds[n] for n in around]
+        if line.noise or COMMENTS in found:
+            continue
+        if line.article or line.main:
+            key = (line.article, line.main)
+            # An article that only stands inside an advert or a list of teasers does not lead where there is another.
+            leads[key] = leads.get(key, 0) + line.plain * (1 if ASIDE in found else 1000)
+        if ASIDE not in found:
+            total += line.plain
+            held.update(dict.fromkeys(around, line.plain))
+    noisy = set(range(1, len(kinds)))
+    if leads:
+        lead = max(leads, key=leads.get)
+        around = [set(w) for line, w in zip(rows, within, strict=True) if (line.article, line.main) == lead and not line.noise]
+        return noisy - {n for n in set.intersection(*around) if kinds[n] != COMMENTS}
+    return noisy - {n for n in noisy if kinds[n] == LAYOUT and 2 * held[n] > total}
 
 
 def _weighed(rows: list[Line]) -> list[list[tuple[int, float]]]:
