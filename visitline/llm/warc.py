@@ -11,7 +11,8 @@ header + Content-Length + record end. Per file, runs of pieces that point at the
 piece are folded into segments, and pointer jumping over the segments (doubling the
 distance each round) marks what the file's first record reaches. Candidates that are
 not reached are payload bytes. Pieces of a payload that itself holds the magic are
-joined again for its digest.
+joined again for its digest: they are found in a second scan by file, size and content hash, which
+don't depend on how either scan was split; equal pieces of a file are interchangeable.
 
 Edge cases: null html is an empty payload; empty payloads are equal payloads like any
 other; a null url is an empty target; line breaks and other control characters of a url
@@ -102,6 +103,10 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _content_hash() -> Column:
+    return F.xxhash64("value")
+
+
 def _field(name: str) -> Column:
     return F.regexp_extract("head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
 
@@ -113,7 +118,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     pieces = pieces.withColumn("head", F.when(cut > 0, F.substring_index("value", END, 1)))
     n = F.octet_length("value").cast("long")
     pieces = pieces.select(
-        "file", "block", "seq", n.alias("size"), "head", F.octet_length("head").alias("head_size"), _field("Content-Length").try_cast("long").alias("content"), F.col("value").cast("binary").alias("raw")
+        "file", "block", "seq", _content_hash().alias("hash"), n.alias("size"), "head", F.octet_length("head").alias("head_size"), _field("Content-Length").try_cast("long").alias("content"), F.col("value").cast("binary").alias("raw")
     )
     start = F.col("head_size") + len(END)
     whole = F.col("size") >= start + F.col("content")
@@ -121,6 +126,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         "file",
         "block",
         "seq",
+        "hash",
         "size",
         "content",
         (len(MAGIC) + start + F.col("content") + len(END)).alias("extent"),
@@ -173,9 +179,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     records = chain.where(F.col("pos") == F.col("owner"))
     parted = records.where(~F.col("whole")).select("file", F.col("pos").alias("owner"), "head_size", F.col("content").alias("_content"))
     # Written first: Spark then knows its size, and while it is small no payload is shuffled to find the few pieces.
-    parts = stored(chain.select("file", "seq", "owner").join(parted, ["file", "owner"]))
-    text = _pieces(spark, path).select("file", "seq", "value").join(parts, ["file", "seq"])
-    text = text.groupBy("file", "owner", "head_size", "_content").agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("_parts"))
+    parts = stored(chain.select("file", "pos", "size", "hash", "owner").join(parted, ["file", "owner"]))
+    found = _pieces(spark, path).select("file", F.octet_length("value").cast("long").alias("size"), _content_hash().alias("hash"), "value")
+    found = found.join(parts.select("file", "size", "hash").distinct(), ["file", "size", "hash"]).groupBy("file", "size", "hash").agg(F.first("value").alias("value"))
+    text = parts.join(found, ["file", "size", "hash"])
+    text = text.groupBy("file", "owner", "head_size", "_content").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_parts"))
     joined = F.array_join(F.col("_parts")["value"], MAGIC).cast("binary")
     payload = F.substring(joined, F.col("head_size") + len(END) + 1, F.col("_content").cast("int"))
     ok = F.octet_length(payload) == F.col("_content")
