@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import pickle
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ from llm_helpers import DOCS, SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from visitline.llm import chat, html_text, imatch, jaccard, langid, mixing, packing, topk, toxicity, warc
+from visitline.llm import chat, common, html_text, imatch, jaccard, langid, mixing, packing, topk, toxicity, warc
 
 LONG = "word " * 30_000
 ODD = [(1, None), (2, ""), (3, "a b c d e f g"), (3, "a b c d e f g"), (4, "!!! ... 123"), (None, "a b c d e f g"), (None, None), (5, LONG), (6, "one"), (7, "ONE")]
@@ -194,6 +195,42 @@ def test_machine_learns_a_pair_that_sums_cannot():
     assert both > 0.7 and one < 0.3 and other < 0.3
 
 
+def test_machine_learns_a_pair_whose_members_tell_nothing():
+    """Either word alone is toxic, both or none are not: each word's rate is the base rate."""
+    rng = np.random.default_rng(3)
+    texts, y = [], []
+    for _ in range(2000):
+        a, b = (int(x) for x in rng.random(2) < 0.5)
+        words = list(rng.choice(["lorem", "ipsum", "dolor", "amet", "sit"], 6)) + ["idiots"] * a + ["strangers"] * b
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        y.append(a ^ b)
+    model = toxicity.fit([toxicity.text_features(t, {}) for t in texts[:1400]], np.array(y[:1400]))
+    score = toxicity.Scorer(model)
+    assert np.mean([(score(t) >= 0.5) == v for t, v in zip(texts[1400:], y[1400:], strict=True)]) > 0.97
+
+
+def test_draws_do_not_vanish_at_any_size():
+    for n in (10, 12_000, 10**9, 5 * 10**10, 10**14):
+        share = (common.hash_limit(48_000, n) + (1 << 63)) / (1 << 64)
+        assert abs(share * n - min(n, 48_000)) <= 1
+
+
+def test_an_id_with_most_rows_does_not_flood_training(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    text = lambda bad: " ".join(rng.choices(words, k=12) + ["idiots"] * bad)
+    labels = [(i, i % 2) for i in range(600)]
+    hot = next(i for i in range(600) if zlib.crc32(str(i).encode()) % 3 != 1 and i % 2 == 0)
+    rows = [(i, text(t)) for i, t in labels] + [(hot, text(0)) for _ in range(3000)] + [(None, "w1 w2")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([*labels, *labels], "doc_id long, toxic int"), sample=300)
+    scorer = toxicity.Scorer(pickle.loads(model))
+    assert scorer(text(1)) > 0.7 > 0.3 > scorer(text(0))
+    # The draw holds at most so many rows, and few of the hot id: half of the rest is toxic.
+    assert 0.3 < scorer.model["rate"] < 0.6
+
+
 def test_toxicity_held_out(spark):
     sf = SF.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -270,6 +307,31 @@ def test_html_noise_names_and_inline_noise():
         assert html_text.main_text(f"<p>{noise}{text}<p>Next.") == f"{want} Next."
 
 
+NOISE = "comments reader-comments user-comments article-comments comment-thread commentlist disqus disqus_thread userComments replies newsletter-signup ad-slot adSlot cookie-notice notice sponsored promo-box related-posts"
+
+
+@pytest.mark.parametrize("name", NOISE.split())
+def test_html_without_comments_adverts_and_notices_of_any_length(name):
+    text = "A long sentence of the text. " * 9
+    more = "".join(f"<p>Comment {i}: this reader says quite a lot about it, at length.</p>" for i in range(40))
+    for page in (
+        f'<article><p>{text}</article><div class="{name}">{more}</div>',
+        f'<article><p>{text}</p><section id="{name}">{more}</section></article>',
+        f'<article><p>{text}</article><section class="wide {name}"><article>{more}</article><article>{more}</article></section>',
+        f'<div class="page"><p>{text}</div><div class="{name} x">{more}</div>',
+        f'<main><div class="{name}"><p>One.</div><p>{text}</main>',
+    ):
+        assert html_text.main_text(f"<body>{page}<footer>Me</footer></body>") == text.strip(), page[:60]
+
+
+def test_html_names_around_the_article():
+    text = ("A long sentence of the text. " * 9).strip()
+    for name in ("layout-sidebar", "modal-open", "has-comments", "social-page", "nav-wrapper", "commentary"):
+        assert html_text.main_text(f'<div class="{name}"><div class="menu">Go</div><article><p>{text}</article></div>') == text, name
+    assert html_text.main_text(f'<article class="related-story"><p>{text}</article><aside>Other</aside>') == text
+    assert html_text.main_text(f'<article><p>{text}</article><article class="comment"><p>{text}</article>') == text
+
+
 def test_html_edge_cases(spark):
     df = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "u", "<p>" + "x " * 60_000, 2)], "page_id long, url string, html string, text int")
     rows = html_text.page_texts(df).collect()
@@ -338,6 +400,28 @@ def test_warc_rejects_magic_inside_payloads(spark, monkeypatch, tmp_path):
 # -- 7: packing
 
 
+def test_warc_does_not_depend_on_how_files_are_split(spark, monkeypatch, tmp_path):
+    """Files are split otherwise for every read; payloads with magics inside are joined again all the same."""
+    fake = warc.MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc" + warc.END
+    rows = [(i, "u", f"<p>{i}" + (fake + "x" * (i % 50)) * (i % 4) + "tail" * 30) for i in range(400)] + [(1000, "u", fake * 20), (1001, "u", fake * 20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sizes = iter([700, 5000, 64, 300_000, 999] * 20)
+    keep = warc._pieces
+
+    def pieces(session, path):
+        session.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+        session.conf.set("spark.sql.files.openCostInBytes", "0")
+        return keep(session, path)
+
+    monkeypatch.setattr(warc, "_pieces", pieces)
+    try:
+        got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages.coalesce(2)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i: (len(h), "revisit" if i == 1000 else "response", 1001 if i == 1000 else None) for i, _, h in rows}
+
+
 def test_encoder_equals_the_tokenizer(documents):
     from tokenizers import Tokenizer
 
