@@ -194,9 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
     if n and is_empty(marks):
         raise RuntimeError(f"none of {n} labels was drawn")
     docs = only(docs, "doc_id", "text")
-    rows = docs.select("doc_id").join(marks.select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    # At most SAMPLE rows of three numbers are broadcast, so no text is shuffled to find the labelled ones.
+    rows = docs.select("doc_id").join(F.broadcast(marks.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     hashed = F.xxhash64("text", F.lit(SEED))
-    texts = docs.join(marks.join(rows, "doc_id"), "doc_id").withColumn("h", hashed)
+    texts = docs.join(F.broadcast(marks.join(rows, "doc_id")), "doc_id").withColumn("h", hashed)
     texts = texts.where(F.pmod("h", F.lit(1 << 53)) * F.col("rows") < F.lit(float(PER_ID << 53))).select("doc_id", "text", "toxic", "h")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
