@@ -530,6 +530,23 @@ def test_mix(spark, docs_of):
     assert mixing.mix_report(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("text", ["one text of six words here", None])
+def test_mix_rows_of_one_id_or_none_are_taken_one_by_one(spark, docs_of, text):
+    rng = random.Random(4)
+    of = lambda: text or "w " * rng.randint(1, 9)
+    rows = [(i, "w w w w", None, "b") for i in range(300)] + [(None, of(), None, "a") for _ in range(400)] + [(7, of(), None, None) for _ in range(400)]
+    docs = docs_of(rows)
+    report = mixing.mix_report(docs).collect()
+    assert len(report) == len(rows)
+    for s in ("a", "b", None):
+        mine = [r for r in report if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 5 and all(r.taken <= 3 * r.size for r in mine)
+    words = lambda rs: sorted(((r.doc_id, r.source, r.taken) for r in rs), key=str)
+    assert words(mixing.mix_report(docs.repartition(5)).collect()) == words(report)
+    taken = sum(r.taken for r in report)
+    assert mixing.mix(docs).selectExpr("sum(size(split(trim(text), ' ')))").first()[0] == taken
+
+
 # -- 9: language ID
 
 

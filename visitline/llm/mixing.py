@@ -6,15 +6,17 @@ such sources are clamped there and the excess is shared again by weight among th
 rest, until no source is above its cap.
 
 A source's target is met by whole repetitions of all its documents and one
-fractional repetition: the documents whose seeded hash is below a cut, chosen so
-that their words come nearest to what is left of the target. The cut is found on a
-two-level histogram of the hash (1,024 x 1,024 buckets per source), so a source
-with a third of all rows is only ever aggregated, never sorted in one task.
+fractional repetition: the documents whose place, a seeded hash of id and text, is
+before a cut, chosen so that their words come nearest to what is left of the target.
+Equal rows share a place; at the cut as many of them are taken as come nearest. The cut
+is found on histograms of the place's first digits, each level inside the bucket where
+the one before crossed, so a source with a third of all rows is only ever aggregated,
+never sorted in one task, whether its rows have ids of their own, one id or none.
 
 Edge cases: a null or empty text has size 0 and is repeated like the others of its
-source; a null source is a source of its own, after all others; repeated rows share
-a hash and are taken together; an empty table gives an empty result; other columns
-pass through untouched.
+source; a null source is a source of its own, after all others; rows of one repeated or
+null doc_id are taken one by one (of equal rows at the cut, any: their id, source and size
+are the same); an empty table gives an empty result; other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitline.llm.common import as_rows, global_rank, stored
+from visitline.llm.common import as_rows, global_rank, is_empty, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
 SEED = 17
-#: Hash buckets per source: 2 ** 20, looked at as 2 ** 10 groups of 2 ** 10.
-BITS = 20
+#: How many first hexadecimal digits of the place a level looks at; the last one sees it whole.
+DIGITS = (3, 6, 32)
 
 
 def n_words(text: Column) -> Column:
@@ -36,10 +38,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def place(doc_id: Column, seed: int = SEED) -> Column:
-    """A document's seeded place in [0, 2 ** 20), the same in every run and engine."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(key), 1, BITS // 4), 16, 10).cast("long")
+def place(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """A document's seeded place, 32 hexadecimal digits, the same in every run and engine."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(F.md5(text), F.lit("-")))
+    return F.md5(key)
 
 
 def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int = 3) -> DataFrame:
@@ -69,74 +71,92 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS, cycle: int =
     return weighed.withColumn("target", F.when(clamped, cap.cast("double")).otherwise(level))
 
 
+def _crossing(sized: DataFrame, found: DataFrame, known: int, digits: int) -> DataFrame:
+    """``found`` one level deeper: for each source the first ``digits`` of a place (``_at``) at which its words pass ``part``.
+
+    Only rows in the bucket of ``known`` digits that the level before found are looked at; ``_before`` are the words
+    before the new bucket, ``_words`` and ``_n`` its words and rows.
+    """
+    of_source = F.col("source").eqNullSafe(F.col("_s"))
+    if known:
+        bucket = found.select("_s", "_at")
+        sized = sized.join(bucket, of_source & (F.substring("place", 1, known) == F.col("_at"))).drop("_s", "_at")
+    sums = sized.groupBy("source", F.substring("place", 1, digits).alias("_begins")).agg(
+        F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_n")
+    )
+    sums = sums.join(found.select("_s", "_before", "part"), of_source)
+    upto = F.col("_before") + F.sum("_words").over(Window.partitionBy("_s").orderBy("_begins"))
+    sums = sums.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_words"))
+    sums = sums.where((F.col("_before") < F.col("part")) & (F.col("part") <= F.col("_upto")))
+    return stored(sums.select("_s", F.col("_begins").alias("_at"), "_before", "part", "_words", "_n"))
+
+
 def repetition_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(source, source_size, target, whole, cut)`` from rows ``(source, size, place)`` and their targets.
+    """``(source, source_size, target, whole, cut, at_cut, equal)`` from rows ``(source, size, place)`` and their targets.
 
-    Each document of the source is taken ``whole`` times, and once more if its place is below ``cut``.
+    Each document of the source is taken ``whole`` times, and once more if its place is before ``cut``, or is the cut
+    and it is among the first ``at_cut`` of the ``equal`` rows there.
     """
-    half = 1 << (BITS // 2)
     plan = targets.withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     ).withColumn("part", F.col("target") - (F.col("whole") * F.col("source_size")).cast("double"))
-    coarse = sized.groupBy("source", F.floor(F.col("place") / half).alias("bin")).agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("bin")
-    coarse = coarse.withColumn("upto", F.sum("words").over(upto)).withColumn("before", F.col("upto") - F.col("words"))
-    parts = plan.select(F.col("source").alias("_s"), "part")
-    crossed = coarse.join(parts, coarse["source"].eqNullSafe(parts["_s"])).where(
-        (F.col("part") > 0) & (F.col("before") < F.col("part")) & (F.col("part") <= F.col("upto"))
-    )
-    crossed = stored(crossed.select("_s", F.col("bin").alias("_bin"), "before", "part"))
-    fine = (
-        sized.withColumn("bin", F.floor(F.col("place") / half))
-        .join(crossed, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_bin")))
-        .groupBy("_s", "place")
-        .agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("part").alias("part"))
-    )
-    upto = Window.partitionBy("_s").orderBy("place")
-    choices = fine.select(
-        "_s", "part", (F.col("before") + F.sum("words").over(upto)).alias("words"), (F.col("place") + 1).alias("cut")
-    ).union(crossed.select("_s", "part", F.col("before").alias("words"), (F.col("_bin") * half).alias("cut")))
-    best = choices.groupBy("_s").agg(F.min(F.struct(F.abs(F.col("words") - F.col("part")).alias("off"), "cut"))["cut"].alias("cut"))
-    out = plan.join(best, plan["source"].eqNullSafe(best["_s"]), "left")
-    return stored(
-        out.select(
-            "source", "source_size", "target", F.col("whole").cast("long").alias("whole"), F.coalesce("cut", F.lit(0)).cast("long").alias("cut")
-        )
-    )
+    found = plan.where("part > 0").select(F.col("source").alias("_s"), F.lit(0).cast("long").alias("_before"), "part")
+    for known, digits in zip((0, *DIGITS), DIGITS, strict=False):
+        found = _crossing(sized, found, known, digits)
+    at_cut = F.ceil((F.col("part") - F.col("_before")) / (F.col("_words") / F.col("_n")) - 0.5).cast("long")
+    cuts = found.select("_s", F.col("_at").alias("cut"), at_cut.alias("at_cut"), F.col("_n").alias("equal"))
+    out = plan.join(cuts, plan["source"].eqNullSafe(cuts["_s"]), "left")
+    return stored(out.select("source", "source_size", "target", F.col("whole").cast("long").alias("whole"), "cut", "at_cut", "equal"))
 
 
 def mix_plan(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """``(sized, plan)``: one light row per document, written once, and the plan of each source."""
-    sized = stored(docs.select("doc_id", "source", n_words(docs["text"]).alias("size"), place(docs["doc_id"], seed).alias("place")))
+    at = place(docs["doc_id"], docs["text"], seed)
+    sized = stored(docs.select("doc_id", "source", n_words(docs["text"]).alias("size"), at.alias("place")))
     return sized, repetition_plan(sized, source_targets(sized, max_epochs))
 
 
-def with_copies(df: DataFrame, plan: DataFrame, row: str = "", seed: int = SEED) -> DataFrame:
-    """``df`` with its source's plan and ``copies``, how often the mix takes the row. ``row``: prefix of its doc_id and source."""
+def with_copies(df: DataFrame, plan: DataFrame, source: Column, place: Column) -> DataFrame:
+    """``df`` with its source's plan and ``copies``, how often the mix takes the row."""
     p = plan.withColumnRenamed("source", "of_source")
-    joined = df.join(p, F.col(f"{row}source").eqNullSafe(F.col("of_source")), "left")
-    return joined.withColumn("copies", F.col("whole") + (place(F.col(f"{row}doc_id"), seed) < F.col("cut")).cast("long"))
+    joined = df.withColumn("_place", place).join(p, source.eqNullSafe(F.col("of_source")), "left")
+    at, cut = F.col("_place"), F.col("cut")
+    more = F.coalesce((at < cut) | ((at == cut) & (F.col("at_cut") >= F.col("equal"))), F.lit(False))
+    whole = joined.withColumn("copies", F.col("whole") + more.cast("long"))
+    if is_empty(plan.where("at_cut > 0 and at_cut < equal")):
+        return whole
+    # Some of the equal rows at a cut are taken: these rows alone are numbered.
+    among = F.coalesce((at == cut) & (F.col("at_cut") > 0) & (F.col("at_cut") < F.col("equal")), F.lit(False))
+    equal = stored(whole.where(among).withColumn("_row", F.monotonically_increasing_id()))
+    ranked = global_rank(equal, [F.col("of_source").asc_nulls_last(), F.col("_row")], "_nth")
+    first = ranked.groupBy(F.col("of_source").alias("_s")).agg(F.min("_nth").alias("_first"))
+    chosen = (F.col("_nth") - F.col("_first") < F.col("at_cut")).cast("long")
+    numbered = ranked.join(first, F.col("of_source").eqNullSafe(F.col("_s"))).withColumn("copies", F.col("whole") + chosen)
+    return whole.where(~among).unionByName(numbered.select(whole.columns))
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it, with the columns of ``docs``."""
     _, plan = mix_plan(docs, max_epochs, seed)
-    taken = with_copies(as_rows(docs), plan, "row.", seed).where("copies > 0")
+    rows = as_rows(docs)
+    taken = with_copies(rows, plan, F.col("row.source"), place(F.col("row.doc_id"), F.col("row.text"), seed)).where("copies > 0")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """The registered result: one row per document with its size, its source's figures and the words taken."""
     sized, plan = mix_plan(docs)
-    taken = with_copies(sized, plan).withColumn("taken", F.col("copies") * F.col("size"))
+    taken = with_copies(sized, plan, sized["source"], sized["place"]).withColumn("taken", F.col("copies") * F.col("size"))
     return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 MIX_SQL = r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         ('0x' || substr(md5('17:' || coalesce(doc_id::varchar, 'null')), 1, 5))::bigint as place
+         md5('17:' || coalesce(doc_id::varchar, 'null') || ':' || coalesce(md5(text), '-')) as place
   from {documents}
+), numbered as (
+  select *, row_number() over (partition by source, place) as nth from sized
 ), sums as (
   select source, sum(size)::bigint as source_size, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::bigint as weight
   from sized group by source
@@ -158,14 +178,14 @@ with sized as (
 ), parts as (
   select *, target - (whole * source_size)::double as part from plan
 ), steps as (
-  select s.source, s.place + 1 as cut, sum(sum(s.size)) over (partition by s.source order by s.place) as words
-  from sized s group by s.source, s.place
-  union all select source, 0, 0 from plan
+  select source, place, sum(size) as words, count(*) as n, sum(sum(size)) over (partition by source order by place) as upto
+  from sized group by source, place
 ), cuts as (
-  select p.source, case when any_value(p.part) > 0 then arg_min(t.cut, {{'off': abs(t.words - p.part), 'cut': t.cut}}) else 0 end as cut
-  from parts p join steps t on p.source is not distinct from t.source group by p.source
+  select p.source, t.place as cut, ceil((p.part - (t.upto - t.words)) / (t.words / t.n) - 0.5) as at_cut
+  from parts p join steps t on p.source is not distinct from t.source and t.upto - t.words < p.part and p.part <= t.upto
+  where p.part > 0
 )
 select s.doc_id, s.source, s.size, p.source_size, p.target,
-       ((p.whole + case when s.place < c.cut then 1 else 0 end) * s.size)::bigint as taken
-from sized s join parts p on s.source is not distinct from p.source join cuts c on s.source is not distinct from c.source
+       ((p.whole + case when s.place < c.cut or (s.place = c.cut and s.nth <= c.at_cut) then 1 else 0 end) * s.size)::bigint as taken
+from numbered s join parts p on s.source is not distinct from p.source left join cuts c on s.source is not distinct from c.source
 """
