@@ -34,8 +34,8 @@ from visitline.llm.common import only, stored
 CAPACITY, END_ID = 4096, 1
 GROUP = 16_384
 TOKENIZER = "word_bpe_49k.json"
-#: Words that a worker keeps (about 200 bytes each).
-_CACHE = 1_000_000
+#: Words that a worker keeps, and the longest of them in characters: at most about 200 bytes each.
+_CACHE, _LONGEST = 1_000_000, 32
 
 #: Texts of these characters alone are split into words here, with the tokenizer's own rule; others go to it whole.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ž]*")
@@ -58,9 +58,11 @@ class _Words(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= _CACHE:
-            self.clear()
-        ids = self[word] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= _LONGEST:
+            if len(self) >= _CACHE:
+                self.clear()
+            self[word] = ids
         return ids
 
 
