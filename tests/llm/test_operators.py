@@ -7,6 +7,7 @@ import html
 import pickle
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -366,6 +367,29 @@ def test_chat_edge_cases(spark):
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in empty] == [(-1, 2, 21)]
 
 
+def test_chat_spans_name_the_texts(spark):
+    turns = [(f"role{i % 3}" if i % 3 else "assistant", ("é</s>" if i % 5 else "") + "x" * (i % 7)) for i in range(3 * chat.RUN + 5)]
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(rows)
+    (got,) = formatted.select("formatted", "loss_spans", chat.masked_texts(formatted["formatted"], formatted["loss_spans"]).alias("texts")).collect()
+    want = [t for r, t in turns if r == "assistant"]
+    assert got.texts == want
+    cut = [got.formatted[s.start - 1 : s.start - 1 + s.length] for s in got.loss_spans]
+    assert [t.replace("\\", "") for t in cut] == want
+
+
+def test_chat_is_linear_in_the_turns(spark):
+    def seconds(n):
+        one = spark.range(n).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('text ', id, ' </s> of some words') as text")
+        at = time.perf_counter()
+        (row,) = chat.read_back(chat.format_conversations(one)).collect()
+        assert row.n_turns == n
+        return time.perf_counter() - at
+
+    seconds(1000)
+    assert seconds(64_000) < 4 * seconds(16_000) + 5  # a quadratic fold takes about sixteen times as long
+
+
 # -- 6: WARC
 
 
@@ -435,6 +459,13 @@ def test_encoder_equals_the_tokenizer(documents):
         assert encode(text) == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encoder_keeps_no_long_words():
+    encode = packing.Encoder(packing.tokenizer_path())
+    text = "tree " + "x" * 100_000 + " tree"
+    assert encode(text) == encode.tokenizer.encode(text, add_special_tokens=False).ids
+    assert list(encode.words) == ["tree"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 4096), max_size=200))
 def test_best_fit_and_bound(lengths):

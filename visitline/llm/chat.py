@@ -14,7 +14,8 @@ backslashes there already), and unescaping takes one away: it is reversible for
 every text, and a text without such strings is not changed.
 
 Everything is DataFrame expressions. One conversation is one text, so its turns
-meet in one row; that is the size of the result itself.
+meet in one row; that is the size of the result itself. Work is linear in its turns:
+places are summed in runs of ``RUN`` turns (but for one addition for each pair of runs), and every text is cut from its own piece.
 
 Edge cases: null roles and texts count as empty; turns of equal number are ordered by
 role, then text; a null turn comes first; a null conversation id is a conversation; an
@@ -23,6 +24,8 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,8 @@ OPEN, MID, CLOSE = "<s>[INST]", "[/INST]", "</s>"
 _LIKE = r"([<\[])(\\*/?(?:s>|INST\]))"
 _ESCAPED = r"([<\[])\\(\\*/?(?:s>|INST\]))"
 _CONTROL = r"[<\[]/?(?:s>|INST\])"
+#: Turns whose places are summed on their own: a place is the sum of the runs before and of the turns before in its run.
+RUN = 128
 #: Escape levels that are tried; one is enough for any text (see ``escape``).
 LEVELS = 2
 
@@ -76,20 +81,57 @@ def parse(formatted: Column) -> Column:
     return F.transform(_pieces(formatted), one)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the lambdas inside name it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _starts(pieces: Column) -> Column:
+    """Where each piece starts in the rendered text (from 1, code points)."""
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    before = lambda a, i: total(F.slice(a, F.lit(1), i))
+
+    def in_runs(lengths: Column) -> Column:
+        last = F.floor(F.greatest(F.size(lengths) - 1, F.lit(0)) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(lengths, i * RUN + 1, F.lit(RUN)))
+
+    def placed(runs: Column, sums: Column) -> Column:
+        in_run = lambda run, start: F.transform(run, lambda _, i: start + before(run, i))
+        return F.flatten(F.transform(runs, lambda run, i: _let(before(sums, i) + 1, lambda start: in_run(run, start))))
+
+    lengths = F.transform(pieces, lambda p: F.char_length(p) + len(CLOSE))
+    return _let(_let(lengths, in_runs), lambda runs: _let(F.transform(runs, total), lambda sums: placed(runs, sums)))
+
+
 def loss_spans(formatted: Column, role: str = "assistant") -> Column:
     """Where the texts of a role stand in a rendered text: ``array<struct<start, length>>`` (from 1, code points)."""
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    pieces = _pieces(formatted)
 
-    def step(acc: Column, p: Column) -> Column:
+    def span(p: Column, start: Column) -> Column:
         mid = F.locate(MID, p, len(OPEN) + 1)
-        span = F.struct((acc["at"] + mid + len(MID) - 1).alias("start"), (F.char_length(p) - mid - len(MID) + 1).alias("length"))
         mine = unescape(p.substr(F.lit(len(OPEN) + 1), mid - len(OPEN) - 1)) == role
-        return F.struct(
-            (acc["at"] + F.char_length(p) + len(CLOSE)).alias("at"),
-            F.when(mine, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
+        here = F.struct((start + mid + len(MID) - 1).alias("start"), (F.char_length(p) - mid - len(MID) + 1).alias("length"))
+        return F.when(mine, here)
+
+    return F.filter(F.zip_with(pieces, _starts(pieces), span), lambda s: s.isNotNull())
+
+
+def masked_texts(formatted: Column, spans: Column) -> Column:
+    """The texts under ``spans`` in their order, unescaped.
+
+    Pieces and spans are sorted by place, so that each span stands right after the piece that it lies in.
+    """
+    pieces = _pieces(formatted)
+    entry = lambda at, length, piece: F.struct(at.alias("at"), length.alias("length"), piece.alias("piece"))
+    none = F.lit(None)
+    of_pieces = F.zip_with(pieces, _starts(pieces), lambda p, start: entry(start, none.cast("int"), p))
+    of_spans = F.transform(spans, lambda s: entry(s["start"], s["length"], none.cast("string")))
+    cut = lambda piece, span: unescape(piece["piece"].substr(span["at"] - piece["at"] + 1, span["length"]))
+
+    def pairs(line: Column) -> Column:
+        return F.zip_with(line, F.slice(line, F.lit(2), F.size(line)), lambda a, b: F.when(b["length"].isNotNull(), cut(a, b)))
 
-    return F.aggregate(_pieces(formatted), zero, step)["spans"]
+    return F.filter(_let(F.sort_array(F.concat(of_pieces, of_spans)), pairs), lambda t: t.isNotNull())
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
@@ -114,7 +156,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of formatted conversations, taken from the formatted text and its loss spans alone."""
     text = F.col("formatted")
     parsed = formatted.withColumn("_turns", parse(text)).withColumn(
-        "_loss", F.array_join(F.transform("loss_spans", lambda s: unescape(text.substr(s["start"], s["length"]))), "")
+        "_loss", F.array_join(masked_texts(text, F.col("loss_spans")), "")
     )
     flat = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return parsed.select(
