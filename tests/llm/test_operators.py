@@ -9,12 +9,15 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_helpers import DOCS, SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from visitline.llm import chat, common, html_text, imatch, jaccard, langid, mixing, packing, topk, toxicity, warc
 
@@ -628,6 +631,71 @@ def test_imatch(spark, documents):
     assert np.mean([r.near_edited for r in got.values()]) > 3 * np.mean([r.near_next for r in got.values()])
 
 
+def signed_hash(text):
+    """Spark's ``xxhash64`` of a text."""
+    return np.array([xxhash.xxh64_intdigest(text.encode(), 42)], np.uint64).view(np.int64)[0].item()
+
+
+def plain_fingerprint(text, lexicon, subsets=imatch.SUBSETS):
+    distinct = set(re.findall(r"[^\W_]+", text.lower()))
+    used = distinct & lexicon or distinct
+    parts = [sorted(t for t in used if signed_hash(t) % subsets == i) for i in range(subsets)]
+    lines = [" ".join(f"{i:03d}_{t}" for t in p) for i, p in enumerate(parts)]
+    return "".join(f"{signed_hash(f' {x}') % (1 << 64):X}".zfill(8)[:8].lower() if x else "-" * 8 for x in lines)
+
+
+def plain_lexicon(texts):
+    seen = Counter(t for text in texts for t in set(re.findall(r"[^\W_]+", text.lower())))
+    return {t for t, n in seen.items() if imatch.LOW * len(texts) - 1e-6 <= n <= imatch.HIGH * len(texts) + 1e-6}
+
+
+def plain_imatch(rows):
+    """``(doc_id, edited text, fingerprint, edited fingerprint, the next one's)`` of ``(doc_id, text)`` rows."""
+    rows = [(d, t or "") for d, t in rows]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, signed_hash(r[1])), reverse=True)
+    lexicon = plain_lexicon([t for _, t in rows])
+    out = []
+    for (d, text), (_, after) in zip(rows, [*rows[1:], *rows[:1]], strict=True):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        out.append((d, hashlib.sha256(edited.encode()).hexdigest(), *(plain_fingerprint(t, lexicon) for t in (text, edited))))
+    return sorted(out, key=str)
+
+
+def imatch_rows(df):
+    return sorted(((r.doc_id, r.edited_sha256, r.fingerprint, r.edited_fingerprint) for r in df.collect()), key=str)
+
+
+def test_imatch_equals_a_plain_version(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert imatch_rows(imatch.fingerprints(documents)) == plain_imatch(rows)
+
+
+@pytest.mark.parametrize("limit", [200, 4000, 1 << 28])
+def test_imatch_of_hot_ids_and_rows(spark, limit):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randint(0, 60)}" for _ in range(rng.randint(0, 40)))
+    rows = [(i * 3 - 60, text()) for i in range(60)]
+    rows += [(7, text()) for _ in range(60)] + [(None, text()) for _ in range(40)]  # one id, no id
+    rows += [(11, "the same row again and again")] * 50 + [(None, "nameless copies of a row")] * 30 + [(-2, None)] * 3
+    rows += [((1 << 63) - 1, "largest id"), (-(1 << 63), "smallest id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert imatch_rows(imatch.fingerprints(df, limit)) == plain_imatch(rows)
+
+
+def test_imatch_blocks_part_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "RUN", 7)
+    rows = [(1, f"text {i} " * 20) for i in range(90)] + [(2, "x " * 50)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", imatch.order_key(F.col("doc_id"), F.col("text")))
+    bounds, full = imatch.block_bounds(docs.select("_key", F.octet_length("text").cast("long").alias("_bytes")), 1000)
+    assert len(bounds) > 10 and len(full) == 1
+    once = imatch.merge_copies(docs, full)
+    assert sorted(r.copies for r in once.collect()) == [1] * 90 + [40]
+    block, _ = imatch._find(F.col("_key"), bounds)
+    assert max(r["count"] for r in once.groupBy(block.alias("b")).count().collect()) <= 12
+    assert imatch.expand(once).groupBy("doc_id").count().where("doc_id = 2").first()["count"] == 40
+
+
 def test_imatch_edge_cases(spark, docs_of):
     got = imatch.fingerprints(docs_of(ODD)).collect()
     assert len(got) == len(ODD)

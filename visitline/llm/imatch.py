@@ -12,11 +12,17 @@ so there are at most (distinct terms of an average document) / ``LOW`` of them.
 handed to the tasks as one constant. Texts are fingerprinted in narrow DataFrame
 expressions: no text is exploded into rows or shuffled for it.
 
-Edge cases: a null text is empty; a document with fewer than ``MIN_TERMS`` lexicon terms
-is fingerprinted by all its distinct terms; an empty text has a fingerprint without any
-hash, alike (1.0) only to another empty one; equal texts have equal fingerprints; rows
-with equal doc_id are ordered by a hash of their text; a null doc_id comes last; an empty
-table gives an empty result; other columns are ignored.
+The next document is found in blocks of neighbouring rows, bounded in bytes: rows of one
+repeated or missing doc_id are parted by a hash of their text, and equal rows that alone
+would fill a block are counted before texts are shuffled. The blocks' first keys are one
+constant, about 40 bytes for each ``BLOCK_BYTES`` of text.
+
+Edge cases: a null text is empty; a document without a lexicon term is fingerprinted by
+all its distinct terms; an empty text has a fingerprint without any hash, alike (1.0) only
+to another empty one; equal texts have equal fingerprints; rows with equal doc_id are
+ordered by a hash of their text, descending, so the next document of a repeated row is
+its copy (but for the last copy); a null doc_id comes last; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +33,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitline.llm.common import only
+from visitline.llm.common import only, stored
 
 LOW, HIGH = 0.01, 0.2
 SUBSETS = 32
-MIN_TERMS = 5
+#: Neighbouring rows that meet in one task hold about this many bytes of text.
+BLOCK_BYTES = 256 << 20
+#: Copies of one row that one task writes out.
+RUN = 10_000
 _HEX = 8
 _NONE = "-" * _HEX
 _SHELVES = 4096
@@ -69,7 +78,7 @@ def fingerprint(text: Column, shelves: Column, subsets: int = SUBSETS) -> Column
     """``subsets`` hashes of 8 hex digits in one string; ``--------`` for a subset without a term of the text."""
     distinct = terms(text)
     kept = F.filter(distinct, lambda t: F.contains(F.element_at(shelves, _shelf(t) + 1), F.concat(F.lit(" "), t, F.lit(" "))))
-    used = F.when(F.size(kept) >= MIN_TERMS, kept).otherwise(distinct)
+    used = F.when(F.size(kept) > 0, kept).otherwise(distinct)
     # Each term is in one randomised subset; sorting "subset term" beside one mark per subset puts every
     # subset's sorted terms between two marks, where one split finds them.
     placed = F.transform(used, lambda t: F.concat(F.lpad(F.pmod(F.xxhash64(t), F.lit(subsets)).cast("string"), 3, "0"), F.lit("_"), t))
@@ -89,51 +98,83 @@ def likeness(a: Column, b: Column, subsets: int = SUBSETS) -> Column:
     return F.when(a == b, 1.0).when(either > 0, both / either).otherwise(0.0)
 
 
-def _block_bounds(docs: DataFrame, blocks: int) -> list[list[int]]:
-    """Quantiles of doc_id in descending order, in rows of about the square root of their number."""
-    row = docs.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / blocks) for i in range(1, blocks)]), 10 * blocks)).first()
-    bounds = sorted(set(row[0] or []), reverse=True)
+def order_key(doc_id: Column, text: Column) -> Column:
+    """Text that ascends as rows descend by doc_id (null last), rows of one id by a hash of their text."""
+    down = lambda c: F.lpad(F.hex(c.bitwiseXOR(F.lit((1 << 63) - 1))), 16, "0")
+    id_ = F.when(doc_id.isNull(), F.lit("1" + "0" * 16)).otherwise(F.concat(F.lit("0"), down(doc_id)))
+    return F.concat(id_, down(F.xxhash64(text)))
+
+
+def block_bounds(keys: DataFrame, limit: int = BLOCK_BYTES) -> tuple[list[str], list[str]]:
+    """The first keys of blocks of neighbouring rows ``(_key, _bytes)``, and the keys that alone fill a block.
+
+    A block holds at most ``limit`` bytes besides its last key's rows (less on small tables, so that all cores have
+    some). Each list has one entry per block or fewer: about 40 bytes for every ``limit`` bytes of the table.
+    """
+    keys = stored(keys.groupBy("_key").agg(F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_n")))
+    total = keys.agg(F.sum("_bytes")).first()[0] or 0
+    limit = max(1, min(limit, total // (4 * keys.sparkSession.sparkContext.defaultParallelism)))
+    # Ranges of keys, then running sums within each: a range's first key always starts a block.
+    ranged = keys.repartitionByRange("_key").withColumn("_part", F.spark_partition_id())
+    before = F.sum("_bytes").over(Window.partitionBy("_part").orderBy("_key")) - F.col("_bytes")
+    placed = ranged.withColumn("_block", F.floor(before / limit))
+    firsts = placed.groupBy("_part", "_block").agg(F.min("_key").alias("_key")).select("_key").collect()
+    full = keys.where((F.col("_bytes") > limit) & (F.col("_n") > 1)).select("_key").collect()
+    return sorted(r[0] for r in firsts), sorted(r[0] for r in full)
+
+
+def _find(key: Column, bounds: list[str]) -> tuple[Column, Column]:
+    """The number of the last bound at or below ``key``, looked up in two steps, and that bound."""
     width = max(1, math.isqrt(len(bounds)))
-    return [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    rows = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    table = F.from_json(F.lit(json.dumps(rows)), "array<array<string>>")
+    firsts = F.from_json(F.lit(json.dumps([r[0] for r in rows])), "array<string>")
+    row = F.greatest(F.size(F.filter(firsts, lambda b: b <= key)), F.lit(1))
+    here = F.element_at(table, row)
+    within = F.greatest(F.size(F.filter(here, lambda b: b <= key)), F.lit(1))
+    return (row - 1) * width + within - 1, F.element_at(here, within)
 
 
-def _block(doc_id: Column, bounds: list[list[int]]) -> Column:
-    """The number of bounds at or above ``doc_id``, looked up in two steps; null doc_ids are in the last block."""
-    if not bounds:
-        return F.lit(0)
-    width = len(bounds[0])
-    rows = F.from_json(F.lit(json.dumps(bounds)), "array<array<bigint>>")
-    firsts = F.from_json(F.lit(json.dumps([b[0] for b in bounds])), "array<bigint>")
-    row = F.size(F.filter(firsts, lambda b: b >= doc_id))
-    within = F.size(F.filter(F.element_at(rows, F.greatest(row, F.lit(1))), lambda b: b >= doc_id))
-    total = sum(len(b) for b in bounds)
-    return F.when(doc_id.isNull(), total).when(row == 0, 0).otherwise((row - 1) * width + within)
+def merge_copies(docs: DataFrame, full: list[str]) -> DataFrame:
+    """``docs`` (doc_id, text, _key) with ``copies``: equal rows whose key alone fills a block become one row, before any shuffle of texts."""
+    if not full:
+        return docs.withColumn("copies", F.lit(1).cast("long"))
+    once = docs.where(F.col("_key").isin(full)).groupBy("doc_id", "text", "_key").agg(F.count(F.lit(1)).alias("copies"))
+    return docs.where(~F.col("_key").isin(full)).withColumn("copies", F.lit(1).cast("long")).unionByName(once)
 
 
-def with_next(docs: DataFrame, blocks: int, *columns: str) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``next_<column>`` of the next row in descending doc_id; the last row's next is the first.
+def with_next(docs: DataFrame, bounds: list[str], *columns: str) -> DataFrame:
+    """``docs`` (_key, copies, ...) with ``next_<column>`` of the next row by ``_key``; the last row's next is the first.
 
-    Rows are dealt to blocks of neighbouring ids (about one ``blocks``-th of the rows each); the first
-    row of every block is also sent to the block before it. One shuffle, no global sort in one task.
+    Rows are dealt to blocks of neighbouring keys; the first row of every block is also sent to the block before it.
+    One shuffle, no global sort in one task. Of several copies only the last has another row's columns: a merged row
+    becomes two, one for that copy and one for the others.
     """
-    spark = docs.sparkSession
-    tie = F.xxhash64("text")
-    docs = docs.withColumn("_block", _block(F.col("doc_id"), _block_bounds(docs, blocks)).cast("int")).withColumn("_tie", tie)
-    rank = F.struct(F.col("doc_id").isNotNull().alias("k"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("_tie").alias("t"))
-    firsts = {r["_block"]: r["first"] for r in docs.groupBy("_block").agg(F.max(rank).alias("first")).collect()}
-    order = sorted(firsts)
-    sends = [(b, firsts[b]["d"], firsts[b]["t"], order[i - 1]) for i, b in enumerate(order)]
-    sends = spark.createDataFrame(sends, "_block int, _d bigint, _t bigint, _to int")  # at most one row per block
-    id_ = F.coalesce("doc_id", F.lit(0))
-    sent = docs.join(F.broadcast(sends), (docs["_block"] == sends["_block"]) & (id_ == sends["_d"]) & (docs["_tie"] == sends["_t"]), "left").drop(sends["_block"])
+    if not bounds:
+        return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
+    block, first = _find(F.col("_key"), bounds)
+    docs = docs.withColumn("_block", block.cast("int")).withColumn("_first", first == F.col("_key"))
     own = F.struct(F.col("_block").alias("b"), F.lit(0).alias("extra"))
-    extra = F.struct(F.col("_to").alias("b"), F.lit(1).alias("extra"))
-    dealt = sent.withColumn("_at", F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, extra)))).drop("_d", "_t", "_to", "_block")
-    dealt = dealt.withColumn("_b", F.col("_at.b")).withColumn("_extra", F.col("_at.extra")).drop("_at")
-    w = Window.partitionBy("_b").orderBy("_extra", F.col("doc_id").desc_nulls_last(), F.col("_tie").desc())
+    extra = F.struct(F.pmod(F.col("_block") - 1, F.lit(len(bounds))).alias("b"), F.lit(1).alias("extra"))
+    dealt = docs.withColumn("_at", F.explode(F.when(F.col("_first"), F.array(own, extra)).otherwise(F.array(own))))
+    dealt = dealt.withColumn("_b", F.col("_at.b")).withColumn("_extra", F.col("_at.extra")).drop("_at", "_block", "_first")
+    w = Window.partitionBy("_b").orderBy("_extra", "_key")
     for c in columns:
         dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(w))
-    return dealt.where("_extra = 0").drop("_b", "_extra", "_tie")
+    last = F.struct(F.lit(1).cast("long").alias("copies"), F.lit(False).alias("same"))
+    others = F.struct((F.col("copies") - 1).alias("copies"), F.lit(True).alias("same"))
+    split = F.explode(F.when(F.col("copies") > 1, F.array(last, others)).otherwise(F.array(last)))
+    dealt = dealt.where("_extra = 0").withColumn("_split", split)
+    dealt = dealt.withColumns({f"next_{c}": F.when(F.col("_split.same"), F.col(c)).otherwise(F.col(f"next_{c}")) for c in columns})
+    return dealt.withColumn("copies", F.col("_split.copies")).drop("_split", "_b", "_extra", "_key")
+
+
+def expand(rows: DataFrame) -> DataFrame:
+    """Each row ``copies`` times, dealt to tasks in runs of at most ``RUN``."""
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / RUN)))
+    runs = rows.withColumn("_run", run).withColumn("_n", F.least(F.lit(RUN), F.col("copies") - F.col("_run") * RUN).cast("int"))
+    runs = runs.repartition(*[F.col(c) for c in ("doc_id", "_run")])
+    return runs.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_i", "_n", "_run", "copies")
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -142,24 +183,26 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(text.substr(F.lit(1), F.char_length(text) - half), following.substr(F.lit(1), half))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The registered result: one row per document."""
     spark = docs.sparkSession
     docs = only(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     shelves = lexicon_column(spark, build_lexicon(docs))
-    docs = docs.withColumn("fingerprint", fingerprint(F.col("text"), shelves))
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = with_next(docs, blocks, "text", "fingerprint")
-    edited = edited_text(F.col("text"), F.col("next_text"))
-    pairs = pairs.withColumn("_edited", edited)
+    docs = docs.withColumn("_key", order_key(F.col("doc_id"), F.col("text")))
+    bounds, full = block_bounds(docs.select("_key", (F.octet_length("text") + 64).cast("long").alias("_bytes")), block_bytes)
+    docs = merge_copies(docs, full).withColumn("fingerprint", fingerprint(F.col("text"), shelves))
+    pairs = with_next(docs, bounds, "text", "fingerprint")
+    pairs = pairs.withColumn("_edited", edited_text(F.col("text"), F.col("next_text")))
     out = pairs.select(
         "doc_id",
+        "copies",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("_edited", 256).alias("edited_sha256"),
         "fingerprint",
         "next_fingerprint",
         fingerprint(F.col("_edited"), shelves).alias("edited_fingerprint"),
     )
+    out = expand(out) if full else out.drop("copies")
     return out.select(
         "doc_id",
         "n_chars",
