@@ -38,7 +38,7 @@ from visitline.llm.common import only, stored
 LOW, HIGH = 0.01, 0.2
 SUBSETS = 32
 #: Neighbouring rows that meet in one task hold about this many bytes of text.
-BLOCK_BYTES = 256 << 20
+BLOCK_BYTES = 128 << 20
 #: Copies of one row that one task writes out.
 RUN = 10_000
 _HEX = 8
@@ -109,11 +109,11 @@ def block_bounds(keys: DataFrame, limit: int = BLOCK_BYTES) -> tuple[list[str],
     """The first keys of blocks of neighbouring rows ``(_key, _bytes)``, and the keys that alone fill a block.
 
     A block holds at most ``limit`` bytes besides its last key's rows (less on small tables, so that all cores have
-    some). Each list has one entry per block or fewer: about 40 bytes for every ``limit`` bytes of the table.
+    several). Each list has one entry per block or fewer: about 40 bytes for every ``limit`` bytes of the table.
     """
     keys = stored(keys.groupBy("_key").agg(F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_n")))
     total = keys.agg(F.sum("_bytes")).first()[0] or 0
-    limit = max(1, min(limit, total // (4 * keys.sparkSession.sparkContext.defaultParallelism)))
+    limit = max(1, min(limit, total // (16 * keys.sparkSession.sparkContext.defaultParallelism)))
     # Ranges of keys, then running sums within each: a range's first key always starts a block.
     ranged = keys.repartitionByRange("_key").withColumn("_part", F.spark_partition_id())
     before = F.sum("_bytes").over(Window.partitionBy("_part").orderBy("_key")) - F.col("_bytes")
