@@ -513,7 +513,9 @@ def test_packed_documents(spark, docs_of, monkeypatch):
             at += length
         assert at <= 4096
     total = sum(r.length for r in got)
-    assert len(sequences) <= -(-total // 4096) * 1.08 + 1  # groups of 40 pieces only
+    bound = packing.lower_bound(np.array([r.length for r in got]))
+    assert packing.corpus_bound(packing.packed_documents(docs_of(rows))) == bound >= -(-total // 4096)
+    assert bound <= len(sequences) <= bound * 1.08 + 1  # groups of 40 pieces only
     assert packing.packed_documents(docs_of(rows).limit(0)).collect() == []
 
 
@@ -526,6 +528,21 @@ def test_exchanges_go_on_while_they_save(spark, monkeypatch):
     assert sequences(packed) < sequences(packing.pack(pieces, 3))
     fill = packed.join(pieces, "uid").groupBy("sequence_id").agg({"length": "sum", "uid": "count"}).collect()
     assert sum(r["count(uid)"] for r in fill) == 3000 and max(r["sum(length)"] for r in fill) <= 4096
+    assert packing.corpus_bound(pieces) <= sequences(packed) and packed.where("group_bins < group_bound").count() == 0
+
+
+def test_groups_certify_their_sequences(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    rng = random.Random(4)
+    pieces = spark.createDataFrame([(i, rng.randint(1, 900)) for i in range(1200)], "uid long, length long")
+    rows = packing.pack(pieces).join(pieces, "uid").collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id >> 20, []).append(r)
+    certified = [g for g in groups.values() if g[0].group_bins == g[0].group_bound]
+    assert certified
+    for g in certified:
+        assert packing.lower_bound(np.array([r.length for r in g])) == len({r.sequence_id for r in g}) == g[0].group_bins
 
 
 # -- 8: mixing

@@ -120,9 +120,11 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: in
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     """The best of several dual-feasible functions: no packing needs fewer bins."""
-    if not len(lengths):
-        return 0
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity) if len(lengths) else 0
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int = CAPACITY) -> int:
+    """``lower_bound`` of ``counts[length]`` items of each length."""
     x = np.arange(capacity + 1)
     best = -(-int((counts * x).sum()) // capacity)
     # Small items rounded to 0, large ones to a whole bin.
@@ -164,6 +166,14 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> np.nda
     return out
 
 
+def corpus_bound(pieces: DataFrame, capacity: int = CAPACITY) -> int:
+    """The least number of sequences that any packing of all ``pieces`` (length) needs; one count per length comes to the driver."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in pieces.groupBy("length").agg(F.count(F.lit(1))).collect():
+        counts[length] = n
+    return bound_of_counts(counts, capacity)
+
+
 _PACKED = "uid long, length long, grp long, bin long, free long, bins long, bound long"
 
 
@@ -181,7 +191,11 @@ def _dealt(rows: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def pack(pieces: DataFrame, rounds: int | None = None) -> DataFrame:
-    """``(uid, sequence_id, offset)`` of every piece ``(uid, length)``."""
+    """``(uid, sequence_id, offset, group_bins, group_bound)`` of every piece ``(uid, length)``.
+
+    ``group_bins`` is how many sequences the piece's group took when the piece was placed for good, ``group_bound`` the least it
+    could have taken: equal numbers certify the group.
+    """
     n = pieces.count()
     packed = stored(_dealt(pieces, n, 0).groupBy("grp").applyInPandas(_pack, _PACKED))
     settled, number = [], 0
@@ -200,16 +214,16 @@ def pack(pieces: DataFrame, rounds: int | None = None) -> DataFrame:
     settled.append((number, packed))
     out = None
     for number, rows in settled:
-        one = rows.select("uid", "length", (F.lit(number << 48) + F.shiftleft("grp", 20) + F.col("bin")).alias("sequence_id"))
+        one = rows.select("uid", "length", (F.lit(number << 48) + F.shiftleft("grp", 20) + F.col("bin")).alias("sequence_id"), F.col("bins").alias("group_bins"), F.col("bound").alias("group_bound"))
         out = one if out is None else out.unionByName(one)
 
     before = Window.partitionBy("sequence_id").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
-    return out.select("uid", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    return out.select("uid", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "group_bins", "group_bound")
 
 
 def packed_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """The registered result: one row per piece."""
     pieces = tokenised_pieces(docs, tokenizer)
     return pieces.join(pack(pieces.select("uid", "length")), "uid").select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "group_bins", "group_bound"
     )
