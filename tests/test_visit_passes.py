@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from study_helpers import day
+from study_helpers import SF_SMALL, day
 from test_plans import physical, static_plan
 
-from visitline.operators import conflicts, repair
+from visitline.functions import first_by, sort_keys
+from visitline.operators import ages, conflicts, repair
+from visitline.plans import pipelines
 from visitline.session import cut_lineage
 
 SNAPPED = "study string, sjid bigint, avisitn double, adt_day double, crf string"
@@ -47,3 +49,62 @@ def test_clean_table_keeps_rows_without_a_form_name(spark):
     for clean in (conflicts.clean_visits(visits, summary, resolved), conflicts.clean_visits(visits, summary, resolved, entries)):
         got = [tuple(r) for r in clean.select("study", "sjid", "avisitn", "adt_day", "crf").collect()]
         assert len(got) == 4 and set(got) == want
+
+
+def test_sorts_compare_numbers_before_texts(spark):
+    df = spark.createDataFrame([], "study string, sjid bigint, adt date, crf string, avisitn double")
+    assert sort_keys(df, ("study", "sjid", "avisitn", "crf", "adt")) == ["sjid", "avisitn", "adt", "study", "crf"]
+    plan = static_plan(spark, lambda: repair.one_date_per_form_visit(df))
+    assert re.search(r"hashpartitioning\(sjid#\d+L, avisitn#\d+, study#\d+, crf#\d+", plan), plan
+
+
+def test_first_row_takes_named_order_nulls_last_and_carries_it_once(spark):
+    df = spark.createDataFrame([("S", 1, None, "x"), ("S", 1, 2.0, "z"), ("S", 1, 2.0, "y"), ("T", 1, None, "w")], "study string, sjid bigint, v double, p string")
+    best = first_by(df, ("study", "sjid"), ["v"], ["v", "p"])
+    assert sorted(map(tuple, best.select("study", "sjid", "v", "p").collect())) == [("S", 1, 2.0, "y"), ("T", 1, None, "w")]
+    assert best.columns == ["study", "sjid", "v", "p"] and "__o0" not in best.columns
+
+
+def test_rows_are_not_shuffled_again_between_the_ages_and_the_visit_entries(spark):
+    plan = static_plan(spark, lambda: repair.visit_forms(repair.one_date_per_form_visit(pipelines.repair_input(spark, SF_SMALL))))
+    above, semi, _ = plan.partition("LeftSemi")
+    assert semi and "Exchange" not in above and "ShuffledHashJoin" in above, plan
+
+
+def test_subjects_without_an_age_may_go_before_the_copies(spark):
+    schema = "study string, sjid bigint, avisit string, avisitn double, crf string, adt date, hpf string, qty double, status string"
+    rows = [
+        (study, sjid, f"Visit {v}" if v != 3 else "PRN", float(v) if v else None, "a", day(v * 7 % 5) if v % 4 else None, "h", float(v % 2), "s")
+        for study in ("S", "T", None) for sjid in (1, 2, None) for v in range(6)
+    ]
+    forms = spark.createDataFrame(rows + rows[:9], schema)
+    known = spark.createDataFrame([("S", 1, 30.0), ("T", 2, 40.0), ("T", None, 50.0)], "study string, sjid bigint, start_age double")
+    before = pipelines.stack_for_repair(ages.subjects_with_age(forms, known.hint("shuffle_hash")))
+    after = ages.subjects_with_age(pipelines.stack_for_repair(forms), known)
+    got = sorted(map(str, before.collect()))
+    assert got and got == sorted(map(str, after.collect())) and before.columns == after.columns
+
+
+def test_one_shuffle_from_the_corrections_to_the_visit_entries(spark, obs_of):
+    """Stored corrections are small: the form rows meet them without a shuffle, then C13, C14 and the entries share one."""
+    obs = obs_of([(1, c, day(0)) for c in "abc"] + [(2, "x", day(0)), (3, "y", day(40)), (3, "z", day(90)), (4, "y", None)])
+    visits = pipelines.repair_stage(obs, "snap_to_median")
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical(conflicts.visit_entries(visits).select("*"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "SortMergeJoin" not in plan, plan
+    found = {(r.avisitn, r.adt_day and int(r.adt_day), tuple(r.distinct_crfs)) for r in conflicts.visit_entries(visits).collect()}
+    first = (day(0) - day(0).__class__(1970, 1, 1)).days
+    assert found == {(1.0, first, ("a", "b", "c", "x")), (3.0, first + 40, ("y",)), (3.0, first + 90, ("z",)), (4.0, None, ("y",))}
+
+
+def test_dates_of_several_visits_are_stored_before_the_entries_meet_them(spark):
+    rows = [("S", 1, 1.0, 0.0, "a"), ("S", 1, 2.0, 0.0, "b"), ("S", 1, 2.0, 50.0, "b"), ("S", 2, 1.0, None, "a"), ("S", 2, None, None, "a")]
+    entries = cut_lineage(conflicts.visit_entries(spark.createDataFrame(rows, SNAPPED)))
+    kept = []
+    stored = conflicts.conflict_entries(entries, lambda df: kept.append(df) or cut_lineage(df))
+    assert [sorted(map(str, df.collect())) for df in kept] == [sorted(map(str, kept[0].collect()))] and kept[0].count() == 2
+    assert sorted(map(str, stored.collect())) == sorted(map(str, conflicts.conflict_entries(entries).collect()))

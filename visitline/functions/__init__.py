@@ -17,6 +17,8 @@ from visitline.functions.semantics import (
     r_cut_labels,
     r_number_text,
     r_text_na,
+    several_rows,
+    sort_keys,
 )
 
 __all__ = [
@@ -36,4 +38,6 @@ __all__ = [
     "r_cut_labels",
     "r_number_text",
     "r_text_na",
+    "several_rows",
+    "sort_keys",
 ]
