@@ -11,10 +11,21 @@ from visitline.functions import first_by, sort_keys
 from visitline.operators import ages, conflicts, repair
 from visitline.plans import pipelines
 from visitline.session import cut_lineage
+from visitline.sources import fixtures
 
 SNAPPED = "study string, sjid bigint, avisitn double, adt_day double, crf string"
 
 
+def planned_by_size(spark, build) -> str:
+    """The plan before it runs, small tables broadcast as their stored size allows."""
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return physical(build())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+
+
 def test_snap_shuffles_the_rows_once(spark, obs_of):
     c9 = repair.forms_per_date(repair.one_date_per_form_visit(obs_of([(1, "a", day(0)), (1, "b", day(4)), (2, "a", day(90))])))
     rows = cut_lineage(repair.drop_collided_forms(repair.apply_corrections(c9, repair.visit_corrections(repair.inconsistent_visits(c9)))))
@@ -108,3 +119,64 @@ def test_dates_of_several_visits_are_stored_before_the_entries_meet_them(spark):
     stored = conflicts.conflict_entries(entries, lambda df: kept.append(df) or cut_lineage(df))
     assert [sorted(map(str, df.collect())) for df in kept] == [sorted(map(str, kept[0].collect()))] and kept[0].count() == 2
     assert sorted(map(str, stored.collect())) == sorted(map(str, conflicts.conflict_entries(entries).collect()))
+
+
+def test_repaired_entries_are_those_of_the_repaired_rows(spark):
+    """Visits that are moved, left, emptied, snapped, spread or undated, and rows without subject, visit number or form name."""
+    obs = [("S", 1, "V", 1.0, c, day(0)) for c in "abc"] + [("S", 1, "V", 2.0, c, day(d)) for c, d in (("x", 0), ("a", 3), ("b", 0))]
+    obs += [("S", 1, "V", 3.0, "y", day(40)), ("S", 1, "V", 3.0, "z", day(90)), ("S", 1, "V", 4.0, "y", None), ("S", 1, "V", 4.0, "z", day(9))]
+    obs += [("S", 2, "V", 1.0, "a", day(0)), ("S", 2, "V", 2.0, "b", day(0)), ("S", 2, "V", 3.0, "c", day(0)), ("S", 2, "V", 3.0, "a", day(0))]
+    obs += [("S", 3, "V", v, c, d) for v in (None, 1.0) for c in (None, "a") for d in (None, day(1), day(80))]
+    obs += [(study, sjid, "V", v, c, day(int(v or 7) * 50)) for study, sjid in ((None, 4), ("S", None)) for v in (None, 1.0, 2.0) for c in ("a", None)]
+    obs += [(None, 4, "V", 1.0, "q", day(300)), (None, 4, "V", 2.0, "q", day(300)), ("T", 1, "V", 1.0, "a", day(0)), ("T", 1, "V", 5.0, "d", day(4))]
+    stacked = spark.createDataFrame(obs, "study string, sjid bigint, avisit string, avisitn double, crf string, adt date")
+    visits = pipelines.repair_stage(stacked, "snap_to_median")
+    assert visits.where("avisitn_original is not null").count() > 1
+    by_visit = cut_lineage(pipelines.repaired_entries(stacked))
+    want = sorted(map(str, conflicts.visit_entries(visits).collect()))
+    assert want == sorted(map(str, by_visit.drop("n_dates").collect()))
+    for name in ("conflict_rows", "conflict_summary", "conflict_shared_forms", "resolve_conflicts", "clean_visits", "visit_dates_with_age"):
+        known = spark.createDataFrame([("S", 1, 30.0), ("S", 3, 40.0)], "study string, sjid bigint, start_age double")
+        by_rows = pipelines.conflict_stage(visits, known, name)
+        got = pipelines.conflict_stage(None, known, name, entries=by_visit)
+        assert got.columns == by_rows.columns and sorted(map(str, got.collect())) == sorted(map(str, by_rows.collect())), name
+
+
+def test_rows_of_visits_without_a_correction_are_not_shuffled_after_they_are_collected(spark, obs_of):
+    """From the stored visits to the entries: only the corrected visits' rows are shuffled, and the entries are not collected again."""
+    obs = obs_of([(1, c, day(0)) for c in "abc"] + [(2, "x", day(0)), (3, "y", day(40)), (3, "z", day(90)), (4, "y", None)])
+    plan = planned_by_size(spark, lambda: pipelines.repaired_entries(obs))
+    assert "collect_set" not in plan and "SortMergeJoin" not in plan, plan
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Union" in line)
+    second = next(i for i in range(at + 2, len(lines)) if lines[i].startswith(lines[at + 1].split(":-")[0] + "+-"))
+    rest = "\n".join(lines[at:second])
+    assert "LeftAnti" in rest and "Exchange hashpartitioning" not in rest and "ObjectHashAggregate" not in rest, plan
+
+
+def test_conflicts_of_counted_entries_shuffle_no_entry(spark, obs_of):
+    entries = cut_lineage(pipelines.repaired_entries(obs_of([(1, "a", day(0)), (1, "b", day(90)), (2, "c", day(90)), (3, "d", day(200))])))
+    claimed = cut_lineage(conflicts.several_visits(entries))
+    summary = cut_lineage(conflicts.conflict_entries(entries, claimed=claimed))
+    for found in (conflicts.conflict_entries(entries, claimed=claimed), conflicts.untouched_entries(entries, summary, claimed)):
+        plan = planned_by_size(spark, lambda found=found: found)
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan, plan
+
+
+def test_repair_input_carries_no_visit_label(spark):
+    plan = static_plan(spark, lambda: repair.one_date_per_form_visit(pipelines.repair_input(spark, SF_SMALL)))
+    # The label is made from the order for the as-needed filter only: neither C3 nor a shuffle of the form rows reads it.
+    assert not re.search(r"(Exchange hashpartitioning|SortAggregate).*avisit#", plan), plan
+
+
+def test_orders_meet_their_customers_on_the_days(spark):
+    """Orders are shuffled for their day and for their key; customers, also repeated ones, join the customer's days."""
+    orders = spark.createDataFrame(
+        [(k, c, day(d) if d is not None else None) for k, (c, d) in enumerate([(1, 0), (1, 0), (1, 5), (2, 1), (None, 1), (3, 2), (1, None)])],
+        "o_orderkey bigint, o_custkey bigint, o_orderdate date",
+    )
+    customers = spark.createDataFrame([(1, "S"), (2, "T"), (2, "T"), (None, "U"), (9, "S")], "c_custkey bigint, study string")
+    got = sorted((r.o_orderkey, r.o_custkey, r.vn, r.study) for r in fixtures.visit_numbers(orders, customers).collect())
+    numbered = fixtures.visit_numbers(orders)
+    want = numbered.join(customers, numbered.o_custkey == customers.c_custkey)
+    assert got == sorted((r.o_orderkey, r.o_custkey, r.vn, r.study) for r in want.collect()) and len(got) == 5
