@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 from study_helpers import SF_SMALL, day
@@ -10,7 +11,7 @@ from test_plans import physical, static_plan
 from visitline.functions import first_by, sort_keys
 from visitline.operators import ages, conflicts, repair
 from visitline.plans import pipelines
-from visitline.session import cut_lineage
+from visitline.session import TASKS_PER_CORE, configure, cut_lineage
 from visitline.sources import fixtures
 
 SNAPPED = "study string, sjid bigint, avisitn double, adt_day double, crf string"
@@ -180,3 +181,37 @@ def test_orders_meet_their_customers_on_the_days(spark):
     numbered = fixtures.visit_numbers(orders)
     want = numbered.join(customers, numbered.o_custkey == customers.c_custkey)
     assert got == sorted((r.o_orderkey, r.o_custkey, r.vn, r.study) for r in want.collect()) and len(got) == 5
+
+
+def test_corrections_from_visits_read_no_form_to_find_the_dates(spark):
+    """The dates that several visits claim come from dates alone; forms are collected for these dates only, with the same corrections."""
+    rng = random.Random(4)
+    rows = {(rng.choice("ST"), rng.randint(1, 25), rng.choice([None, -1.0, 1.0, 2.0, 3.0]), rng.choice([None, "a", "b", "c", "d"])): rng.choice([None, day(0), day(1), day(rng.randint(2, 60))]) for _ in range(400)}
+    # One study's only other visit on the date has no form name; the other study has the same subject, date and a larger form count there.
+    rows |= {("S", 90, 1.0, "a"): day(0), ("S", 90, 1.0, "b"): day(0), ("S", 90, 1.0, "c"): day(0), ("S", 90, 2.0, None): day(0)}
+    rows |= {("T", 90, 1.0, "a"): day(0), ("T", 90, 1.0, "b"): day(0), ("T", 90, 2.0, "c"): day(0)}
+    c8 = spark.createDataFrame([(*key, d) for key, d in rows.items()], "study string, sjid bigint, avisitn double, crf string, adt date")
+    visits = cut_lineage(repair.visit_rows(c8))
+    seen = []
+    got = repair.fewest_corrections(repair.visit_correction_pairs(visits, lambda df: seen.append(df) or cut_lineage(df)))
+    want = repair.fewest_corrections(repair.correction_pairs(repair.visit_forms(c8)))
+    assert want.count() and sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert {r.sjid for r in want.collect()} >= {90} and not want.where("study = 'S' and sjid = 90").count()
+    plan = physical(seen[0])
+    assert "crf" not in plan.split("ReadSchema")[1].split("\n")[0] and "lambda" not in plan, plan
+    claimed = {(r.study, r.sjid, r.adt) for r in seen[0].collect()}
+    assert 0 < len(claimed) and {(r.study, r.sjid, r.adt) for r in seen[1].collect()} <= claimed
+
+
+def test_small_stages_have_several_tasks_a_core(spark):
+    configure(spark)
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert int(spark.conf.get("spark.sql.files.minPartitionNum")) == tasks
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = spark.range(4_000_000).repartition("id")
+        rows.write.format("noop").mode("overwrite").save()
+        assert tasks <= rows.rdd.getNumPartitions() < 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
