@@ -8,7 +8,7 @@ import re
 from study_helpers import SF_SMALL, day
 from test_plans import physical, static_plan
 
-from visitline.functions import first_by, sort_keys
+from visitline.functions import first_by, join_on_keys, sort_keys
 from visitline.operators import ages, conflicts, repair
 from visitline.plans import pipelines
 from visitline.session import TASKS_PER_CORE, configure, cut_lineage
@@ -203,6 +203,28 @@ def test_corrections_from_visits_read_no_form_to_find_the_dates(spark):
     assert 0 < len(claimed) and {(r.study, r.sjid, r.adt) for r in seen[1].collect()} <= claimed
 
 
+def test_clean_dates_shuffle_no_untouched_entry(spark):
+    """Only winners can repeat: an entry that wins both kinds of conflict is one visit date, and the others are not made distinct."""
+    rows = [("S", 1, 1.0, 0.0, c) for c in "abc"] + [("S", 1, 1.0, 90.0, "a"), ("S", 1, 2.0, 0.0, "b"), ("S", 1, 3.0, 200.0, "a"), ("S", 2, None, None, "a")]
+    rows += [("S", None, 1.0, 5.0, "a"), ("S", None, 2.0, 5.0, "a")]
+    entries = conflicts.visit_entries(spark.createDataFrame(rows, SNAPPED))
+    visit = ("study", "sjid", "avisitn")
+    dates = entries.groupBy(*visit).count().withColumnRenamed("count", "n_dates")
+    entries = cut_lineage(join_on_keys(entries, dates, visit, ("sjid", "avisitn")))
+    claimed = cut_lineage(conflicts.several_visits(entries))
+    summary = cut_lineage(conflicts.conflict_entries(entries, claimed=claimed))
+    resolved = cut_lineage(conflicts.resolve_conflicts(summary))
+    assert resolved.count() == 2
+    got = conflicts.clean_dates(entries, summary, resolved, claimed)
+    want = conflicts.clean_entries(entries, summary, resolved, claimed)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).distinct().collect())) and got.count() == 5
+    plan = planned_by_size(spark, lambda: conflicts.clean_dates(entries, summary, resolved, claimed))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1, plan
+    known = spark.createDataFrame([("S", 1, 30.0)], "study string, sjid bigint, start_age double")
+    ages_of = [conflicts.dates_with_age(got, known), conflicts.visit_dates_with_age(want, known)]
+    assert sorted(map(str, ages_of[0].collect())) == sorted(map(str, ages_of[1].collect()))
+
+
 def test_small_stages_have_several_tasks_a_core(spark):
     configure(spark)
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
